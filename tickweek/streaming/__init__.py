@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The jobs this library re-expresses read finite files only; they have no
+stream source, watermark, state or late-data rule, so nothing is built here.
+"""
