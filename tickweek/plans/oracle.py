@@ -77,57 +77,58 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 """
 
 INSTRUMENTS = """
-SELECT CAST(c_custkey AS VARCHAR) AS symbol, c_name AS name, c_acctbal AS price,
-       c_mktsegment AS exchange, substr(c_mktsegment, 1, 4) AS exchangeShortName, 'stock' AS type
-FROM customer
+SELECT CAST(o_orderkey AS VARCHAR) AS symbol, 'Order#' || CAST(o_orderkey AS VARCHAR) AS name,
+       o_totalprice AS price, o_orderpriority AS exchange, o_orderstatus AS exchangeShortName, 'stock' AS type
+FROM orders
 """
 
 MEMBERS = """
-SELECT CAST(c_custkey AS VARCHAR) AS symbol, c_name AS name FROM customer WHERE c_mktsegment = 'BUILDING'
+SELECT CAST(o_orderkey AS VARCHAR) AS symbol, 'Order#' || CAST(o_orderkey AS VARCHAR) AS name
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
 """
 
 PROFILE = """
 SELECT
-  CAST(c_custkey AS VARCHAR) AS symbol,
+  CAST(o_orderkey AS VARCHAR) AS symbol,
   c_acctbal AS price,
   c_name AS companyName,
   CASE WHEN n_regionkey = 0 THEN NULL ELSE n_name || ', ' || c_mktsegment END AS name,
   c_mktsegment || ' ' || n_name AS sector,
   n_name AS industry,
   n_name AS country,
-  lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik,
-  'US' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS isin,
-  lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS cusip,
-  'c' || CAST(c_custkey AS VARCHAR) || '.example' AS website,
+  lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS cik,
+  'US' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS isin,
+  lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS cusip,
+  'c' || CAST(o_custkey AS VARCHAR) || '.example' AS website,
   'Chief, ' || c_name AS ceo,
   CAST(c_nationkey * 1000 AS VARCHAR) AS fullTimeEmployees,
   n_name || ' Road, ' || CAST(c_nationkey AS VARCHAR) AS address,
   n_name AS city,
   lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip,
-  'img/c' || CAST(c_custkey AS VARCHAR) || '.png' AS image,
-  c_custkey * 100 AS volAvg,
-  c_custkey * 1000000 AS mktCap
-FROM customer JOIN nation ON c_nationkey = n_nationkey
+  'img/c' || CAST(o_custkey AS VARCHAR) || '.png' AS image,
+  o_custkey * 100 AS volAvg,
+  o_orderkey * 1000000 AS mktCap
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 WHERE c_acctbal > 0
 """
 
 HISTORY = """
 SELECT
-  CAST(o_custkey AS VARCHAR) AS symbol,
-  strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date,
-  o_totalprice / 101 AS open,
-  o_totalprice / 98 AS high,
-  o_totalprice / 103 AS low,
-  o_totalprice / 100 AS close,
-  o_totalprice / 100 AS adjClose,
-  o_orderkey AS volume,
-  o_orderkey * 2 AS unadjustedVolume,
-  o_totalprice / 100 - o_totalprice / 101 AS change,
-  (o_totalprice / 100 - o_totalprice / 101) / (o_totalprice / 101) * 100 AS changePercent,
-  (o_totalprice / 98 + o_totalprice / 103 + o_totalprice / 100) / 3 AS vwap,
-  strftime(CAST(o_orderdate AS DATE), '%B %-d, %y') AS label,
-  (o_totalprice / 100 - o_totalprice / 101) / (o_totalprice / 101) AS changeOverTime
-FROM orders
+  CAST(l_orderkey AS VARCHAR) AS symbol,
+  strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS date,
+  l_extendedprice * (1 - l_tax) AS open,
+  l_extendedprice * (1 + l_tax) AS high,
+  l_extendedprice * (1 - l_discount) AS low,
+  l_extendedprice AS close,
+  l_extendedprice * (1 - l_discount) * (1 + l_tax) AS adjClose,
+  l_partkey AS volume,
+  l_suppkey AS unadjustedVolume,
+  l_extendedprice * l_tax AS change,
+  l_tax * 100 AS changePercent,
+  (l_extendedprice * (1 + l_tax) + l_extendedprice * (1 - l_discount) + l_extendedprice) / 3 AS vwap,
+  strftime(CAST(l_shipdate AS DATE), '%B %-d, %y') AS label,
+  l_tax / 100 AS changeOverTime
+FROM lineitem
 """
 
 # Constituent instruments merged with their profile; the profile wins on

@@ -33,8 +33,9 @@ def write_bare_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errori
 
 
 def key_value_line(keys: list[str], values: list[str]) -> Column:
-    """``k1,k2,k3<TAB>v1,...,vn`` text of each row."""
-    as_text = lambda names: [F.col(n).cast("string") for n in names]
+    """``k1,k2,k3<TAB>v1,...,vn`` text of each row; a NULL is an empty field,
+    so every line keeps its field positions."""
+    as_text = lambda names: [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
     return F.concat(F.concat_ws(",", *as_text(keys)), F.lit("\t"), F.concat_ws(",", *as_text(values)))
 
 

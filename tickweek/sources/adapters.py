@@ -19,9 +19,10 @@ derive the same rows on its own:
     purchaseDate = order date text, NULL for low-priority automobile
     customers, ``'unknown'`` for low-priority machinery customers
 ``instruments`` / ``members`` / ``profile_bodies`` / ``history``
-    customers as instruments; BUILDING customers as the constituent list;
-    a one-record JSON array per customer with a positive balance (joined to
-    its nation) as the profile response; orders as each customer's bars.
+    orders as instruments; urgent and high-priority orders as the
+    constituent list; a one-record JSON array per order of a customer with a
+    positive balance (customer and nation joined) as the profile response;
+    line items as each order's bars (orders without lines have no history).
 """
 
 from __future__ import annotations
@@ -132,29 +133,29 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full instrument list: one record per customer."""
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        _text("c_custkey").alias("symbol"),
-        F.col("c_name").alias("name"),
-        F.col("c_acctbal").alias("price"),
-        F.col("c_mktsegment").alias("exchange"),
-        F.substring("c_mktsegment", 1, 4).alias("exchangeShortName"),
+    """The full instrument list: one record per order."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        _text("o_orderkey").alias("symbol"),
+        F.concat(F.lit("Order#"), _text("o_orderkey")).alias("name"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderpriority").alias("exchange"),
+        F.col("o_orderstatus").alias("exchangeShortName"),
         F.lit("stock").alias("type"),
     )
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The constituent list: BUILDING customers."""
-    c = table(spark, sf_dir, "customer")
-    return c.where(F.col("c_mktsegment") == "BUILDING").select(
-        _text("c_custkey").alias("symbol"), F.col("c_name").alias("name")
+    """The constituent list: urgent and high-priority orders."""
+    o = table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
+        _text("o_orderkey").alias("symbol"), F.concat(F.lit("Order#"), _text("o_orderkey")).alias("name")
     )
 
 
-def profile_record(c: DataFrame) -> Column:
-    """The profile record of a customer row joined to its nation."""
-    key = _text("c_custkey")
+def profile_record() -> Column:
+    """The profile record of an order joined to its customer and nation."""
+    key = _text("o_orderkey")
     return F.struct(
         key.alias("symbol"),
         F.col("c_acctbal").alias("price"),
@@ -168,47 +169,49 @@ def profile_record(c: DataFrame) -> Column:
         F.lpad(key, 10, "0").alias("cik"),
         F.concat(F.lit("US"), F.lpad(key, 10, "0")).alias("isin"),
         F.lpad(key, 9, "0").alias("cusip"),
-        F.concat(F.lit("c"), key, F.lit(".example")).alias("website"),
+        F.concat(F.lit("c"), _text("o_custkey"), F.lit(".example")).alias("website"),
         F.concat(F.lit("Chief, "), F.col("c_name")).alias("ceo"),
         (F.col("c_nationkey") * 1000).cast("string").alias("fullTimeEmployees"),
         F.concat(F.col("n_name"), F.lit(" Road, "), _text("c_nationkey")).alias("address"),
         F.col("n_name").alias("city"),
         F.lpad(_text("c_nationkey"), 5, "0").alias("zip"),
-        F.concat(F.lit("img/c"), key, F.lit(".png")).alias("image"),
-        (F.col("c_custkey") * 100).alias("volAvg"),
-        (F.col("c_custkey") * 1000000).alias("mktCap"),
+        F.concat(F.lit("img/c"), _text("o_custkey"), F.lit(".png")).alias("image"),
+        (F.col("o_custkey") * 100).alias("volAvg"),
+        (F.col("o_orderkey") * 1000000).alias("mktCap"),
     )
 
 
 def profile_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile responses ``(symbol, body)``: a JSON array holding one record."""
+    """Profile responses ``(symbol, body)``: a JSON array holding one record,
+    for orders of customers with a positive balance."""
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
     n = table(spark, sf_dir, "nation")
-    j = c.join(n, c.c_nationkey == n.n_nationkey)
-    return j.select(_text("c_custkey").alias("symbol"), F.to_json(F.array(profile_record(j))).alias("body"))
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    return j.select(_text("o_orderkey").alias("symbol"), F.to_json(F.array(profile_record())).alias("body"))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars per symbol: one per order of the customer."""
-    o = table(spark, sf_dir, "orders")
-    tp = F.col("o_totalprice")
-    close, open_, high, low = tp / 100, tp / 101, tp / 98, tp / 103
-    change = close - open_
-    return o.select(
-        _text("o_custkey").alias("symbol"),
-        iso_date_text(F.col("o_orderdate").cast("date")).alias("date"),
-        open_.alias("open"),
+    """Daily bars per symbol: one per line item of the order."""
+    li = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice")
+    high = price * (1 + F.col("l_tax"))
+    low = price * (1 - F.col("l_discount"))
+    return li.select(
+        _text("l_orderkey").alias("symbol"),
+        iso_date_text(F.col("l_shipdate").cast("date")).alias("date"),
+        (price * (1 - F.col("l_tax"))).alias("open"),
         high.alias("high"),
         low.alias("low"),
-        close.alias("close"),
-        close.alias("adjClose"),
-        F.col("o_orderkey").alias("volume"),
-        (F.col("o_orderkey") * 2).alias("unadjustedVolume"),
-        change.alias("change"),
-        (change / open_ * 100).alias("changePercent"),
-        ((high + low + close) / 3).alias("vwap"),
-        _label("o_orderdate").alias("label"),
-        (change / open_).alias("changeOverTime"),
+        price.alias("close"),
+        (price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("adjClose"),
+        F.col("l_partkey").alias("volume"),
+        F.col("l_suppkey").alias("unadjustedVolume"),
+        (price * F.col("l_tax")).alias("change"),
+        (F.col("l_tax") * 100).alias("changePercent"),
+        ((high + low + price) / 3).alias("vwap"),
+        _label("l_shipdate").alias("label"),
+        (F.col("l_tax") / 100).alias("changeOverTime"),
     )
 
 

@@ -53,7 +53,7 @@ def parse_lines(lines: DataFrame, schema: StructType = BARS, sep: str = ",") ->
 
     A naive split on the separator would cut ``"December 30, 22"`` in two and
     shift every later column."""
-    schema_ddl = schema.simpleString()[len("struct<"):-1]
+    schema_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv(F.col("value"), schema_ddl, {"sep": sep, "mode": "PERMISSIVE"})
     return lines.select(parsed.alias("_row")).select("_row.*")
 
