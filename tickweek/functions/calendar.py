@@ -21,9 +21,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the shape of ISO date text.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+
+
 def parse_date(text: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
-    """Text to DATE by pattern; a bad value is NULL instead of an error."""
-    return F.try_to_date(_col(text), fmt)
+    """Text to DATE by pattern; a bad value is NULL instead of an error.
+
+    The ISO pattern takes a faster route with the same result: text of the
+    exact ``dddd-dd-dd`` shape is cast (invalid days give NULL), other text
+    is NULL. Any other pattern goes through the pattern parser."""
+    t = _col(text)
+    if fmt == "yyyy-MM-dd":
+        return F.when(t.rlike(ISO_DATE), t.try_cast("date"))
+    return F.try_to_date(t, fmt)
 
 
 def cast_date(value: Column | str) -> Column:
@@ -32,8 +43,8 @@ def cast_date(value: Column | str) -> Column:
 
 
 def iso_date_text(d: Column | str) -> Column:
-    """DATE formatted as ``yyyy-MM-dd`` text."""
-    return F.date_format(_col(d), "yyyy-MM-dd")
+    """DATE as ``yyyy-MM-dd`` text (the cast of a date to text is ISO)."""
+    return _col(d).cast("date").cast("string")
 
 
 def day_of_week(d: Column | str) -> Column:

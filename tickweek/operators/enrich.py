@@ -43,8 +43,11 @@ def keep_members(items: DataFrame, members: DataFrame, key: str = "symbol", broa
 def first_record(bodies: DataFrame, body: str, element: StructType, key: str = "symbol") -> DataFrame:
     """Parse a JSON array text per key and keep its first record as columns.
 
-    A body that is not JSON, an empty array, or a NULL body gives no row."""
-    first = F.get(F.from_json(F.col(body), ArrayType(element)), 0)
+    A body that is not JSON, an empty array, or a NULL body gives no row.
+    The first element is taken by exploding a one-element slice, so the
+    parse runs once per row (a filter on a parsed alias would be inlined
+    into the join below it and parse the text twice)."""
+    first = F.explode(F.slice(F.from_json(F.col(body), ArrayType(element)), 1, 1))
     fields = [f.name for f in element.fields if f.name != key]
     return (
         bodies.select(key, first.alias("_first"))
@@ -118,16 +121,18 @@ def nest_history(history: DataFrame, key: str = "symbol", date: str = "date", pa
     return pages.withColumn("stockData", F.sort_array("stockData", asc=False))
 
 
-def attach_history(companies: DataFrame, pages: DataFrame, key: str = "symbol") -> DataFrame:
+def attach_history(companies: DataFrame, pages: DataFrame, key: str = "symbol", history: DataFrame | None = None) -> DataFrame:
     """Company documents: one per (company, page), and one with a NULL
     ``stockData`` for each company without history.
 
     The inner join lets AQE split a company with very many pages; the
     companies without history come from an anti join against the distinct
-    keys, so a hot key never buffers its pages there.
+    keys (of ``history`` when given, which spares the nesting work), so a
+    hot key never buffers its rows there. ``stockData`` of a page is never
+    NULL, so a filter for documents without bars prunes the inner join.
     """
     with_bars = companies.join(pages.select(key, "page_month", "page", "stockData"), key, "inner")
-    present = pages.select(key).distinct()
+    present = (history if history is not None else pages).select(key).distinct()
     without = (
         companies.join(present, key, "left_anti")
         .withColumn("page_month", F.lit(None).cast("string"))

@@ -44,7 +44,8 @@ def company_documents(
 ) -> DataFrame:
     """Company documents with nested bars (see ``attach_history``)."""
     bars = history if history_range is None else within(history, "date", *history_range)
-    return attach_history(companies(instruments, members, profile_bodies), nest_history(bars, page_rows=page_rows))
+    pages = nest_history(bars, page_rows=page_rows)
+    return attach_history(companies(instruments, members, profile_bodies), pages, history=bars)
 
 
 def flat_rows(docs: DataFrame) -> DataFrame:

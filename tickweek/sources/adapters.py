@@ -46,14 +46,12 @@ def _label(ts: str) -> Column:
 
 
 def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened daily bars, the 32 columns of the comma text input."""
-    li = table(spark, sf_dir, "lineitem")
+    """Flattened daily bars, the 32 columns of the comma text input.
+
+    Columns that depend on the part alone are derived on the part side, once
+    per part, before the join; the line side adds dates and prices."""
     part = table(spark, sf_dir, "part")
-    j = li.join(part, li.l_partkey == part.p_partkey)
-    key = _text("l_partkey")
-    price = F.col("l_extendedprice")
-    high = price * (1 + F.col("l_tax"))
-    low = price * (1 - F.col("l_discount"))
+    key = _text("p_partkey")
     sector = (
         F.when(F.col("p_size") == 1, F.lit(""))
         .when(F.col("p_size") == 2, F.lit(None).cast("string"))
@@ -61,11 +59,10 @@ def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_size") == 4, F.concat_ws("\t", "p_type", "p_brand"))
         .otherwise(F.concat_ws(" ", "p_type", "p_brand"))
     )
-    date = F.when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), F.lit("not a date")).otherwise(
-        iso_date_text(F.col("l_shipdate").cast("date"))
-    )
-    return j.select(
-        F.when(F.col("l_partkey") == 0, F.lit("symbol")).otherwise(key).alias("symbol"),
+    companies = part.select(
+        F.col("p_partkey"),
+        F.col("p_size"),
+        F.when(F.col("p_partkey") == 0, F.lit("symbol")).otherwise(key).alias("symbol"),
         F.col("p_name").alias("name"),
         sector.alias("sector"),
         F.col("p_type").alias("industry"),
@@ -80,10 +77,24 @@ def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("part-"), key, F.lit(".example")).alias("website"),
         F.concat_ws(", ", "p_name", "p_brand").alias("ceo"),
         (F.col("p_size") * 100).cast("string").alias("fullTimeEmployees"),
-        F.concat(_text("l_suppkey"), F.lit(" Main Street")).alias("address"),
         F.col("p_type").alias("city"),
-        F.lpad(_text("l_suppkey"), 5, "0").alias("zip"),
         F.concat(F.lit("img/"), key, F.lit(".png")).alias("image"),
+    )
+    li = table(spark, sf_dir, "lineitem")
+    j = li.join(companies, li.l_partkey == companies.p_partkey)
+    price = F.col("l_extendedprice")
+    high = price * (1 + F.col("l_tax"))
+    low = price * (1 - F.col("l_discount"))
+    date = F.when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), F.lit("not a date")).otherwise(
+        iso_date_text(F.col("l_shipdate").cast("date"))
+    )
+    return j.select(
+        "symbol", "name", "sector", "industry", "exchange", "exchangeShortName", "volAvg", "mktCap",
+        "companyName", "cik", "isin", "cusip", "website", "ceo", "fullTimeEmployees",
+        F.concat(_text("l_suppkey"), F.lit(" Main Street")).alias("address"),
+        "city",
+        F.lpad(_text("l_suppkey"), 5, "0").alias("zip"),
+        "image",
         date.alias("date"),
         (price * (1 - F.col("l_tax"))).alias("open"),
         high.alias("high"),
