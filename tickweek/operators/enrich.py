@@ -81,8 +81,9 @@ def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, pag
     Returns ``(*keys, page, name)``. Each input row lands in exactly one page.
     Exact copies are first counted (a map-side combined aggregate) and come
     back in chunks of at most ``page_rows``; a group gets
-    ``ceil(rows / page_rows)`` pages and a chunk picks its page by hash. With
-    no ``keys`` the page count comes from one row count of ``df``.
+    ``ceil(rows / page_rows)`` pages, the chunks of one item go to
+    consecutive pages and distinct items spread by hash. With no ``keys``
+    the page count comes from one row count of ``df``.
     """
     item = F.struct(*[F.col(f"`{c}`") for c in items])
     counted = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("_copies"))
@@ -99,7 +100,9 @@ def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, pag
     else:
         placed = chunks
         n_pages = F.lit(max(1, -(-df.count() // page_rows)))
-    placed = placed.withColumn("page", F.pmod(F.xxhash64(item, F.col("_chunk")), n_pages).cast("int"))
+    # Chunks of one item take consecutive pages from the item's hash; distinct items spread by hash.
+    start = F.pmod(F.xxhash64(item), n_pages)
+    placed = placed.withColumn("page", F.pmod(start + F.col("_chunk"), n_pages).cast("int"))
     # Shuffle on the page itself, so the pages of one hot group spread over tasks.
     return (
         placed.repartition(*keys, "page")
