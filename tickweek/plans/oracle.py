@@ -312,4 +312,9 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip": flat,
         "table_ctas_insert": sector_week,
         "landing_ignore": _with("instruments") + "SELECT * FROM instruments",
+        "stock_stages_written": sector_week,
+        "vehicle_stages_written": _vehicle("truncated", null_band=True),
+        "vehicle_tables": _vehicle("truncated", null_band=True),
+        "flat_csv_export": _with("instruments", "members", "profile", "history", "listed", "companies")
+        + _flat("companies", comma_to_dot=True),
     }

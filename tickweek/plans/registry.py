@@ -22,7 +22,7 @@ from tickweek.operators.enrich import keep_members, merge_right_wins, paged_list
 from tickweek.plans import acquisition, explain, stock, vehicles
 from tickweek.plans.oracle import DIGITS, TIE_SHIFT
 from tickweek.plans.oracle import oracle_sql as _oracle_sql
-from tickweek.schemas import AVERAGE_COLUMNS, INSTRUMENT
+from tickweek.schemas import AVERAGE_COLUMNS, FLAT_ROW, INSTRUMENT
 from tickweek.session import scratch_path
 from tickweek.sinks.files import land, write_bare_csv, write_csv, write_delimited, write_documents
 from tickweek.sources import adapters as A
@@ -214,6 +214,36 @@ def landing_ignore(spark: SparkSession, sf: str) -> DataFrame:
     return read_delimited(spark, path, INSTRUMENT, ",", header=True)
 
 
+def stock_stages_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Both stock stages written as headed comma text; stage 2 and the
+    result are read back from the files."""
+    work = scratch_path(spark, "stock-stages")
+    final = stock.run_stock_job(spark, A.bar_rows(spark, sf), f"{work}/job1", f"{work}/final")
+    return _rounded(final)
+
+
+def vehicle_stages_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Filtered titles written as headed tab text and read back for stage 2;
+    the result is written as headed comma text and read back."""
+    work = scratch_path(spark, "vehicle-stages")
+    return vehicles.run_vehicle_job(spark, A.titles(spark, sf), f"{work}/job1", f"{work}/final")
+
+
+def vehicle_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The vehicle job as SQL over catalog tables on landed tab text."""
+    work = scratch_path(spark, "vehicle-tables")
+    write_delimited(A.titles(spark, sf), f"{work}/raw", "\t", header=True)
+    return vehicles.catalog_table_job(spark, f"{work}/raw", work, work.rsplit("-", 1)[-1][:12])
+
+
+def flat_csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Flattened company-and-bar rows written as headed comma text (commas in
+    text cells turned into dots first) and read back with the row schema."""
+    path = scratch_path(spark, "flat-csv")
+    write_csv(acquisition.csv_rows(_documents(spark, sf)), path, header=True)
+    return read_delimited(spark, path, FLAT_ROW, ",", header=True)
+
+
 def explain_extended(spark: SparkSession, sf: str) -> DataFrame:
     """The vehicle stage-2 statement under ``EXPLAIN EXTENDED`` (one ``plan`` row)."""
     A.titles(spark, sf).where("vehicleCost > 0 AND modelYear > 1900").createOrReplaceTempView("cars_filtered_data")
@@ -263,6 +293,10 @@ _QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "table_ctas_insert": table_ctas_insert,
     "landing_ignore": landing_ignore,
+    "stock_stages_written": stock_stages_written,
+    "vehicle_stages_written": vehicle_stages_written,
+    "vehicle_tables": vehicle_tables,
+    "flat_csv_export": flat_csv_export,
     "explain_extended": explain_extended,
 }
 

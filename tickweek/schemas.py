@@ -102,3 +102,7 @@ PROFILE = StructType(
     )
     + _fields("volAvg mktCap", LongType())
 )
+
+# A flattened company-and-bar row as written by the converter: 19 company
+# columns (typed as in the document) and the 13 bar columns.
+FLAT_ROW = StructType([COMPANY[c] for c in COMPANY_COLUMNS] + list(BAR.fields))
