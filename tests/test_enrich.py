@@ -108,3 +108,22 @@ def test_rejects_plan_skips_nesting(spark):
 
 def test_profile_schema_is_struct():
     assert isinstance(PROFILE, StructType)
+
+
+def test_huge_copy_run_is_expanded_in_blocks(spark, monkeypatch):
+    import tickweek.operators.enrich as E
+
+    monkeypatch.setattr(E, "CHUNK_BLOCK", 3)  # force the two-level path
+    rows = [("HOT", "2022-01-03", 1.0)] * 100 + [("HOT", "2022-01-04", 2.0)]
+    pages = E.nest_history(_history(spark, rows), page_rows=4)
+    sizes = [r[0] for r in pages.select(F.size("stockData")).collect()]
+    assert sum(sizes) == 101 and max(sizes) <= 8
+    flat = pages.select("symbol", F.explode("stockData").alias("b")).select("symbol", "b.date", "b.close")
+    assert _multiset(flat.collect()) == _multiset(rows)
+
+
+def test_null_keys_keep_their_rows(spark):
+    rows = [("A", None, 1.0), ("A", "2022-01-03", 2.0), (None, "2022-01-03", 3.0)]
+    pages = nest_history(_history(spark, rows), page_rows=2)
+    flat = pages.select("symbol", F.explode("stockData").alias("b")).select("symbol", "b.date", "b.close")
+    assert _multiset(flat.collect()) == _multiset(rows)

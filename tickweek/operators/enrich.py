@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 PAGE_ROWS = 4096
+# Chunks one task may expand from a single counted row.
+CHUNK_BLOCK = 4096
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
@@ -78,34 +80,56 @@ def merge_right_wins(left: DataFrame, right: DataFrame, key: str = "symbol") ->
 def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Collect ``items`` per ``keys`` into arrays of about ``page_rows`` elements.
 
-    Returns ``(*keys, page, name)``. Each input row lands in exactly one page.
-    Exact copies are first counted (a map-side combined aggregate) and come
-    back in chunks of at most ``page_rows``; a group gets
-    ``ceil(rows / page_rows)`` pages, the chunks of one item go to
-    consecutive pages and distinct items spread by hash. With no ``keys``
-    the page count comes from one row count of ``df``.
+    Returns ``(*keys, page, name)``. Each input row lands in exactly one page;
+    NULL keys form their own group.
+
+    * Exact copies are first counted (a map-side combined aggregate), so a
+      run of identical rows travels as one row with a count.
+    * A group gets ``ceil(rows / page_rows)`` pages; its row count comes from
+      a separate partial aggregate of the input.
+    * Copies come back in chunks of at most ``page_rows``, and the chunks of
+      one item are cut into blocks of ``CHUNK_BLOCK``. The group totals are
+      joined on (keys, block), replicated once per block a group can need,
+      so the blocks of a huge run are spread over tasks by that join's
+      shuffle and no task expands more than one block per counted row.
+    * The chunks of one item take consecutive pages from the item's hash;
+      distinct items spread by hash.
     """
     item = F.struct(*[F.col(f"`{c}`") for c in items])
-    counted = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("_copies"))
-    n_chunks = F.ceil(F.col("_copies") / page_rows)
-    chunks = (
-        counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
-        .withColumn("_n", F.least(F.lit(page_rows).cast("long"), F.col("_copies") - F.col("_chunk") * page_rows))
-        .drop("_copies")
+
+    def ids(lo: Column, hi: Column) -> Column:  # lo .. hi - 1
+        return F.explode(F.sequence(lo.cast("long"), (hi - 1).cast("long")))
+
+    def blocks_of(chunks: Column) -> Column:
+        return F.ceil(chunks / CHUNK_BLOCK)
+
+    counted = (
+        df.groupBy(*keys, *items)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_chunks", F.ceil(F.col("_copies") / page_rows))
+        .withColumn("_block", ids(F.lit(0), blocks_of(F.col("_chunks"))))
     )
     if keys:
-        per_group = chunks.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
-        placed = chunks.join(per_group, keys)
-        n_pages = F.ceil(F.col("_rows") / page_rows)
+        groups = (
+            df.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_rows"))
+            .withColumn("_pages", F.ceil(F.col("_rows") / page_rows))
+            .withColumn("_block", ids(F.lit(0), blocks_of(F.col("_pages"))))
+            .select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("_block").alias("_g_block"), "_pages")
+        )
+        on = [counted[k].eqNullSafe(groups[f"_g_{k}"]) for k in keys] + [counted["_block"] == groups["_g_block"]]
+        placed = counted.join(groups, on).drop(*[f"_g_{k}" for k in keys], "_g_block")
     else:
-        placed = chunks
-        n_pages = F.lit(max(1, -(-df.count() // page_rows)))
-    # Chunks of one item take consecutive pages from the item's hash; distinct items spread by hash.
-    start = F.pmod(F.xxhash64(item), n_pages)
-    placed = placed.withColumn("page", F.pmod(start + F.col("_chunk"), n_pages).cast("int"))
+        n = max(1, -(-df.count() // page_rows))
+        placed = counted.repartition(F.xxhash64(item), F.col("_block")).withColumn("_pages", F.lit(n).cast("long"))
+    chunks = placed.withColumn(
+        "_chunk", ids(F.col("_block") * CHUNK_BLOCK, F.least(F.col("_chunks"), (F.col("_block") + 1) * CHUNK_BLOCK))
+    ).withColumn("_n", F.least(F.lit(page_rows).cast("long"), F.col("_copies") - F.col("_chunk") * page_rows))
+    start = F.pmod(F.xxhash64(item), F.col("_pages"))
+    pages = chunks.withColumn("page", F.pmod(start + F.col("_chunk"), F.col("_pages")).cast("int"))
     # Shuffle on the page itself, so the pages of one hot group spread over tasks.
     return (
-        placed.repartition(*keys, "page")
+        pages.repartition(*keys, "page")
         .groupBy(*keys, "page")
         .agg(F.flatten(F.collect_list(F.array_repeat(item, F.col("_n").cast("int")))).alias(name))
     )
