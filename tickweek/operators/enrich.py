@@ -25,13 +25,15 @@ CHUNK_BLOCK = 4096
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when a bounded count shows at most ``max_rows`` rows.
+    """``broadcast(df)`` when a bounded probe shows at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops as soon as the bound is exceeded,
-    so the proof is cheap for large inputs; beyond the bound Spark plans the
-    shuffle join itself (AQE may still pick a broadcast from runtime sizes).
+    ``take`` scans incrementally (one partition first, then more) and stops
+    once ``max_rows + 1`` one-column rows are found, so the proof is cheap
+    for large inputs and brings at most that many constants to the driver;
+    beyond the bound Spark plans the shuffle join itself (AQE may still pick
+    a broadcast from runtime sizes).
     """
-    if max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows:
+    if max_rows > 0 and len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows:
         return F.broadcast(df)
     return df
 

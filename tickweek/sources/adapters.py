@@ -118,7 +118,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle title records, the 13 columns of the tab text input."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    j = o.join(c, o.o_custkey == c.c_custkey)
+    j = o.join(c.hint("merge"), o.o_custkey == c.c_custkey)  # customers grow with the data too
     order_date = iso_date_text(F.col("o_orderdate").cast("date"))
     low_priority = F.col("o_orderpriority") == "5-LOW"
     model_year = F.when(
@@ -201,7 +201,8 @@ def profile_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
     n = table(spark, sf_dir, "nation")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    # Customers grow with the data (sort-merge join); nations are a fixed set of 25 (broadcast).
+    j = o.join(c.hint("merge"), o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
     return j.select(_text("o_orderkey").alias("symbol"), F.to_json(F.array(profile_record())).alias("body"))
 
 
