@@ -103,3 +103,24 @@ def test_comma_to_dot_only_text(spark):
     df = spark.createDataFrame([("Dr. A, Ph.D.", 1.5, "December 30, 22")], "ceo string, v double, label string")
     row = comma_to_dot(df).first()
     assert row.ceo == "Dr. A. Ph.D." and row.v == 1.5 and row.label == "December 30. 22"
+
+
+def test_array_helpers(spark):
+    from tickweek.functions import contains, field_of_each, first_element
+
+    df = spark.createDataFrame([([("MMM", "3M"), ("BRK.B", "Berkshire")],), ([],)], "companies array<struct<symbol:string,name:string>>")
+    rows = df.select(
+        field_of_each("companies", "symbol").alias("symbols"),
+        first_element("companies").alias("first"),
+        contains(field_of_each("companies", "symbol"), "BRK.B").alias("has"),
+    ).collect()
+    assert rows[0].symbols == ["MMM", "BRK.B"] and rows[0].first.symbol == "MMM" and rows[0].has is True
+    assert rows[1].symbols == [] and rows[1].first is None and rows[1].has is False
+
+
+def test_field_splits_on_regex(spark):
+    from tickweek.functions import field
+
+    df = spark.createDataFrame([("A,b c\td",)], "s string")
+    row = df.select(field("s", ",", 1).alias("x"), field("s", r"\s", 2).alias("y"), field("s", ",", 5).alias("z")).first()
+    assert row.x == "b c\td" and row.y == "d" and row.z is None

@@ -134,3 +134,11 @@ def test_catalog_tables_job(spark, scratch):
     rows = {r.sector: r for r in out.collect()}
     assert set(rows) == {"health_care", "energy"} and rows["energy"].avgVolume == 200.0
     assert not spark.catalog.tableExists("stock_final_t1")
+
+
+def test_full_instrument_list_multiline(spark, scratch):
+    path = scratch("stocklist") + "/list.json"
+    text = '[{"symbol": "A", "name": "Agilent", "price": 1.5, "exchange": "NYSE", "exchangeShortName": "NYSE", "type": "stock"},\n {"symbol": "ZZ", "name": "Other"}]'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    rows = read_documents(spark, path, INSTRUMENT, multi_line=True).collect()
+    assert [(r.symbol, r.price) for r in rows] == [("A", 1.5), ("ZZ", None)]
