@@ -142,3 +142,20 @@ def test_full_instrument_list_multiline(spark, scratch):
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     rows = read_documents(spark, path, INSTRUMENT, multi_line=True).collect()
     assert [(r.symbol, r.price) for r in rows] == [("A", 1.5), ("ZZ", None)]
+
+
+def test_command_line_jobs(spark, scratch):
+    from tickweek.__main__ import main
+
+    work = scratch("cli")
+    _write_text(spark, work + "/in", [HEADER, _line("PFE", "Health Care", "2022-12-30", 51.29, 51.4, 50.75, 51.24, 100)])
+    main(["stock", work + "/in", work + "/out", "--stage1", work + "/job1"])
+    rows = spark.read.csv(work + "/out", header=True).collect()
+    assert [(r.sector, r.periodStart) for r in rows] == [("health_care", "2022-12-26")]
+    main(["stock", work + "/in", work + "/out-kv", "--style", "key-value"])
+    assert spark.read.csv(work + "/out-kv", header=True).first().sector == "Health_Care"
+    header = "\t".join(["vin", "vehicleCost", "a", "b", "c", "d", "modelYear", "e", "f", "g", "h", "i", "purchaseDate"])
+    _write_text(spark, work + "/titles", [header, "V1\t100\t1\t2\tC\t12345\t2013\tM\tX\tCar\tN\t2020-06-01\t2020-06-15"])
+    main(["vehicles", work + "/titles", work + "/vout", "--style", "tables"])
+    row = spark.read.csv(work + "/vout", header=True).first()
+    assert (row.vehicleAge, row.WearAndTear) == ("7", "New")
