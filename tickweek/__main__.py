@@ -1,12 +1,13 @@
 """Command line: run the jobs on files, as the original scripts were run.
 
-    spark-submit -m tickweek stock INPUT OUTPUT [--stage1 DIR] [--style dataframe|tables|key-value|grouped]
-    spark-submit -m tickweek vehicles INPUT OUTPUT [--filtered DIR] [--style dataframe|tables]
-    spark-submit -m tickweek flatten DOCUMENTS OUTPUT [--multi-line]
-    spark-submit -m tickweek land SOURCE TARGET [--format csv|json|text|parquet]
-
-(or ``python -m tickweek ...``). The session comes from the environment
-(``spark-submit`` settings); nothing here forces a master. ``--mode`` picks
+    python -m tickweek stock INPUT OUTPUT [--stage1 DIR] [--style dataframe|tables|key-value|grouped]
+    python -m tickweek vehicles INPUT OUTPUT [--filtered DIR] [--style dataframe|tables]
+    python -m tickweek flatten DOCUMENTS OUTPUT [--rejects DIR] [--multi-line]
+    python -m tickweek land SOURCE TARGET [--format csv|json|text|parquet]
+
+or ``spark-submit --py-files tickweek.zip tickweek/__main__.py stock ...``. The
+session comes from the environment (``spark-submit`` settings); nothing here
+forces a master. ``--mode`` picks
 how outputs treat an existing target (overwrite, errorifexists, append, ignore).
 """
 
