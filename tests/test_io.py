@@ -159,3 +159,12 @@ def test_command_line_jobs(spark, scratch):
     main(["vehicles", work + "/titles", work + "/vout", "--style", "tables"])
     row = spark.read.csv(work + "/vout", header=True).first()
     assert (row.vehicleAge, row.WearAndTear) == ("7", "New")
+
+
+def test_recommended_conf_keeps_submitted_values(spark):
+    from tickweek.session import apply_recommended_conf
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    apply_recommended_conf(spark)
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("256m", str(256 * 1024 * 1024))

@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 from tickweek.plans import acquisition, stock, vehicles
 from tickweek.schemas import BARS, TITLES
-from tickweek.session import scratch_path
+from tickweek.session import apply_recommended_conf, scratch_path
 from tickweek.sinks.files import land, write_csv
 from tickweek.sources.files import read_delimited, read_documents
 
@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     g.set_defaults(run=_land)
 
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName(f"tickweek-{a.job}").getOrCreate()
+    spark = apply_recommended_conf(SparkSession.builder.appName(f"tickweek-{a.job}").getOrCreate())
     a.run(spark, a)
 
 
