@@ -1,7 +1,7 @@
 """Joins and nesting: constituent filter, profile merge, history documents.
 
 * ``keep_members``: left semi join on the symbol (a filter, never a
-  duplication); the member side is broadcast only after a count proves it small.
+  duplication); the member side is broadcast only after a bounded probe proves it small.
 * ``merge_right_wins``: left outer join where the right record's fields
   replace equal names when the right row exists (``{...a, ...b}``).
 * ``nest_history`` / ``attach_history`` / ``flatten_documents``: company
@@ -10,7 +10,8 @@
 Nesting never gathers a whole key: a company's history is cut into pages
 (calendar month, split further by a hash when the month holds more than
 ``page_rows`` bars), and exact copies of one bar are first counted, then
-re-expanded in chunks, so no page, task or group grows with the data.
+re-expanded in chunks (blocks of chunks are spread over tasks), so no page,
+task or group grows with the data.
 """
 
 from __future__ import annotations
