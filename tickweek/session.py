@@ -44,6 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # Local inputs are small: AQE sizes coalesced partitions by bytes only, and
+        # with the 1 MB default a CPU-heavy post-shuffle stage (JSON, text parsing)
+        # of a few MB would run on one core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in CLUSTER_CONF.items():
         if key not in ("spark.sql.files.maxPartitionBytes",):
