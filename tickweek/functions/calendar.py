@@ -8,31 +8,30 @@ of a negative day count is negative.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the day count origin of the week formulas (a Monday).
-ORIGIN = _dt.date(1900, 1, 1)
+from tickweek.fixed import DATE_PATTERN, DURATION_PREFIX, DURATION_SUFFIX, WEEK_ORIGIN
+
+ORIGIN = WEEK_ORIGIN
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Fixed value: the shape of ISO date text.
+# The shape of ISO date text, the fast path for the ISO pattern.
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
-def parse_date(text: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
+def parse_date(text: Column | str, fmt: str = DATE_PATTERN) -> Column:
     """Text to DATE by pattern; a bad value is NULL instead of an error.
 
     The ISO pattern takes a faster route with the same result: text of the
     exact ``dddd-dd-dd`` shape is cast (invalid days give NULL), other text
     is NULL. Any other pattern goes through the pattern parser."""
     t = _col(text)
-    if fmt == "yyyy-MM-dd":
+    if fmt == "yyyy-MM-dd":  # the pattern the fast path is equal to
         return F.when(t.rlike(ISO_DATE), t.try_cast("date"))
     return F.try_to_date(t, fmt)
 
@@ -78,7 +77,7 @@ def week_start(d: Column | str, mode: str = "pmod") -> Column:
 
 def days_duration(days: Column) -> Column:
     """ISO-8601 duration text ``P<n>D`` for a day count."""
-    return F.concat(F.lit("P"), days.cast("string"), F.lit("D"))
+    return F.concat(F.lit(DURATION_PREFIX), days.cast("string"), F.lit(DURATION_SUFFIX))
 
 
 def duration_days(text: Column | str) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tickweek.fixed import SECTOR_FILL, TEXT_COMMA, TEXT_COMMA_FILL
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,9 +22,9 @@ def normalise_sector(sector: Column | str, mode: str = "lower") -> Column:
     """
     s = _col(sector)
     if mode == "lower":
-        return F.lower(F.replace(s, F.lit(" "), F.lit("_")))
+        return F.lower(F.replace(s, F.lit(" "), F.lit(SECTOR_FILL)))
     if mode == "whitespace":
-        return F.regexp_replace(s, r"\s", "_")
+        return F.regexp_replace(s, r"\s", SECTOR_FILL)
     raise ValueError(f"unknown sector mode {mode!r}")
 
 
@@ -42,6 +44,6 @@ def comma_to_dot(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, StringType) and (wanted is None or f.name in wanted):
-            c = F.translate(c, ",", ".").alias(f.name)
+            c = F.translate(c, TEXT_COMMA, TEXT_COMMA_FILL).alias(f.name)
         out.append(c)
     return df.select(*out)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Band names and limits (age < 8 New, 8..40 Old, else Classic).
-NEW, OLD, CLASSIC = "New", "Old", "Classic"
-OLD_FROM, OLD_TO = 8, 40
+from tickweek.fixed import BAND_CLASSIC, BAND_NEW, BAND_OLD, OLD_FROM, OLD_TO
+
+NEW, OLD, CLASSIC = BAND_NEW, BAND_OLD, BAND_CLASSIC
 
 
 def _col(c: Column | str) -> Column:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the header cell of the symbol column.
-HEADER_SYMBOL = "symbol"
+from tickweek.fixed import HEADER_SYMBOL, MIN_MODEL_YEAR
+
 
 
 def is_clean_bar(symbol: str = "symbol", sector: str = "sector") -> Column:
@@ -24,7 +24,7 @@ def clean_bars(df: DataFrame, symbol: str = "symbol", sector: str = "sector") ->
 
 def is_valid_title(cost: str = "vehicleCost", model_year: str = "modelYear") -> Column:
     """A positive cost and a model year after 1900 (a header line has NULLs and drops)."""
-    return (F.col(cost) > 0) & (F.col(model_year) > 1900)
+    return (F.col(cost) > 0) & (F.col(model_year) > MIN_MODEL_YEAR)
 
 
 def valid_titles(df: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ from tickweek.sources.files import parse_lines, read_bars, read_delimited, read_
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The original history request covers fixed.HISTORY_FROM .. HISTORY_TO (2017-2023); the
+# driver tables hold dates of 1995-2001, so the range query asks for 1996-1997 instead.
 HISTORY_FROM, HISTORY_TO = "1996-01-01", "1997-12-31"
 
 
