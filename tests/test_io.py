@@ -168,3 +168,25 @@ def test_recommended_conf_keeps_submitted_values(spark):
     apply_recommended_conf(spark)
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("256m", str(256 * 1024 * 1024))
+
+
+def test_command_line_acquire_then_flatten(spark, scratch):
+    from tickweek.__main__ import main
+
+    work = scratch("cli-acq")
+
+    def put(name, lines):
+        _write_text(spark, f"{work}/{name}", lines)
+
+    put("instruments", ['{"symbol": "PFE", "name": "Pfizer", "price": 1.0}', '{"symbol": "XOM", "name": "Exxon"}',
+                        '{"symbol": "NOPE", "name": "Not listed"}'])
+    put("members", ['{"companies": [{"symbol": "PFE", "name": "Pfizer"}, {"symbol": "XOM", "name": "Exxon"}]}'])
+    put("profiles", ['{"symbol": "PFE", "companyName": "Pfizer Inc.", "sector": "Healthcare", "ceo": "Dr. A, Ph.D."}'])
+    put("history", ['{"symbol": "PFE", "date": "2022-12-30", "open": 51.29, "volume": 11396200, "label": "December 30, 22"}',
+                    '{"symbol": "PFE", "date": "2016-12-30", "open": 40.0}'])
+    main(["acquire", f"{work}/instruments", f"{work}/members", f"{work}/profiles", f"{work}/history", f"{work}/docs",
+          "--from", "2017-01-01", "--to", "2023-01-01"])
+    main(["flatten", f"{work}/docs", f"{work}/csv", "--rejects", f"{work}/rejects"])
+    rows = spark.read.csv(f"{work}/csv", header=True).collect()
+    assert [(r.symbol, r.date, r.ceo, r.label) for r in rows] == [("PFE", "2022-12-30", "Dr. A. Ph.D.", "December 30. 22")]
+    assert [r.symbol for r in spark.read.csv(f"{work}/rejects", header=True).collect()] == ["XOM"]

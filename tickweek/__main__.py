@@ -2,6 +2,7 @@
 
     python -m tickweek stock INPUT OUTPUT [--stage1 DIR] [--style dataframe|tables|key-value|grouped]
     python -m tickweek vehicles INPUT OUTPUT [--filtered DIR] [--style dataframe|tables]
+    python -m tickweek acquire INSTRUMENTS MEMBERS PROFILES HISTORY OUTPUT [--from D --to D] [--multi-line]
     python -m tickweek flatten DOCUMENTS OUTPUT [--rejects DIR] [--multi-line]
     python -m tickweek land SOURCE TARGET [--format csv|json|text|parquet]
 
@@ -19,10 +20,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 from tickweek.plans import acquisition, stock, vehicles
-from tickweek.schemas import BARS, TITLES
+from tickweek.fixed import HISTORY_FROM, HISTORY_TO
+from tickweek.schemas import BARS, HISTORY_ROW, INSTRUMENT, PROFILE, TITLES
 from tickweek.session import apply_recommended_conf, scratch_path
-from tickweek.sinks.files import land, write_csv
-from tickweek.sources.files import read_delimited, read_documents
+from tickweek.sinks.files import land, write_csv, write_documents
+from tickweek.sources.files import read_delimited, read_documents, read_member_list
 
 
 def _stock(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -57,6 +59,18 @@ def _flatten(spark: SparkSession, a: argparse.Namespace) -> None:
         write_csv(acquisition.rejects(docs), a.rejects, header=True, mode=a.mode)
 
 
+def _acquire(spark: SparkSession, a: argparse.Namespace) -> None:
+    ml = a.multi_line
+    docs = acquisition.documents_from_records(
+        read_documents(spark, a.instruments, INSTRUMENT, multi_line=ml),
+        read_member_list(spark, a.members, multi_line=ml),
+        read_documents(spark, a.profiles, PROFILE, multi_line=ml),
+        read_documents(spark, a.history, HISTORY_ROW, multi_line=ml),
+        history_range=(a.date_from, a.date_to) if a.date_from and a.date_to else None,
+    )
+    write_documents(docs.drop("page_month", "page"), a.output, mode=a.mode)
+
+
 def _land(spark: SparkSession, a: argparse.Namespace) -> None:
     reader = spark.read.format(a.format)
     if a.format == "csv":
@@ -92,6 +106,17 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--multi-line", action="store_true", help="files hold a JSON array, not one object per line")
     f.set_defaults(run=_flatten)
 
+    q = sub.add_parser("acquire", help="constituents with profiles and nested history, as JSON documents")
+    q.add_argument("instruments", help="instrument list (JSON records)")
+    q.add_argument("members", help='constituent lists ({"companies": [...]})')
+    q.add_argument("profiles", help="profile records (JSON, one per symbol)")
+    q.add_argument("history", help="bars as JSON records with a symbol field")
+    q.add_argument("output")
+    q.add_argument("--from", dest="date_from", help=f"first history date (the original request used {HISTORY_FROM})")
+    q.add_argument("--to", dest="date_to", help=f"last history date (the original request used {HISTORY_TO})")
+    q.add_argument("--multi-line", action="store_true", help="files hold JSON arrays")
+    q.set_defaults(run=_acquire)
+
     g = sub.add_parser("land", help="copy a dataset to a target unless the target exists")
     g.add_argument("source")
     g.add_argument("target")

@@ -48,6 +48,20 @@ def company_documents(
     return attach_history(companies(instruments, members, profile_bodies), pages, history=bars)
 
 
+def documents_from_records(
+    instruments: DataFrame,
+    members: DataFrame,
+    profiles: DataFrame,
+    history: DataFrame,
+    history_range: tuple[str, str] | None = None,
+    page_rows: int = PAGE_ROWS,
+) -> DataFrame:
+    """As ``company_documents``, with profiles already as records (one per symbol)."""
+    bars = history if history_range is None else within(history, "date", *history_range)
+    listed = merge_right_wins(keep_members(instruments, members), profiles)
+    return attach_history(listed, nest_history(bars, page_rows=page_rows), history=bars)
+
+
 def flat_rows(docs: DataFrame) -> DataFrame:
     """One row per (company, bar): the 19 company columns, then the 13 bar columns."""
     return flatten_documents(documents_with_bars(docs), COMPANY_COLUMNS, BAR_COLUMNS)

@@ -95,6 +95,9 @@ PROFILE = StructType(
     + _fields("volAvg mktCap", LongType())
 )
 
+# One bar of a symbol's history as a flat record (history files).
+HISTORY_ROW = StructType([StructField("symbol", StringType(), True)] + list(BAR.fields))
+
 # A flattened company-and-bar row as written by the converter: 19 company
 # columns (typed as in the document) and the 13 bar columns.
 FLAT_ROW = StructType([COMPANY[c] for c in COMPANY_COLUMNS] + list(BAR.fields))
