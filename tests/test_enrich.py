@@ -127,3 +127,10 @@ def test_null_keys_keep_their_rows(spark):
     pages = nest_history(_history(spark, rows), page_rows=2)
     flat = pages.select("symbol", F.explode("stockData").alias("b")).select("symbol", "b.date", "b.close")
     assert _multiset(flat.collect()) == _multiset(rows)
+
+
+def test_one_per_key_is_deterministic(spark):
+    from tickweek.operators.enrich import one_per_key
+
+    df = spark.createDataFrame([("A", "z", 2), ("A", "b", 9), ("B", None, 1)], "symbol string, name string, n int")
+    assert sorted(tuple(r) for r in one_per_key(df).collect()) == [("A", "b", 9), ("B", None, 1)]

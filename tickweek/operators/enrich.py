@@ -61,6 +61,18 @@ def first_record(bodies: DataFrame, body: str, element: StructType, key: str = "
     )
 
 
+def one_per_key(df: DataFrame, key: str = "symbol") -> DataFrame:
+    """One record per ``key``: the smallest record by its field order.
+
+    Deterministic on every run and a map-side combined aggregate, so a key
+    with very many records costs one buffer per task."""
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return df.select(key).distinct()
+    smallest = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_r")
+    return df.groupBy(key).agg(smallest).select(key, *[F.col("_r").getField(c).alias(c) for c in others])
+
+
 def merge_right_wins(left: DataFrame, right: DataFrame, key: str = "symbol") -> DataFrame:
     """Left outer join on ``key``; on equal names the right value wins when the
     right row exists, even if that value is NULL. ``right`` must be unique on ``key``."""

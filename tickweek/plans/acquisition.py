@@ -20,6 +20,7 @@ from tickweek.operators.enrich import (
     keep_members,
     merge_right_wins,
     nest_history,
+    one_per_key,
 )
 from tickweek.schemas import BAR_COLUMNS, COMPANY_COLUMNS, PROFILE
 
@@ -56,9 +57,10 @@ def documents_from_records(
     history_range: tuple[str, str] | None = None,
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
-    """As ``company_documents``, with profiles already as records (one per symbol)."""
+    """As ``company_documents``, with profiles already as records; a symbol
+    with several records keeps one (``one_per_key``)."""
     bars = history if history_range is None else within(history, "date", *history_range)
-    listed = merge_right_wins(keep_members(instruments, members), profiles)
+    listed = merge_right_wins(keep_members(instruments, members), one_per_key(profiles))
     return attach_history(listed, nest_history(bars, page_rows=page_rows), history=bars)
 
 
