@@ -17,7 +17,7 @@ from tickweek.functions.calendar import day_of_week, days_since_origin, iso_date
 from tickweek.functions.json import json_text, parse_json
 from tickweek.functions.numeric import mid_price, to_double
 from tickweek.functions.text import normalise_sector
-from tickweek.operators.clean import clean_bars, within
+from tickweek.operators.clean import clean_bars, valid_titles, within
 from tickweek.operators.enrich import keep_members, merge_right_wins, paged_lists
 from tickweek.plans import acquisition, explain, stock, vehicles
 from tickweek.plans.oracle import DIGITS, TIE_SHIFT
@@ -108,7 +108,7 @@ def mid_price_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vehicles_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    return A.titles(spark, sf).where("vehicleCost > 0 AND modelYear > 1900")
+    return valid_titles(A.titles(spark, sf))
 
 
 def vehicle_age_week_band(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,7 +184,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "titles-tsv")
     write_delimited(A.titles(spark, sf), path, "\t", header=True)
-    return read_titles(spark, path, header=False).where("vehicleCost > 0 AND modelYear > 1900")
+    return valid_titles(read_titles(spark, path, header=False))
 
 
 def text_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,7 +248,7 @@ def flat_csv_export(spark: SparkSession, sf: str) -> DataFrame:
 
 def explain_extended(spark: SparkSession, sf: str) -> DataFrame:
     """The vehicle stage-2 statement under ``EXPLAIN EXTENDED`` (one ``plan`` row)."""
-    A.titles(spark, sf).where("vehicleCost > 0 AND modelYear > 1900").createOrReplaceTempView("cars_filtered_data")
+    valid_titles(A.titles(spark, sf)).createOrReplaceTempView("cars_filtered_data")
     return explain.explain_extended(
         spark,
         """
