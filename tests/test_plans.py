@@ -38,3 +38,17 @@ def test_key_value_sort_is_range_partitioned(spark):
 
     df = stock.key_value_stage1(A.bar_rows(spark, SF)).orderBy("symbol", "sector", "periodStart")
     assert "rangepartitioning" in plan_text(df.select(F.lit(1)), "simple")
+
+
+def test_vehicle_job_is_map_only(spark, scratch):
+    from tickweek.plans.vehicles import vehicle_report
+    from tickweek.sinks.files import write_delimited
+    from tickweek.sources.files import read_titles
+
+    path = scratch("titles-plan")
+    write_delimited(A.titles(spark, SF), path, "\t", header=False)
+    plan = plan_text(vehicle_report(read_titles(spark, path)), "simple")
+    assert "Exchange" not in plan
+    assert "PushedFilters: [IsNotNull(vehicleCost), IsNotNull(modelYear)" in plan
+    scan = [line for line in plan.splitlines() if "FileScan csv" in line][0]
+    assert scan.split("[", 1)[1].split("]", 1)[0].replace("#", " ").split(",").__len__() == 3  # pruned to 3 columns
