@@ -50,3 +50,53 @@ def test_paging_keeps_every_row(spark, groups, page_rows):
     sizes = [r[0] for r in pages.select(F.size("items")).collect()]
     distinct_per_page = max(len(set(r[0])) for r in pages.select(F.transform("items", lambda x: x.v)).collect())
     assert max(sizes) <= page_rows * (distinct_per_page + 1)
+
+
+def _brute_force_sector_weeks(rows):
+    """The stock job's rules in plain Python: clean, normalise, Monday week, two averages."""
+    per_symbol = collections.defaultdict(list)
+    for symbol, sector, date, low in rows:
+        if symbol is None or sector is None or symbol == "symbol" or sector == "":
+            continue
+        try:
+            d = dt.date.fromisoformat(date) if date and len(date) == 10 else None
+        except ValueError:
+            d = None
+        week = d - dt.timedelta(days=d.weekday()) if d else None
+        per_symbol[(symbol, sector.replace(" ", "_").lower(), week)].append(low)
+    per_sector = collections.defaultdict(list)
+    for (symbol, sector, week), lows in per_symbol.items():
+        vals = [v for v in lows if v is not None]
+        per_sector[(sector, week)].append(sum(vals) / len(vals) if vals else None)
+    out = {}
+    for key, avgs in per_sector.items():
+        vals = [v for v in avgs if v is not None]
+        out[key] = sum(vals) / len(vals) if vals else None
+    return out
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["A", "B", "symbol", None]),
+            st.sampled_from(["Real Estate", "energy", "", None, "A  B"]),
+            st.sampled_from(["2022-12-26", "2022-12-30", "2023-01-02", "1899-12-31", "not a date", None]),
+            st.one_of(st.none(), st.integers(0, 1000).map(float)),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_sector_weeks_match_brute_force(spark, rows):
+    from tickweek.plans.stock import sector_week_report
+
+    schema = "symbol string, sector string, date string, low double"
+    df = spark.createDataFrame(rows, schema).select(
+        "*", *[F.col("low").alias(c) for c in ("high", "close", "open", "volume")]
+    )
+    got = {(r.sector, r.periodStart): r.avgLow for r in sector_week_report(df).collect()}
+    want = _brute_force_sector_weeks(rows)
+    assert set(got) == set(want)
+    for key, value in want.items():
+        assert (got[key] is None and value is None) or abs(got[key] - value) < 1e-9
