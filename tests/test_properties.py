@@ -100,3 +100,40 @@ def test_sector_weeks_match_brute_force(spark, rows):
     assert set(got) == set(want)
     for key, value in want.items():
         assert (got[key] is None and value is None) or abs(got[key] - value) < 1e-9
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from([100.0, 0.0, -5.0, None]),
+            st.sampled_from([1900, 1950, 1975, 2010, 2016, None]),
+            st.sampled_from(["2020-06-15", "2015-01-01", "1899-12-31", "unknown", None]),
+        ),
+        min_size=1,
+        max_size=30,
+    ),
+    st.booleans(),
+)
+def test_vehicle_report_matches_brute_force(spark, rows, sql_null_band):
+    from tickweek.plans.vehicles import vehicle_report
+
+    df = spark.createDataFrame(rows, "vehicleCost double, modelYear int, purchaseDate string")
+    got = sorted(
+        (tuple(r) for r in vehicle_report(df, null_band="Classic" if sql_null_band else None).collect()),
+        key=repr,
+    )
+    want = []
+    for cost, year, text in rows:
+        if cost is None or year is None or not (cost > 0 and year > 1900):
+            continue
+        d = dt.date.fromisoformat(text) if text and text[0].isdigit() else None
+        age = d.year - year if d else None
+        days = (d - dt.date(1900, 1, 1)).days if d else None
+        week = d - dt.timedelta(days=int(days - 7 * int(days / 7))) if d else None  # signed remainder
+        if age is None:
+            band = "Classic" if sql_null_band else None
+        else:
+            band = "New" if age < 8 else ("Old" if age <= 40 else "Classic")
+        want.append((d, year, age, week, band))
+    assert got == sorted(want, key=repr)
