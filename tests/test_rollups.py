@@ -88,3 +88,10 @@ def test_struct_group_is_flattened(bars):
     prepared = prepare_bars(clean_bars(bars))
     out = grouped_averages(prepared, ["symbol", "sector", "periodStart"], SYMBOL_MEASURES)
     assert out.columns[:3] == ["symbol", "sector", "periodStart"]
+
+
+def test_range_filter_tolerates_bad_text(spark):
+    from tickweek.operators.clean import within
+
+    df = spark.createDataFrame([("2017-01-01",), ("2023-01-01",), ("2016-12-31",), ("not a date",), (None,)], "date string")
+    assert [r.date for r in within(df, "date", "2017-01-01", "2023-01-01").collect()] == ["2017-01-01", "2023-01-01"]

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tickweek.fixed import HEADER_SYMBOL, MIN_MODEL_YEAR
 
 
-
 def is_clean_bar(symbol: str = "symbol", sector: str = "sector") -> Column:
     """Not the header line and a non-empty sector. NULL in either drops the row."""
     return (F.col(symbol) != HEADER_SYMBOL) & (F.col(sector) != "")
@@ -32,9 +31,12 @@ def valid_titles(df: DataFrame) -> DataFrame:
 
 
 def within(df: DataFrame, column: str, start, end) -> DataFrame:
-    """Rows whose ``column`` (a date or ISO date text) lies in [start, end]."""
-    c = F.col(column)
-    return df.where(c.cast("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """Rows whose ``column`` (a date, or date text) lies in [start, end].
+
+    Text that is not a date is NULL and drops (no error under ANSI mode). On
+    a DATE column the cast is a no-op and the range reaches the scan."""
+    c = F.col(column).try_cast("date")
+    return df.where(c.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
 def split_rejects(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
