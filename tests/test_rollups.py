@@ -95,3 +95,22 @@ def test_range_filter_tolerates_bad_text(spark):
 
     df = spark.createDataFrame([("2017-01-01",), ("2023-01-01",), ("2016-12-31",), ("not a date",), (None,)], "date string")
     assert [r.date for r in within(df, "date", "2017-01-01", "2023-01-01").collect()] == ["2017-01-01", "2023-01-01"]
+
+
+def test_hot_symbol_third_of_rows(spark):
+    """One symbol holds a third of all rows: results stay exact and the rollup
+    combines it map-side (partial average before the first exchange)."""
+    from tickweek.plans.explain import plan_text
+
+    rows = []
+    for i in range(3000):
+        symbol = "HOT" if i % 3 == 0 else f"S{i % 97}"
+        day = 26 + i % 5  # Monday 2022-12-26 .. Friday 2022-12-30
+        rows.append((symbol, "Tech" if symbol == "HOT" else "Energy", f"2022-12-{day}", 1.0, 2.0, float(i % 10), 1.0, 1.0))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    out = {r.sector: r.avgLow for r in sector_week_report(df).collect()}
+    hot = [r[5] for r in rows if r[0] == "HOT"]
+    assert out["tech"] == pytest.approx(sum(hot) / len(hot))
+    plan = plan_text(sector_week_report(df), "simple")
+    first_exchange = plan.rfind("Exchange hashpartitioning(symbol")
+    assert "partial_avg" in plan[first_exchange:]
