@@ -134,3 +134,15 @@ def test_one_per_key_is_deterministic(spark):
 
     df = spark.createDataFrame([("A", "z", 2), ("A", "b", 9), ("B", None, 1)], "symbol string, name string, n int")
     assert sorted(tuple(r) for r in one_per_key(df).collect()) == [("A", "b", 9), ("B", None, 1)]
+
+
+def test_assume_unique_keeps_rows_and_skips_a_shuffle(spark):
+    from tickweek.plans.explain import plan_text
+
+    rows = [("A", f"2022-01-{d:02d}", float(d)) for d in range(1, 29)] + [("B", "2022-02-01", 1.0), ("B", "2022-02-01", 1.0)]
+    hist = _history(spark, rows)
+    fast = nest_history(hist, page_rows=5, assume_unique=True)
+    flat = fast.select("symbol", F.explode("stockData").alias("b")).select("symbol", "b.date", "b.close")
+    assert _multiset(flat.collect()) == _multiset(rows)  # even the copies the promise did not cover
+    counted = plan_text(nest_history(hist, page_rows=5), "simple").count("Exchange")
+    assert plan_text(fast, "simple").count("Exchange") < counted

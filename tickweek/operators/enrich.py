@@ -92,7 +92,9 @@ def merge_right_wins(left: DataFrame, right: DataFrame, key: str = "symbol") ->
     return joined.select(*cols)
 
 
-def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+def paged_lists(
+    df: DataFrame, keys: list[str], items: list[str], name: str, page_rows: int = PAGE_ROWS, assume_unique: bool = False
+) -> DataFrame:
     """Collect ``items`` per ``keys`` into arrays of about ``page_rows`` elements.
 
     Returns ``(*keys, page, name)``. Each input row lands in exactly one page;
@@ -109,6 +111,11 @@ def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, pag
       shuffle and no task expands more than one block per counted row.
     * The chunks of one item take consecutive pages from the item's hash;
       distinct items spread by hash.
+
+    ``assume_unique=True`` skips the copy count (one shuffle less) for data
+    whose rows are known to be distinct, such as bars keyed by (symbol,
+    date). Every row still lands in exactly one page; only the page bound
+    then relies on that promise.
     """
     item = F.struct(*[F.col(f"`{c}`") for c in items])
 
@@ -118,10 +125,12 @@ def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, pag
     def blocks_of(chunks: Column) -> Column:
         return F.ceil(chunks / CHUNK_BLOCK)
 
+    if assume_unique:
+        counted = df.select(*keys, *items).withColumn("_copies", F.lit(1).cast("long"))
+    else:
+        counted = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("_copies"))
     counted = (
-        df.groupBy(*keys, *items)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_chunks", F.ceil(F.col("_copies") / page_rows))
+        counted.withColumn("_chunks", F.ceil(F.col("_copies") / page_rows))
         .withColumn("_block", ids(F.lit(0), blocks_of(F.col("_chunks"))))
     )
     if keys:
@@ -150,7 +159,9 @@ def paged_lists(df: DataFrame, keys: list[str], items: list[str], name: str, pag
     )
 
 
-def nest_history(history: DataFrame, key: str = "symbol", date: str = "date", page_rows: int = PAGE_ROWS) -> DataFrame:
+def nest_history(
+    history: DataFrame, key: str = "symbol", date: str = "date", page_rows: int = PAGE_ROWS, assume_unique: bool = False
+) -> DataFrame:
     """Nest bars into pages ``(key, page_month, page, stockData)``.
 
     ``stockData`` holds the bar structs (all columns but ``key``) of one
@@ -159,7 +170,9 @@ def nest_history(history: DataFrame, key: str = "symbol", date: str = "date", pa
     """
     bar_cols = [c for c in history.columns if c != key]
     month = F.substring(F.col(date).cast("string"), 1, 7)
-    pages = paged_lists(history.withColumn("page_month", month), [key, "page_month"], bar_cols, "stockData", page_rows)
+    pages = paged_lists(
+        history.withColumn("page_month", month), [key, "page_month"], bar_cols, "stockData", page_rows, assume_unique
+    )
     return pages.withColumn("stockData", F.sort_array("stockData", asc=False))
 
 
