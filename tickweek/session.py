@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster job should run with. AQE coalesces small shuffle
 # partitions to the advisory size and splits skewed ones; input splits of
@@ -66,13 +66,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (a bare test session) is a local
-    folder created and registered, so later calls agree on it.
+    Only a ``local[...]`` session that names none (a bare test session) gets a
+    local folder, registered so that later calls agree on it. Elsewhere each
+    executor would write to its own disk, so a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tickweek-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -83,6 +85,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root.
 
     Each call gets its own folder, so re-running a query that appends or
-    refuses to overwrite never meets files of an earlier run.
+    refuses to overwrite never meets files of an earlier run. The folder is
+    deleted when the application ends: the frames read from it are lazy, so
+    no earlier moment is safe.
     """
-    return f"{checkpoint_root(spark)}/tickweek/{name}-{uuid.uuid4().hex}"
+    run = f"{checkpoint_root(spark)}/tickweek/{spark.sparkContext.applicationId}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)  # only an existing path can be registered
+    files.deleteOnExit(folder)
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a scratch folder and read back: lineage ends there."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
