@@ -33,7 +33,8 @@ from tickweek.session import stored
 CAPACITY = 2048
 ROUNDS = 250  # multiplicative-weight steps
 STEP = 0.5  # share of the scarcest length's open demand that one step covers
-RATE = 2.0  # a length's weight falls to exp(-RATE) as it becomes covered
+RATE = 0.5  # a length's weight falls to exp(-RATE) as it becomes covered
+PRICE = 1.25  # a length starts with the weight (length / capacity) ** PRICE: longer pieces first
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # copies, ((length, times), ...)
 
@@ -74,7 +75,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
         return out
     demand = np.array([histogram[n] for n in lengths.tolist()], np.float64)
     open_ = demand.copy()
-    weight = lengths / capacity
+    weight = (lengths / capacity) ** PRICE
     taken: dict[tuple[tuple[int, int], ...], float] = {}
     for _ in range(rounds):
         chosen = best_configuration(lengths, weight, np.floor(open_ + 1e-9).astype(np.int64), capacity)

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweek.llm import decontaminate, packing, sharding
+from tickweek.llm import decontaminate, langid, packing, quality, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_language": langid.op2_language,
+        "op4_quality": quality.op4_quality,
         "op7_decontamination": decontaminate.op7_decontamination,
         "op9_sharding": sharding.op9_sharding,
     }
