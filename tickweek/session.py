@@ -101,5 +101,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a scratch folder and read back: lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
