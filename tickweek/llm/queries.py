@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweek.llm import decontaminate, langid, packing, quality, sharding
+from tickweek.llm import decontaminate, fingerprint, langid, linededup, neardup, packing, quality, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1_packing,
         "op2_language": langid.op2_language,
+        "op3_fingerprints": fingerprint.op3_fingerprints,
         "op4_quality": quality.op4_quality,
         "op7_decontamination": decontaminate.op7_decontamination,
+        "op8_line_dedup": linededup.op8_line_dedup,
         "op9_sharding": sharding.op9_sharding,
+        "op10_near_duplicates": neardup.op10_near_duplicates,
     }
 
 
