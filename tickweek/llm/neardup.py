@@ -47,37 +47,45 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 _random = np.random.default_rng(17)
-_A = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+HASH_A = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+HASH_B = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
-    """Each text's distinct word shingles as sorted 64-bit hashes; none without words.
+def shingle_rows(texts: list[str | None], size: int = SHINGLE, exact: bool = False) -> tuple[list[np.ndarray], list[int]]:
+    """Each text's word shingles as 64-bit hashes in text order, and its number of words if that is below ``size``, else 0.
 
-    Words are runs of characters other than ASCII white space, A-Z in lower case.
+    Words are runs of characters other than ASCII white space, A-Z in lower
+    case. A text of fewer than ``size`` words is one shingle, or none if
+    ``exact``; a text without words has none.
     """
     split = [t.encode().lower().split() if t else [] for t in texts]
     flat = np.empty(sum(map(len, split)), object)
     flat[:] = [w for x in split for w in x]
     codes, unique = pd.factorize(flat)
     hashes = _mix(pd.util.hash_array(unique, categorize=False))[codes] if len(codes) else np.zeros(0, np.uint64)
-    out, start = [], 0
+    out, shorter, start = [], [], 0
     for x in split:
         w = hashes[start : start + len(x)]
         start += len(x)
-        k = min(size, len(x))
+        k = size if exact else min(size, len(x))
         h = np.full(max(len(x) - k + 1, 0) if k else 0, np.uint64(k), np.uint64)
-        for j in range(k):
+        for j in range(k if len(h) else 0):
             h = _mix(h * _P + w[j : j + len(h)])
-        out.append(np.unique(h))
-    return out
+        out.append(h)
+        shorter.append(len(x) if len(x) < size else 0)
+    return out, shorter
+
+
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+    """Each text's distinct word shingles, sorted."""
+    return [np.unique(h) for h in shingle_rows(texts, size)[0]]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest of each of ``HASHES`` hash functions over the set."""
     out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     for k in range(0, len(shingles), 1024):
-        h = shingles[k : k + 1024, None] * _A + _B
+        h = shingles[k : k + 1024, None] * HASH_A + HASH_B
         np.minimum(out, (h >> np.uint64(32)).min(0).astype(np.uint32), out=out)
     return out
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweek.llm import decontaminate, fingerprint, langid, linededup, neardup, packing, quality, sharding
+from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language": langid.op2_language,
         "op3_fingerprints": fingerprint.op3_fingerprints,
         "op4_quality": quality.op4_quality,
+        "op5_licenses": licenses.op5_licenses,
+        "op6_binary": binary.op6_binary,
         "op7_decontamination": decontaminate.op7_decontamination,
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_sharding": sharding.op9_sharding,
