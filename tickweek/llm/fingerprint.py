@@ -136,16 +136,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     order = successors(
         keyed.select(F.col("h").endswith("-").alias("no_id"), "id0", "h", F.char_length("text").cast("long").alias("n_chars"))
     )
-    tagged = with_fingerprint(keyed, "text", "fp")
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    # Each document hands its start and fingerprint to the one before it.
-    handed = (
-        tagged.withColumnsRenamed({"id0": "id1", "h": "h1"})
-        .join(order, ["id1", "h1"])
-        .select("id0", "h", "n_chars", F.substring(F.col("text"), F.lit(1), half).alias("start"), F.col("fp").alias("fp_next"))
-        .dropDuplicates(["id0", "h"])
+    # Beside its successor relation a text is fingerprinted once. Its start and
+    # fingerprint go to the document before it, its fingerprint also to itself;
+    # both joins read one shuffle of the plain texts.
+    named = keyed.withColumnsRenamed({"id0": "id1", "h": "h1"}).join(order, ["id1", "h1"])
+    start = F.substring(F.col("text"), F.lit(1), half)
+    to_before = F.struct("id0", "h", "n_chars", start.alias("start"), F.col("fp").alias("fp_next"), F.lit(None).cast("array<bigint>").alias("fp"))
+    to_self = F.struct(
+        F.col("id1").alias("id0"), F.col("h1").alias("h"), F.lit(None).cast("long").alias("n_chars"),
+        F.lit(None).cast("string").alias("start"), F.lit(None).cast("array<bigint>").alias("fp_next"), F.col("fp").alias("fp"),
     )
-    met = tagged.join(handed, ["id0", "h"]).withColumn(
+    handed = with_fingerprint(named, "text", "fp").select(F.inline(F.array(to_before, to_self)))
+    handed = handed.groupBy("id0", "h").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("n_chars", "start", "fp_next", "fp")])
+    met = keyed.join(handed, ["id0", "h"]).withColumn(
         "edited", F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), "start")
     )
     both = met.select("id0", "h", "n_chars", "fp", "fp_next", "edited")
