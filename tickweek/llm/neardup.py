@@ -6,11 +6,13 @@ within a bucket are compared signature batch by batch and dropped as soon as
 the posterior chance that they reach the threshold is below ``MISS``; survivors
 are verified on their full shingle sets. Verified links join components.
 
-A bucket's members are first compared with one of them, its centre, so a bucket
-of n members makes n - 1 pairs. Members that end up in one component need no
-more work. Buckets that still hold several components get further centres, and
-in the end every pair across components, in each bucket that is left, is
-compared: no candidate pair that could join two components is skipped.
+A bucket's members are compared with one of them, its centre, so a bucket of n
+members makes n - 1 pairs; a second round takes other centres. Buckets that then
+still hold several components may hide a link between two members that no
+centre shares. Their classes go through an exact search that forms no pairs by
+bucket: shingles are put in one order, rare ones first, and two sets that are
+similar enough must share a shingle among the first few of both (prefix filter),
+so texts that only have a common passage in common never meet.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ BANDS, ROWS = 32, 4  # at 0.75 a pair meets in some band with probability 1 - 5e
 HASHES = BANDS * ROWS
 BATCH = 16  # signature values compared before each look at the posterior
 MISS = 1e-4  # chance of a true pair below which comparing stops
-CENTRES = 3  # rounds with one centre per bucket before all pairs that are left
+CENTRES = 2  # rounds with one centre per bucket before the exact search
+COUNTERS = 1 << 20  # hashed counters of how common shingles are; any values keep the search exact
+BLOCKS = 16  # the counters travel in so many blocks
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,11 +160,8 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def verify(pairs: DataFrame, found: DataFrame, classes: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough; texts travel only for classes in a pair."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    place = classes.join(wanted, "c").select("c", F.col("first.rid").alias("rid"))
-    texts = stored(found.select("rid", F.col("row.text").alias("text")).join(place, "rid").select("c", "text"), "neardup-texts")
+def verify(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough; ``texts`` has ``c, text``."""
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,6 +206,75 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("c"), F.col("v").alias("comp")).union(roots)
 
 
+def common_counts(texts: DataFrame) -> np.ndarray:
+    """About how many of ``texts`` hold a shingle, by ``shingle % COUNTERS``; a fixed number of counters."""
+    kind = "block int, counts binary"
+
+    def rows(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        values = [x.astype("<i8").tobytes() for x in counts.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(values, pa.binary())], ["block", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in slices(batches):
+            sets = shingle_sets(batch["text"].to_pylist())
+            total += np.bincount(np.concatenate(sets) % np.uint64(COUNTERS), minlength=COUNTERS)
+        yield rows(dict(enumerate(total.reshape(BLOCKS, -1))))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch["block"].to_pylist(), batch["counts"].to_pylist()):
+                total[block] = total.get(block, 0) + np.frombuffer(counts, "<i8")
+        yield rows(total)
+
+    found = texts.select("text").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect()  # BLOCKS rows
+    out = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.int64)
+    for r in found:
+        out[r.block] = np.frombuffer(r.counts, "<i8")
+    return out.reshape(-1)
+
+
+def prefix_pairs(texts: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """All pairs ``a < b`` of ``texts`` (c, comp, text) of different components that may be similar enough.
+
+    Of a set x, in the common order, the first |x| - ceil(t |x|) + 1 shingles probe
+    and the first |x| - ceil(2 t / (1 + t) |x|) + 1 are found; a pair that reaches
+    t has its first shared shingle among those that probe in the larger and
+    those found in the smaller set, with enough shingles behind it in both.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(common_counts(texts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for c, comp, x in zip(batch["c"].to_pylist(), batch["comp"].to_pylist(), shingle_sets(batch["text"].to_pylist())):
+                n = len(x)
+                probe = n - -(-numerator * n // denominator) + 1
+                index = n - -(-2 * numerator * n // (numerator + denominator)) + 1
+                first = x[np.lexsort((x, shared.value[x % np.uint64(COUNTERS)]))[:probe]].view(np.int64)
+                place = np.arange(len(first), dtype=np.int32)
+                same = np.full(len(first), 1, np.int64)
+                for column, values in zip(out, (first, c * same, comp * same, n * same, place, place < index)):
+                    column.append(values)
+            names = ["token", "c", "comp", "size", "place", "found"]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names)
+
+    rows = texts.mapInArrow(run, "token bigint, c bigint, comp bigint, size bigint, place int, found boolean")
+    rows = stored(rows, "neardup-prefixes")
+    x, y = rows.alias("x"), rows.where("found").alias("y")
+    behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    met = x.join(
+        y,
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.comp") != F.col("y.comp"))
+        & (F.col("y.size") <= F.col("x.size"))
+        & (F.col("y.size") * denominator >= F.col("x.size") * numerator)
+        & (behind * (numerator + denominator) >= (F.col("x.size") + F.col("y.size")) * numerator),
+    )
+    return met.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
     """Rows of ``docs`` (struct ``row``) with ``rid, n_shingles, component_id, keeper``.
 
@@ -228,35 +298,36 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(keyed.join(sizes, "bucket"), "neardup-members")
 
-    tested = links = None
-    of = members.select("bucket", "n", "c", F.col("c").alias("comp"))
+    wanted = classes.join(members.select("c").distinct(), "c").select("c", F.col("first.rid").alias("rid"))
+    texts = stored(found.select("rid", F.col("row.text").alias("text")).join(wanted, "rid").select("c", "text"), "neardup-texts")
+
+    links = tested = None
+    comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
+    of = members.select("bucket", "c", F.col("c").alias("comp"))
     for step in range(CENTRES + 1):
         if step:
-            of = members.where("n > 2").join(comps, "c", "left").select("bucket", "n", "c", F.coalesce("comp", "c").alias("comp"))
+            of = members.where("n > 2").join(comps, "c", "left").select("bucket", "c", F.coalesce("comp", "c").alias("comp"))
             split = of.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
             of = stored(of.join(split, "bucket"), "neardup-open")
         if step < CENTRES:
             # by another order in every round, so that other members become centres
             order = F.struct(F.xxhash64("c", F.lit(step)).alias("o"), "c", "comp")
             centres = of.groupBy("bucket").agg(F.min(order).alias("x")).select("bucket", F.col("x.c").alias("a"), F.col("x.comp").alias("comp_a"))
+            near = of.join(centres, "bucket").where("comp != comp_a")
+            pairs = near.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
         else:
-            centres = of.select("bucket", F.col("c").alias("a"), F.col("comp").alias("comp_a"))
-        near = of.join(centres, "bucket").where("comp != comp_a")
-        if step == CENTRES:
-            near = near.where("a < c")
-        pairs = near.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+            left = of.select("c", "comp").distinct()
+            pairs = prefix_pairs(stored(texts.join(left, "c").select("c", "comp", "text"), "neardup-left"), numerator, denominator)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "neardup-pairs")
         if pairs.isEmpty():
-            break
+            continue
         alive = stored(prune(pairs, classes, threshold), "neardup-alive")
-        new = stored(verify(alive, found, classes, numerator, denominator), "neardup-links")
+        new = stored(verify(alive, texts, numerator, denominator), "neardup-links")
         links = new if links is None else links.union(new)
         tested = pairs if tested is None else tested.union(pairs)
         comps = components(links)
-    if links is None:
-        comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
     placed = classes.select("c", "key", "first").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     heads = placed.groupBy("comp").agg(F.min("first").alias("head"))
     placed = placed.join(heads, "comp").select("key", F.col("head.doc_id").alias("component_id"), F.col("head.rid").alias("head"))
