@@ -7,7 +7,7 @@ the posterior chance that they reach the threshold is below ``MISS``; survivors
 are verified on their full shingle sets. Verified links join components.
 
 A bucket's members are compared with one of them, its centre, so a bucket of n
-members makes n - 1 pairs; a second round takes other centres. Buckets that then
+members makes n - 1 pairs; later rounds take other centres. Buckets that then
 still hold several components may hide a link between two members that no
 centre shares. Their classes go through an exact search that forms no pairs by
 bucket: shingles are put in one order, rare ones first, and two sets that are
@@ -36,7 +36,7 @@ BANDS, ROWS = 32, 4  # at 0.75 a pair meets in some band with probability 1 - 5e
 HASHES = BANDS * ROWS
 BATCH = 16  # signature values compared before each look at the posterior
 MISS = 1e-4  # chance of a true pair below which comparing stops
-CENTRES = 2  # rounds with one centre per bucket before the exact search
+CENTRES = 4  # rounds with one centre per bucket before the exact search
 COUNTERS = 1 << 20  # hashed counters of how common shingles are; any values keep the search exact
 BLOCKS = 16  # the counters travel in so many blocks
 
