@@ -31,7 +31,7 @@ from tickweek.llm.tokens import SEPARATOR, Encoder
 from tickweek.session import stored
 
 CAPACITY = 2048
-ROUNDS = 250  # multiplicative-weight steps
+ROUNDS = 600  # multiplicative-weight steps
 STEP = 0.5  # share of the scarcest length's open demand that one step covers
 RATE = 0.5  # a length's weight falls to exp(-RATE) as it becomes covered
 PRICE = 1.25  # a length starts with the weight (length / capacity) ** PRICE: longer pieces first
