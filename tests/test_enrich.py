@@ -1,3 +1,4 @@
+import pytest
 import collections
 
 from pyspark.sql import functions as F
@@ -22,14 +23,41 @@ def test_semi_join_never_duplicates(spark):
     items = spark.createDataFrame([("A", 1), ("B", 2), ("C.X", 3)], "symbol string, v int")
     members = spark.createDataFrame([("A",), ("A",), ("C.X",), ("Z",)], "symbol string")
     assert sorted(tuple(r) for r in keep_members(items, members).collect()) == [("A", 1), ("C.X", 3)]
-    assert sorted(tuple(r) for r in keep_members(items, members, broadcast_max_rows=0).collect()) == [("A", 1), ("C.X", 3)]
 
 
-def test_right_wins_even_with_null(spark):
+def test_present_fields_win(spark):
+    left = spark.createDataFrame([(k, "left-name", 1.0) for k in "ABCDE"], "symbol string, name string, price double")
+    bodies = spark.createDataFrame(
+        [
+            ("A", '[{"symbol":"A","companyName":"Co"}]'),
+            ("B", '[{"symbol":"B","name":null,"price":2.0}]'),
+            ("C", "[]"),
+            ("D", '[{"name":"zz-first"},{"name":"aa-second"}]'),
+        ],
+        "symbol string, body string",
+    )
+    rows = {r.symbol: r for r in merge_right_wins(left, first_record(bodies, "body", PROFILE, present=True)).collect()}
+    assert {k: (r.name, r.price) for k, r in rows.items()} == {
+        "A": ("left-name", 1.0),
+        "B": (None, 2.0),
+        "C": ("left-name", 1.0),
+        "D": ("zz-first", 1.0),
+        "E": ("left-name", 1.0),
+    }
+    assert rows["A"].companyName == "Co" and "__present" not in rows["A"]
+
+
+def test_repeated_body_is_an_error(spark):
+    bodies = spark.createDataFrame([("A", "[]"), ("A", "[]")], "symbol string, body string")
+    with pytest.raises(Exception, match="several bodies"):
+        first_record(bodies, "body", PROFILE).collect()
+
+
+def test_absent_values_of_records_keep_the_left(spark):
     left = spark.createDataFrame([("A", "a-name", 1.0), ("B", "b-name", 2.0)], "symbol string, name string, price double")
     right = spark.createDataFrame([("A", None, "US")], "symbol string, name string, country string")
     rows = {r.symbol: r for r in merge_right_wins(left, right).collect()}
-    assert rows["A"].name is None and rows["A"].country == "US" and rows["A"].price == 1.0
+    assert rows["A"].name == "a-name" and rows["A"].country == "US" and rows["A"].price == 1.0
     assert rows["B"].name == "b-name" and rows["B"].country is None
 
 

@@ -66,9 +66,10 @@ def _acquire(spark: SparkSession, a: argparse.Namespace) -> None:
         read_member_list(spark, a.members, multi_line=ml),
         read_documents(spark, a.profiles, PROFILE, multi_line=ml),
         read_documents(spark, a.history, HISTORY_ROW, multi_line=ml),
-        history_range=(a.date_from, a.date_to) if a.date_from and a.date_to else None,
+        history_range=(a.date_from, a.date_to) if a.date_from or a.date_to else None,
     )
-    write_documents(docs.drop("page_month", "page"), a.output, mode=a.mode)
+    # One document per page of a company; the page ids tell them apart.
+    write_documents(docs, a.output, mode=a.mode)
 
 
 def _land(spark: SparkSession, a: argparse.Namespace) -> None:

@@ -30,13 +30,15 @@ def valid_titles(df: DataFrame) -> DataFrame:
     return df.where(is_valid_title())
 
 
-def within(df: DataFrame, column: str, start, end) -> DataFrame:
-    """Rows whose ``column`` (a date, or date text) lies in [start, end].
+def within(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
+    """Rows whose ``column`` (a date, or date text) lies in [start, end]; a bound of None is open.
 
     Text that is not a date is NULL and drops (no error under ANSI mode). On
     a DATE column the cast is a no-op and the range reaches the scan."""
     c = F.col(column).try_cast("date")
-    return df.where(c.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    low = c.isNotNull() if start is None else c >= F.lit(start).cast("date")
+    high = c.isNotNull() if end is None else c <= F.lit(end).cast("date")
+    return df.where(low & high)
 
 
 def split_rejects(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:

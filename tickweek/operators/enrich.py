@@ -1,9 +1,9 @@
 """Joins and nesting: constituent filter, profile merge, history documents.
 
 * ``keep_members``: left semi join on the symbol (a filter, never a
-  duplication); the member side is broadcast only after a bounded probe proves it small.
+  duplication); Spark picks the join from measured sizes.
 * ``merge_right_wins``: left outer join where the right record's fields
-  replace equal names when the right row exists (``{...a, ...b}``).
+  replace equal names, field by field as the record has them.
 * ``nest_history`` / ``attach_history`` / ``flatten_documents``: company
   documents with a nested array of bars, and back to one row per bar.
 
@@ -25,39 +25,34 @@ PAGE_ROWS = 4096
 CHUNK_BLOCK = 4096
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when a bounded probe shows at most ``max_rows`` rows.
+def keep_members(items: DataFrame, members: DataFrame, key: str = "symbol") -> DataFrame:
+    """Rows of ``items`` whose ``key`` occurs in ``members`` (exact match, no normalising)."""
+    return items.join(members.select(key), key, "left_semi")
 
-    ``take`` scans incrementally (one partition first, then more) and stops
-    once ``max_rows + 1`` one-column rows are found, so the proof is cheap
-    for large inputs and brings at most that many constants to the driver;
-    beyond the bound Spark plans the shuffle join itself (AQE may still pick
-    a broadcast from runtime sizes).
-    """
-    if max_rows > 0 and len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows:
-        return F.broadcast(df)
-    return df
 
+# Names of the fields that a record's text really has (see ``merge_right_wins``).
+PRESENT = "__present"
 
-def keep_members(items: DataFrame, members: DataFrame, key: str = "symbol", broadcast_max_rows: int = 100_000) -> DataFrame:
-    """Rows of ``items`` whose ``key`` occurs in ``members`` (exact match, no normalising)."""
-    keys = members.select(key)
-    return items.join(broadcast_if_bounded(keys, broadcast_max_rows), key, "left_semi")
 
-
-def first_record(bodies: DataFrame, body: str, element: StructType, key: str = "symbol") -> DataFrame:
+def first_record(bodies: DataFrame, body: str, element: StructType, key: str = "symbol", present: bool = False) -> DataFrame:
     """Parse a JSON array text per key and keep its first record as columns.
 
-    A body that is not JSON, an empty array, or a NULL body gives no row.
+    A body that is not JSON, an empty array, or a NULL body gives no row; a
+    key with several bodies is an error. With ``present`` the column ``PRESENT``
+    lists the fields the record's text has, be they null or not.
     The first element is taken by exploding a one-element slice, so the
     parse runs once per row (a filter on a parsed alias would be inlined
     into the join below it and parse the text twice)."""
-    first = F.explode(F.slice(F.from_json(F.col(body), ArrayType(element)), 1, 1))
+    repeated = F.raise_error(F.concat(F.lit("several bodies for key "), F.col(key).cast("string"))).cast("string")
+    one = bodies.groupBy(key).agg(F.count("*").alias("_n"), F.first(body).alias("_body"))
+    one = one.select(key, F.when(F.col("_n") == 1, F.col("_body")).otherwise(repeated).alias("_body"))
+    first = F.explode(F.slice(F.from_json("_body", ArrayType(element)), 1, 1))
     fields = [f.name for f in element.fields if f.name != key]
+    names = [F.json_object_keys(F.get_json_object("_body", "$[0]")).alias(PRESENT)] if present else []
     return (
-        bodies.select(key, first.alias("_first"))
+        one.select(key, first.alias("_first"), *names)
         .where(F.col("_first").isNotNull())
-        .select(key, *[F.col("_first").getField(f).alias(f) for f in fields])
+        .select(key, *[F.col("_first").getField(f).alias(f) for f in fields], *([PRESENT] if present else []))
     )
 
 
@@ -74,21 +69,25 @@ def one_per_key(df: DataFrame, key: str = "symbol") -> DataFrame:
 
 
 def merge_right_wins(left: DataFrame, right: DataFrame, key: str = "symbol") -> DataFrame:
-    """Left outer join on ``key``; on equal names the right value wins when the
-    right row exists, even if that value is NULL. ``right`` must be unique on ``key``."""
-    marker = "__right_row"
-    r = right.withColumn(marker, F.lit(True))
-    joined = left.alias("l").join(r.alias("r"), key, "left")
-    has_right = F.col(f"r.{marker}").isNotNull()
+    """Left outer join on ``key``; on equal names a field the right record has wins.
+
+    A field that the record lacks keeps the left value. Which fields it has is
+    listed in ``PRESENT`` where ``right`` has that column (then a null that is
+    spelled out wins too); else its non-NULL fields count. ``right`` must be
+    unique on ``key``."""
+    joined = left.alias("l").join(right.alias("r"), key, "left")
     cols: list[Column] = [F.col(key)]
     for name in left.columns:
         if name == key:
             continue
-        if name in right.columns:
-            cols.append(F.when(has_right, F.col(f"r.`{name}`")).otherwise(F.col(f"l.`{name}`")).alias(name))
+        own, other = F.col(f"l.`{name}`"), F.col(f"r.`{name}`")
+        if name not in right.columns:
+            cols.append(own)
+        elif PRESENT in right.columns:
+            cols.append(F.when(F.array_contains(f"r.{PRESENT}", name), other).otherwise(own).alias(name))
         else:
-            cols.append(F.col(f"l.`{name}`"))
-    cols += [F.col(f"r.`{name}`") for name in right.columns if name != key and name not in left.columns]
+            cols.append(F.coalesce(other, own).alias(name))
+    cols += [F.col(f"r.`{name}`") for name in right.columns if name not in (key, PRESENT) and name not in left.columns]
     return joined.select(*cols)
 
 

@@ -27,7 +27,7 @@ from tickweek.schemas import BAR_COLUMNS, COMPANY_COLUMNS, PROFILE
 
 def profiles(profile_bodies: DataFrame) -> DataFrame:
     """First record of each profile response body."""
-    return first_record(profile_bodies, "body", PROFILE)
+    return first_record(profile_bodies, "body", PROFILE, present=True)
 
 
 def companies(instruments: DataFrame, members: DataFrame, profile_bodies: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def company_documents(
     members: DataFrame,
     profile_bodies: DataFrame,
     history: DataFrame,
-    history_range: tuple[str, str] | None = None,
+    history_range: tuple[str | None, str | None] | None = None,
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """Company documents with nested bars (see ``attach_history``)."""
@@ -54,7 +54,7 @@ def documents_from_records(
     members: DataFrame,
     profiles: DataFrame,
     history: DataFrame,
-    history_range: tuple[str, str] | None = None,
+    history_range: tuple[str | None, str | None] | None = None,
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """As ``company_documents``, with profiles already as records; a symbol

