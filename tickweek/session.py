@@ -102,3 +102,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote; nothing may read it afterwards."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
