@@ -7,8 +7,10 @@ open, so lines that differ in one variable stretch meet in one template. A line
 goes if one of its templates recurs in enough independent documents.
 
 Documents that are copies of each other say nothing about a template: what
-counts is the number of different sketches (smallest line hash) among the
-documents that hold it.
+counts is the number of different sketches among the documents that hold it. A
+sketch is the smallest hash of the document's other lines; as one line may be
+the smallest wherever two lines come together, the largest hash is a second
+sketch, and the sketch that tells more documents apart counts.
 """
 
 from __future__ import annotations
@@ -77,27 +79,41 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     return np.array(owner), np.array(number), _mix(leaf).view(np.int64), keys.view(np.int64), open_
 
 
+def others(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each line the smallest and the largest key of its text's other lines (0 where all lines are equal)."""
+    frame = pd.DataFrame({"o": owner, "k": key}).drop_duplicates().sort_values(["o", "k"])
+    place = {}
+    for name, part in (("low", frame), ("high", frame.iloc[::-1])):
+        group = part.groupby("o", sort=False)["k"]
+        one, two = group.nth(0), group.nth(1)
+        one.index, two.index = part.loc[one.index, "o"], part.loc[two.index, "o"]
+        n = int(owner.max()) + 1
+        best, next_ = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        best[one.index], next_[two.index] = one, two
+        place[name] = np.where(best[owner] == key, next_[owner], best[owner])
+    return place["low"], place["high"]
+
+
 def _lines(rows: DataFrame) -> DataFrame:
-    """``rid, line, leaf, sketch, keys`` of each template line; of equal lines in a text the first is ``first``."""
+    """``rid, line, leaf, low, high, keys`` of each template line; of equal lines in a text the first is ``first``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             owner, line, leaf, keys, open_ = templates(batch["text"].to_pylist())
             if not len(owner):
                 continue
-            sketch = np.full(batch.num_rows, np.iinfo(np.int64).max)
-            np.minimum.at(sketch, owner, keys[:, 0])
+            low, high = others(owner, keys[:, 0])
             width = np.where(open_, 1 + BLOCKS, 1)
             chosen = np.arange(1 + BLOCKS) < width[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(keys[chosen]))
             first = ~pd.DataFrame({"o": owner, "k": keys[:, 0]}).duplicated().to_numpy()
             rid = batch["rid"].to_numpy()[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), pa.array(sketch[owner]), lists, pa.array(first)],
-                ["rid", "line", "leaf", "sketch", "keys", "first"],
+                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), pa.array(low), pa.array(high), lists, pa.array(first)],
+                ["rid", "line", "leaf", "low", "high", "keys", "first"],
             )
 
-    kind = "rid bigint, line int, leaf bigint, sketch bigint, keys array<bigint>, first boolean"
+    kind = "rid bigint, line int, leaf bigint, low bigint, high bigint, keys array<bigint>, first boolean"
     return rows.select("rid", F.col("row.text").alias("text")).mapInArrow(run, kind)
 
 
@@ -108,12 +124,18 @@ def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     a line that a third of all documents hold is spread over many tasks.
     """
     lines = stored(_lines(rows), "line-templates")
-    leaves = lines.select("leaf", "sketch").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= documents_)
-    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", "sketch", "first", F.explode("keys").alias("key"))
-    by_sketch = open_.groupBy("key", "sketch").agg(F.sum(F.col("first").cast("long")).alias("docs"))
-    counts = by_sketch.groupBy("key").agg(F.count("*").alias("n"), F.sum("docs").alias("docs"))
+    leaves = lines.groupBy("leaf").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
+    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", "low", "high", "first", F.explode("keys").alias("key"))
+    counts = [
+        open_.groupBy("key", sketch)
+        .agg(F.sum(F.col("first").cast("long")).alias("docs"))
+        .groupBy("key")
+        .agg(F.count("*").alias(sketch), F.sum("docs").alias("docs"))
+        for sketch in ("low", "high")
+    ]
+    n = F.greatest("low", "high")
     # Templates that mostly copies of a few documents hold are not recurring.
-    recurring = counts.where((F.col("n") >= documents_) & (2 * F.col("n") >= F.col("docs"))).select("key")
+    recurring = counts[0].join(counts[1].drop("docs"), "key").where((n >= documents_) & (2 * n >= F.col("docs"))).select("key")
     return open_.join(recurring, "key").groupBy("rid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
