@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweek.llm.common import documents, slices
-from tickweek.session import stored
+from tickweek.session import drop_stored, stored
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100  # a link: DENOMINATOR * shared >= NUMERATOR * all
@@ -197,7 +197,8 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select("u", "v", "m")
         small = small.select("u", F.col("m").alias("v")).union(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = stored(small.distinct(), "edges")
+        edges, old = stored(small.distinct(), "edges"), edges
+        drop_stored(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
