@@ -182,15 +182,21 @@ def verify(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int)
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether each ``u`` has one ``v`` and no ``v`` is itself a ``u``."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1))).groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``c, comp`` of every class in a link: the smallest class it is connected with.
 
-    Alternating large-star and small-star steps; each is two aggregations and
-    joins on class numbers, so no task holds a component.
+    Alternating large-star and small-star steps until only stars are left; each
+    is two aggregations and joins on class numbers, so no task holds a component.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not are_stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -199,10 +205,6 @@ def components(links: DataFrame) -> DataFrame:
         small = small.select("u", F.col("m").alias("v")).union(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges, old = stored(small.distinct(), "edges"), edges
         drop_stored(old)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("v").alias("c"), F.col("v").alias("comp")).distinct()
     return edges.select(F.col("u").alias("c"), F.col("v").alias("comp")).union(roots)
 
@@ -302,7 +304,7 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     wanted = classes.join(members.select("c").distinct(), "c").select("c", F.col("first.rid").alias("rid"))
     texts = stored(found.select("rid", F.col("row.text").alias("text")).join(wanted, "rid").select("c", "text"), "neardup-texts")
 
-    links = tested = None
+    tested = None
     comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
     of = members.select("bucket", "c", F.col("c").alias("comp"))
     for step in range(CENTRES + 1):
@@ -326,9 +328,12 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
             continue
         alive = stored(prune(pairs, classes, threshold), "neardup-alive")
         new = stored(verify(alive, texts, numerator, denominator), "neardup-links")
-        links = new if links is None else links.union(new)
+        drop_stored(alive)
         tested = pairs if tested is None else tested.union(pairs)
-        comps = components(links)
+        # what earlier rounds joined stays joined: a star for each of their components
+        comps, old = components(comps.where("c != comp").toDF("a", "b").union(new)), comps
+        drop_stored(old)
+        drop_stored(new)
     placed = classes.select("c", "key", "first").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     heads = placed.groupBy("comp").agg(F.min("first").alias("head"))
     placed = placed.join(heads, "comp").select("key", F.col("head.doc_id").alias("component_id"), F.col("head.rid").alias("head"))
