@@ -3,10 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tickweek.__main__ import main
 from tickweek.plans.stock import SECTOR_WEEK_COLUMNS, catalog_table_job, key_value_stage_job, parse_key_value_lines, sector_week_report
 from tickweek.schemas import BAR_ROW_COLUMNS, INSTRUMENT
 from tickweek.sinks import land, write_bare_csv, write_csv, write_delimited, write_documents
+from tickweek.sinks.tables import create_external_table, drop_table, insert_into
 from tickweek.sources import parse_lines, read_bars, read_delimited, read_documents, read_lines, read_member_list, read_titles
 from tickweek.operators.enrich import documents_without_bars, flatten_documents
 from tickweek.schemas import BAR_COLUMNS
@@ -50,6 +53,35 @@ def test_raw_lines_parsed_with_quotes(spark, scratch):
     assert naive != "-0.0009"
 
 
+def test_quotes_in_cells_are_read_alike_everywhere(spark, scratch):
+    schema = StructType.fromDDL("name string, price double")
+    cells = [('The "Big", Co', 1.5), ("back\\slash", 2.5), ("plain", None)]
+    path, landed = scratch("quoted"), scratch("quoted-landed")
+    write_bare_csv(spark.createDataFrame(cells, schema).coalesce(1), path)
+    drop_table(spark, "tickweek_quoted")
+    create_external_table(spark, "tickweek_quoted", schema, path)
+    try:
+        insert_into(spark, "tickweek_quoted", "SELECT 'a \"b\", c' AS name, 3.5 AS price")
+        spark.catalog.refreshTable("tickweek_quoted")
+        want = sorted([*cells, ('a "b", c', 3.5)])
+        assert sorted(map(tuple, spark.table("tickweek_quoted").collect())) == want
+        assert sorted(map(tuple, read_delimited(spark, path, schema).collect())) == want
+        assert sorted(map(tuple, parse_lines(read_lines(spark, path), schema).collect())) == want
+    finally:
+        drop_table(spark, "tickweek_quoted")
+    source = scratch("quoted-source")
+    _write_text(spark, source, ["name,price", '"say ""hi"", ok",1'])
+    main(["land", source, landed])
+    assert list(map(tuple, read_delimited(spark, landed, schema, header=True).collect())) == [('say "hi", ok', 1.0)]
+
+
+def test_unparsable_documents_fail_the_command(spark, scratch):
+    path = scratch("pretty")
+    _write_text(spark, path, ["[", '  {"symbol": "A"}', "]"])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        main(["flatten", path, scratch("pretty-out")])
+
+
 def test_write_modes(spark, scratch):
     df = spark.createDataFrame([("A", 1.0)], "symbol string, price double")
     path = scratch("modes")

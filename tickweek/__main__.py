@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from tickweek.plans import acquisition, stock, vehicles
 from tickweek.fixed import HISTORY_FROM, HISTORY_TO
-from tickweek.schemas import BARS, HISTORY_ROW, INSTRUMENT, PROFILE, TITLES
+from tickweek.schemas import BARS, CSV_OPTIONS, HISTORY_ROW, INSTRUMENT, PROFILE, TITLES
 from tickweek.session import apply_recommended_conf, scratch_path
 from tickweek.sinks.files import land, write_csv, write_documents
 from tickweek.sources.files import read_delimited, read_documents, read_member_list
@@ -53,7 +53,7 @@ def _vehicles(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _flatten(spark: SparkSession, a: argparse.Namespace) -> None:
-    docs = read_documents(spark, a.input, multi_line=a.multi_line)
+    docs = read_documents(spark, a.input, multi_line=a.multi_line, strict=True)
     write_csv(acquisition.csv_rows(docs), a.output, header=True, mode=a.mode)
     if a.rejects:
         write_csv(acquisition.rejects(docs), a.rejects, header=True, mode=a.mode)
@@ -62,10 +62,10 @@ def _flatten(spark: SparkSession, a: argparse.Namespace) -> None:
 def _acquire(spark: SparkSession, a: argparse.Namespace) -> None:
     ml = a.multi_line
     docs = acquisition.documents_from_records(
-        read_documents(spark, a.instruments, INSTRUMENT, multi_line=ml),
+        read_documents(spark, a.instruments, INSTRUMENT, multi_line=ml, strict=True),
         read_member_list(spark, a.members, multi_line=ml),
-        read_documents(spark, a.profiles, PROFILE, multi_line=ml),
-        read_documents(spark, a.history, HISTORY_ROW, multi_line=ml),
+        read_documents(spark, a.profiles, PROFILE, multi_line=ml, strict=True),
+        read_documents(spark, a.history, HISTORY_ROW, multi_line=ml, strict=True),
         history_range=(a.date_from, a.date_to) if a.date_from or a.date_to else None,
     )
     # One document per page of a company; the page ids tell them apart.
@@ -75,7 +75,7 @@ def _acquire(spark: SparkSession, a: argparse.Namespace) -> None:
 def _land(spark: SparkSession, a: argparse.Namespace) -> None:
     reader = spark.read.format(a.format)
     if a.format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).options(**CSV_OPTIONS)
     land(reader.load(a.source), a.target, fmt=a.format)
 
 

@@ -35,6 +35,11 @@ def companies(instruments: DataFrame, members: DataFrame, profile_bodies: DataFr
     return merge_right_wins(keep_members(instruments, members), profiles(profile_bodies))
 
 
+def _member_bars(history: DataFrame, members: DataFrame, history_range: tuple[str | None, str | None] | None) -> DataFrame:
+    bars = history if history_range is None else within(history, "date", *history_range)
+    return keep_members(bars, members)
+
+
 def company_documents(
     instruments: DataFrame,
     members: DataFrame,
@@ -43,10 +48,13 @@ def company_documents(
     history_range: tuple[str | None, str | None] | None = None,
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
-    """Company documents with nested bars (see ``attach_history``)."""
-    bars = history if history_range is None else within(history, "date", *history_range)
-    pages = nest_history(bars, page_rows=page_rows)
-    return attach_history(companies(instruments, members, profile_bodies), pages, history=bars)
+    """Company documents with nested bars (see ``attach_history``).
+
+    Only the members' bars and bodies go further: both are chosen before
+    anything is nested or parsed."""
+    bars = _member_bars(history, members, history_range)
+    listed = companies(instruments, members, keep_members(profile_bodies, members))
+    return attach_history(listed, nest_history(bars, page_rows=page_rows), history=bars)
 
 
 def documents_from_records(
@@ -59,8 +67,8 @@ def documents_from_records(
 ) -> DataFrame:
     """As ``company_documents``, with profiles already as records; a symbol
     with several records keeps one (``one_per_key``)."""
-    bars = history if history_range is None else within(history, "date", *history_range)
-    listed = merge_right_wins(keep_members(instruments, members), one_per_key(profiles))
+    bars = _member_bars(history, members, history_range)
+    listed = merge_right_wins(keep_members(instruments, members), one_per_key(keep_members(profiles, members)))
     return attach_history(listed, nest_history(bars, page_rows=page_rows), history=bars)
 
 

@@ -21,6 +21,10 @@ from pyspark.sql.types import (
 from tickweek.fixed import BAR_COLUMNS, COMPANY_COLUMNS
 
 
+# How every delimited text is quoted: a cell may hold the separator, a quote in it is doubled.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
 def _fields(names: str, dtype) -> list[StructField]:
     return [StructField(n, dtype, True) for n in names.split()]
 

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickweek.schemas import CSV_OPTIONS
+
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
     (
         df.write.mode(mode)
         .option("sep", sep)
         .option("header", header)
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
 
@@ -57,5 +58,5 @@ def land(df: DataFrame, path: str, fmt: str = "csv", header: bool = True) -> Non
     """Write only if nothing is at ``path`` yet; an existing target is kept as is."""
     w = df.write.mode("ignore").format(fmt)
     if fmt == "csv":
-        w = w.option("header", header).option("quote", '"').option("escape", '"')
+        w = w.option("header", header).options(**CSV_OPTIONS)
     w.save(path)

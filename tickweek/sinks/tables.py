@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tickweek.schemas import CSV_OPTIONS
+
 
 def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -29,9 +31,10 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def create_external_table(spark: SparkSession, name: str, schema: StructType, location: str, sep: str = ",") -> None:
     """A delimited text table over a folder: every file below it is a part."""
+    dialect = ", ".join(f"{k} {_literal(v)}" for k, v in CSV_OPTIONS.items())
     spark.sql(
         f"CREATE TABLE {_ident(name)} ({columns_ddl(schema)}) USING csv "
-        f"OPTIONS (sep {_literal(sep)}, header 'false', mode 'PERMISSIVE') LOCATION {_literal(location)}"
+        f"OPTIONS (sep {_literal(sep)}, header 'false', mode 'PERMISSIVE', {dialect}) LOCATION {_literal(location)}"
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickweek.schemas import BARS, COMPANY, MEMBER_LIST, TITLES
+from tickweek.schemas import BARS, COMPANY, CSV_OPTIONS, MEMBER_LIST, TITLES
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ",", header: bool = False) -> DataFrame:
@@ -27,8 +27,7 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
         .option("sep", sep)
         .option("header", header)
         .option("mode", "PERMISSIVE")
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
 
@@ -54,14 +53,17 @@ def parse_lines(lines: DataFrame, schema: StructType = BARS, sep: str = ",") ->
     A naive split on the separator would cut ``"December 30, 22"`` in two and
     shift every later column."""
     schema_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv(F.col("value"), schema_ddl, {"sep": sep, "mode": "PERMISSIVE"})
+    parsed = F.from_csv(F.col("value"), schema_ddl, {"sep": sep, "mode": "PERMISSIVE", **CSV_OPTIONS})
     return lines.select(parsed.alias("_row")).select("_row.*")
 
 
-def read_documents(spark: SparkSession, path: str, schema: StructType = COMPANY, multi_line: bool = False) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: StructType = COMPANY, multi_line: bool = False, strict: bool = False) -> DataFrame:
     """Company documents. ``multi_line=True`` reads files that hold one JSON
-    array (or one pretty-printed object); otherwise one object per line."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    array (or one pretty-printed object); otherwise one object per line. With
+    ``strict`` text that is no such document, or a cell of another type,
+    fails the job; otherwise it becomes NULL."""
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode).json(path)
 
 
 def read_member_list(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
