@@ -17,10 +17,10 @@ from tickweek.schemas import BAR_COLUMNS
 HEADER = ",".join(BAR_ROW_COLUMNS)
 
 
-def _line(symbol, sector, date, o, h, lo, c, v, label='"December 30, 22"'):
-    company = [symbol, "Name", sector, "Ind", "NYSE X", "NYSE", "43121160", "146025730800", "Name", "0000078003",
-               "US7170811035", "717081103", "https://x.example", '"Dr. A, Ph.D."', "88000", "Addr", "City", "10017", "img"]
-    bar = [date, o, h, lo, c, "48.29", v, v, "-0.05", "-0.09", "51.13", label, "-0.0009"]
+def _line(symbol, sector, date, o, h, lo, c, v, label='"March 4, 21"'):
+    company = [symbol, "Name", sector, "Ind", "NYSE X", "NYSE", "5000000", "90000000000", "Name", "0000012345",
+               "XX0000012345", "000012345", "https://x.example", '"Dr. A, Ph.D."', "700", "Addr", "City", "00001", "img"]
+    bar = [date, o, h, lo, c, "19.5", v, v, "-0.05", "-0.09", "20.7", label, "-0.0025"]
     return ",".join(company + [str(x) for x in bar])
 
 
@@ -30,27 +30,27 @@ def _write_text(spark, path, lines):
 
 def test_positional_read_keeps_quoted_comma_and_drops_header(spark, scratch):
     path = scratch("bars")
-    _write_text(spark, path, [HEADER, _line("PFE", "Healthcare", "2022-12-30", 51.29, 51.4, 50.75, 51.24, 11396200),
-                              _line("PFE", "Healthcare", "2022-12-29", "oops", 51.67, 50.99, 51.33, 8971300)])
+    _write_text(spark, path, [HEADER, _line("AAA", "Healthcare", "2022-12-30", 20.5, 21.0, 20.0, 20.6, 9000),
+                              _line("AAA", "Healthcare", "2022-12-29", "oops", 21.25, 20.25, 20.75, 7000)])
     df = read_bars(spark, path, header=False)
     rows = df.collect()
     assert len(rows) == 3
     assert rows[0].symbol == "symbol" and rows[0].open is None  # header as data, numbers NULL
-    assert rows[1].label == "December 30, 22" and rows[1].changeOverTime == -0.0009
-    assert rows[2].open is None and rows[2].high == 51.67  # bad cell NULL, row kept
-    assert rows[1].cik == "0000078003"  # code stays text
+    assert rows[1].label == "March 4, 21" and rows[1].changeOverTime == -0.0025
+    assert rows[2].open is None and rows[2].high == 21.25  # bad cell NULL, row kept
+    assert rows[1].cik == "0000012345"  # code stays text
     out = sector_week_report(df).collect()
     assert len(out) == 1 and out[0].sector == "healthcare"
 
 
 def test_raw_lines_parsed_with_quotes(spark, scratch):
     path = scratch("lines")
-    _write_text(spark, path, [_line("XOM", "Energy", "2022-12-30", 108.61, 110.5, 108.61, 110.3, 11799600)])
+    _write_text(spark, path, [_line("BBB", "Energy", "2022-12-30", 40.5, 41.5, 40.5, 41.0, 8000)])
     row = parse_lines(read_lines(spark, path)).first()
-    assert row.label == "December 30, 22" and row.high == 110.5 and row.ceo == "Dr. A, Ph.D."
+    assert row.label == "March 4, 21" and row.high == 41.5 and row.ceo == "Dr. A, Ph.D."
     # A naive split cuts inside the quotes and shifts later fields.
     naive = read_lines(spark, path).select(F.split("value", ",").getItem(31)).first()[0]
-    assert naive != "-0.0009"
+    assert naive != "-0.0025"
 
 
 def test_quotes_in_cells_are_read_alike_everywhere(spark, scratch):
@@ -113,7 +113,7 @@ def test_titles_tab_text_header_dropped_by_filter(spark, scratch):
 
 def test_key_value_lines_roundtrip_and_rejects(spark, scratch):
     bars = spark.createDataFrame(
-        [("PFE", "Health Care", "2022-12-30", 1.0, 4.0, 2.0, 3.0, 10.0), ("PFE", "Health Care", "2022-12-28", 3.0, 6.0, 4.0, 5.0, 30.0)],
+        [("AAA", "Health Care", "2022-12-30", 1.0, 4.0, 2.0, 3.0, 10.0), ("AAA", "Health Care", "2022-12-28", 3.0, 6.0, 4.0, 5.0, 30.0)],
         "symbol string, sector string, date string, open double, high double, low double, close double, volume double",
     )
     out = key_value_stage_job(spark, bars, scratch("kv")).collect()
@@ -130,16 +130,16 @@ def test_key_value_lines_roundtrip_and_rejects(spark, scratch):
 def test_multiline_company_documents(spark, scratch):
     path = scratch("docs") + "/companies.json"
     text = """[
-      {"symbol": "PFE", "name": "Pfizer, Inc.", "isEtf": false, "volAvg": 43121160,
-       "stockData": [{"date": "2022-12-30", "open": 51.29, "volume": 11396200, "label": "December 30, 22"},
-                     {"date": "2022-12-29", "open": 51.02, "volume": 8971300, "label": "December 29, 22"}]},
+      {"symbol": "AAA", "name": "Alpha, Inc.", "isEtf": false, "volAvg": 5000000,
+       "stockData": [{"date": "2022-12-30", "open": 20.5, "volume": 9000, "label": "March 4, 21"},
+                     {"date": "2022-12-29", "open": 20.4, "volume": 7000, "label": "March 3, 21"}]},
       {"symbol": "NOP", "name": "No bars"}
     ]"""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     docs = read_documents(spark, path, multi_line=True)
     assert docs.count() == 2
     flat = flatten_documents(docs, ["symbol", "name"], BAR_COLUMNS)
-    assert flat.count() == 2 and flat.first().volume == 11396200
+    assert flat.count() == 2 and flat.first().volume == 9000
     assert [r.symbol for r in documents_without_bars(docs).collect()] == ["NOP"]
 
 
@@ -158,8 +158,8 @@ def test_json_documents_leave_nulls_out(spark, scratch):
 
 def test_catalog_tables_job(spark, scratch):
     work = scratch("tables")
-    lines = [_line("PFE", "Health Care", "2022-12-30", 51.29, 51.4, 50.75, 51.24, 100),
-             _line("XOM", "Energy", "2022-12-29", 107.99, 109.72, 107.99, 109.2, 200), HEADER]
+    lines = [_line("AAA", "Health Care", "2022-12-30", 20.5, 21.0, 20.0, 20.6, 100),
+             _line("BBB", "Energy", "2022-12-29", 30.0, 31.5, 29.5, 31.0, 200), HEADER]
     _write_text(spark, work + "/raw", lines)
     out = catalog_table_job(spark, work + "/raw", work, "t1")
     assert out.columns == SECTOR_WEEK_COLUMNS
@@ -180,7 +180,7 @@ def test_command_line_jobs(spark, scratch):
     from tickweek.__main__ import main
 
     work = scratch("cli")
-    _write_text(spark, work + "/in", [HEADER, _line("PFE", "Health Care", "2022-12-30", 51.29, 51.4, 50.75, 51.24, 100)])
+    _write_text(spark, work + "/in", [HEADER, _line("AAA", "Health Care", "2022-12-30", 20.5, 21.0, 20.0, 20.6, 100)])
     main(["stock", work + "/in", work + "/out", "--stage1", work + "/job1"])
     rows = spark.read.csv(work + "/out", header=True).collect()
     assert [(r.sector, r.periodStart) for r in rows] == [("health_care", "2022-12-26")]
@@ -210,15 +210,15 @@ def test_command_line_acquire_then_flatten(spark, scratch):
     def put(name, lines):
         _write_text(spark, f"{work}/{name}", lines)
 
-    put("instruments", ['{"symbol": "PFE", "name": "Pfizer", "price": 1.0}', '{"symbol": "XOM", "name": "Exxon"}',
+    put("instruments", ['{"symbol": "AAA", "name": "Alpha", "price": 1.0}', '{"symbol": "BBB", "name": "Beta"}',
                         '{"symbol": "NOPE", "name": "Not listed"}'])
-    put("members", ['{"companies": [{"symbol": "PFE", "name": "Pfizer"}, {"symbol": "XOM", "name": "Exxon"}]}'])
-    put("profiles", ['{"symbol": "PFE", "companyName": "Pfizer Inc.", "sector": "Healthcare", "ceo": "Dr. A, Ph.D."}'])
-    put("history", ['{"symbol": "PFE", "date": "2022-12-30", "open": 51.29, "volume": 11396200, "label": "December 30, 22"}',
-                    '{"symbol": "PFE", "date": "2016-12-30", "open": 40.0}'])
+    put("members", ['{"companies": [{"symbol": "AAA", "name": "Alpha"}, {"symbol": "BBB", "name": "Beta"}]}'])
+    put("profiles", ['{"symbol": "AAA", "companyName": "Alpha Inc.", "sector": "Healthcare", "ceo": "Dr. A, Ph.D."}'])
+    put("history", ['{"symbol": "AAA", "date": "2022-12-30", "open": 20.5, "volume": 9000, "label": "March 4, 21"}',
+                    '{"symbol": "AAA", "date": "2016-12-30", "open": 40.0}'])
     main(["acquire", f"{work}/instruments", f"{work}/members", f"{work}/profiles", f"{work}/history", f"{work}/docs",
           "--from", "2017-01-01", "--to", "2023-01-01"])
     main(["flatten", f"{work}/docs", f"{work}/csv", "--rejects", f"{work}/rejects"])
     rows = spark.read.csv(f"{work}/csv", header=True).collect()
-    assert [(r.symbol, r.date, r.ceo, r.label) for r in rows] == [("PFE", "2022-12-30", "Dr. A. Ph.D.", "December 30. 22")]
-    assert [r.symbol for r in spark.read.csv(f"{work}/rejects", header=True).collect()] == ["XOM"]
+    assert [(r.symbol, r.date, r.ceo, r.label) for r in rows] == [("AAA", "2022-12-30", "Dr. A. Ph.D.", "March 4. 21")]
+    assert [r.symbol for r in spark.read.csv(f"{work}/rejects", header=True).collect()] == ["BBB"]
