@@ -7,9 +7,10 @@ from pyspark.sql.types import StructType
 
 from tickweek.__main__ import main
 from tickweek.plans.stock import SECTOR_WEEK_COLUMNS, catalog_table_job, key_value_stage_job, parse_key_value_lines, sector_week_report
-from tickweek.schemas import BAR_ROW_COLUMNS, INSTRUMENT
+from tickweek.schemas import BAR_ROW_COLUMNS, INSTRUMENT, TITLES
 from tickweek.sinks import land, write_bare_csv, write_csv, write_delimited, write_documents
 from tickweek.sinks.tables import create_external_table, drop_table, insert_into
+from tickweek.sources.files import parse_documents
 from tickweek.sources import parse_lines, read_bars, read_delimited, read_documents, read_lines, read_member_list, read_titles
 from tickweek.operators.enrich import documents_without_bars, flatten_documents
 from tickweek.schemas import BAR_COLUMNS
@@ -104,7 +105,7 @@ def test_landing_is_skipped_when_present(spark, scratch):
 
 def test_titles_tab_text_header_dropped_by_filter(spark, scratch):
     path = scratch("titles")
-    header = "vin\tvehicleCost\todometerTypeCode\todometerReading\tcountyName\tZIP5\tmodelYear\tmakeCode\tmodelCode\tvehicleTypeDescription\tnewUsedCode\ttitleIssueDate\tpurchaseDate"
+    header = "\t".join(TITLES.fieldNames())
     row = "V1\t100\t1\t2\tC\t12345\t2013\tM\tX\tCar\tN\t2020-06-01\t2020-06-15"
     _write_text(spark, path, [header, row])
     df = read_titles(spark, path).where("vehicleCost > 0 AND modelYear > 1900")
@@ -185,12 +186,47 @@ def test_command_line_jobs(spark, scratch):
     rows = spark.read.csv(work + "/out", header=True).collect()
     assert [(r.sector, r.periodStart) for r in rows] == [("health_care", "2022-12-26")]
     main(["stock", work + "/in", work + "/out-kv", "--style", "key-value"])
-    assert spark.read.csv(work + "/out-kv", header=True).first().sector == "Health_Care"
-    header = "\t".join(["vin", "vehicleCost", "a", "b", "c", "d", "modelYear", "e", "f", "g", "h", "i", "purchaseDate"])
+    assert spark.read.text(work + "/out-kv").first()[0] == "Health_Care,2022-12-26\t20.0,21.0,20.6,20.5,100.0,20.5"
+    for _ in range(2):  # headerless; a present target is refused
+        args = ["--mode", "errorifexists", "stock", work + "/in", work + "/out-bag", "--style", "grouped", "--stage1", work + "/bag1"]
+        if _:
+            with pytest.raises(AnalysisException):
+                main(args)
+        else:
+            main(args)
+    assert [tuple(r)[:2] for r in spark.read.csv(work + "/out-bag").collect()] == [("health_care", "2022-12-26")]
+    assert [tuple(r)[:3] for r in spark.read.csv(work + "/bag1").collect()] == [("AAA", "health_care", "2022-12-26")]
+    for _ in range(2):  # the tables style can be repeated, its named result stays
+        main(["stock", work + "/in", work + "/out-tab", "--style", "tables", "--stage1", work + "/tab1", "--table", "tickweek_cli_result"])
+    try:
+        assert [r.sector for r in spark.table("tickweek_cli_result").collect()] == ["health_care"]
+    finally:
+        drop_table(spark, "tickweek_cli_result")
+    for _ in range(2):  # stage 2 of a second run with append sees its own stage 1 only
+        main(["--mode", "append", "stock", work + "/in", work + "/out-add", "--stage1", work + "/add1"])
+    assert spark.read.csv(work + "/out-add", header=True).count() == 2
+    header = "\t".join(TITLES.fieldNames())
     _write_text(spark, work + "/titles", [header, "V1\t100\t1\t2\tC\t12345\t2013\tM\tX\tCar\tN\t2020-06-01\t2020-06-15"])
     main(["vehicles", work + "/titles", work + "/vout", "--style", "tables"])
     row = spark.read.csv(work + "/vout", header=True).first()
     assert (row.vehicleAge, row.WearAndTear) == ("7", "New")
+    main(["vehicles", work + "/titles", work + "/vbag", "--style", "grouped", "--filtered", work + "/vbag1"])
+    assert [tuple(r) for r in spark.read.csv(work + "/vbag").collect()] == [("2020-06-15", "2013", "7", "2020-06-15", "New")]
+
+
+def test_date_column_by_another_name(spark):
+    bars = spark.createDataFrame(
+        [("A", "S", "2022-12-30", 1.0, 2.0, 1.0, 1.0, 5.0)],
+        "symbol string, sector string, day string, open double, high double, low double, close double, volume double",
+    )
+    assert sector_week_report(bars, date="day").first().periodStart == dt.date(2022, 12, 26)
+
+
+def test_json_lines_with_rejects(spark):
+    texts = ['{"a": 1, "b": "x"}', '{"a": "word"}', '{"a": 2', "[]", "nothing", "", None, "{}"]
+    good, bad = parse_documents(spark.createDataFrame([(t,) for t in texts], "value string"), "a bigint, b string")
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, "x"), (None, None)]
+    assert sorted(r.value for r in bad.collect()) == sorted(['{"a": "word"}', '{"a": 2', "[]", "nothing"])
 
 
 def test_recommended_conf_keeps_submitted_values(spark):

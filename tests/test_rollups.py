@@ -6,14 +6,14 @@ from tickweek.operators.clean import clean_bars
 from tickweek.operators.rollups import grouped_averages, prepare_bars, SYMBOL_MEASURES
 from tickweek.plans.stock import grouped_bag_report, sector_week_report, symbol_week_report
 
-# Six bars typed from the fixture table: symbol, sector, date, open, high, low, close, volume.
+# Six invented bars: symbol, sector, date, open, high, low, close, volume.
 BARS = [
-    ("PFE", "Healthcare", "2022-12-30", 51.29, 51.4, 50.75, 51.24, 11396200.0),
-    ("PFE", "Healthcare", "2022-12-29", 51.02, 51.67, 50.99, 51.33, 8971300.0),
-    ("PFE", "Healthcare", "2022-12-28", 51.05, 51.39, 50.75, 50.8, 10053900.0),
-    ("XOM", "Energy", "2022-12-30", 108.61, 110.5, 108.61, 110.3, 11799600.0),
-    ("XOM", "Energy", "2022-12-29", 107.99, 109.72, 107.99, 109.2, 10534000.0),
-    ("XOM", "Energy", "2022-12-28", 109.91, 110.0, 107.9, 108.38, 10702100.0),
+    ("AAA", "Toys", "2021-03-05", 10.5, 12.5, 10.0, 12.0, 300.0),
+    ("AAA", "Toys", "2021-03-04", 11.0, 13.0, 10.5, 11.5, 500.0),
+    ("AAA", "Toys", "2021-03-02", 13.0, 13.5, 12.5, 13.1, 100.0),
+    ("BBB", "Boats", "2021-03-05", 200.0, 206.0, 198.0, 201.0, 40.0),
+    ("BBB", "Boats", "2021-03-03", 202.0, 204.0, 200.0, 202.0, 50.0),
+    ("BBB", "Boats", "2021-03-01", 204.0, 208.0, 196.0, 203.0, 90.0),
 ]
 SCHEMA = "symbol string, sector string, date string, open double, high double, low double, close double, volume double"
 
@@ -30,13 +30,12 @@ def bars(spark):
 
 def test_symbol_week_golden(bars):
     rows = {r.symbol: r for r in symbol_week_report(bars).collect()}
-    assert set(rows) == {"PFE", "XOM"}
-    pfe, xom = rows["PFE"], rows["XOM"]
-    assert pfe.sector == "healthcare" and pfe.periodStart == dt.date(2022, 12, 26)
-    assert xom.sector == "energy"
-    golden = {
-        "PFE": (50.83, 51.486667, 51.123333, 51.12, 10140466.666667, 51.158333),
-        "XOM": (108.166667, 110.073333, 109.293333, 108.836667, 11011900.0, 109.12),
+    assert set(rows) == {"AAA", "BBB"}
+    assert rows["AAA"].sector == "toys" and rows["AAA"].periodStart == dt.date(2021, 3, 1)
+    assert rows["BBB"].sector == "boats"
+    golden = {  # low, high, close, open, volume, mid; by hand
+        "AAA": (11.0, 13.0, 12.2, 11.5, 300.0, 12.0),
+        "BBB": (198.0, 206.0, 202.0, 202.0, 60.0, 202.0),
     }
     for sym, vals in golden.items():
         r = rows[sym]
@@ -62,7 +61,7 @@ def test_average_of_averages_not_flat(spark):
 
 def test_filter_drops_header_and_sectorless(bars):
     kept = clean_bars(bars).select("symbol").distinct().collect()
-    assert sorted(r[0] for r in kept) == ["PFE", "XOM"]
+    assert sorted(r[0] for r in kept) == ["AAA", "BBB"]
 
 
 def test_default_zero_for_all_null_group(spark):

@@ -1,7 +1,7 @@
 """Command line: run the jobs on files, as the original scripts were run.
 
-    python -m tickweek stock INPUT OUTPUT [--stage1 DIR] [--style dataframe|tables|key-value|grouped]
-    python -m tickweek vehicles INPUT OUTPUT [--filtered DIR] [--style dataframe|tables]
+    python -m tickweek stock INPUT OUTPUT [--stage1 DIR] [--style dataframe|tables|key-value|grouped] [--table NAME]
+    python -m tickweek vehicles INPUT OUTPUT [--filtered DIR] [--style dataframe|tables|grouped] [--table NAME]
     python -m tickweek acquire INSTRUMENTS MEMBERS PROFILES HISTORY OUTPUT [--from D --to D] [--multi-line]
     python -m tickweek flatten DOCUMENTS OUTPUT [--rejects DIR] [--multi-line]
     python -m tickweek land SOURCE TARGET [--format csv|json|text|parquet]
@@ -10,6 +10,8 @@ or ``spark-submit --py-files tickweek.zip tickweek/__main__.py stock ...``. The
 session comes from the environment (``spark-submit`` settings); nothing here
 forces a master. ``--mode`` picks
 how outputs treat an existing target (overwrite, errorifexists, append, ignore).
+Style ``key-value`` writes ``key<TAB>values`` lines, style ``grouped`` headerless
+comma text, the others headed comma text.
 """
 
 from __future__ import annotations
@@ -30,26 +32,32 @@ from tickweek.sources.files import read_delimited, read_documents, read_member_l
 def _stock(spark: SparkSession, a: argparse.Namespace) -> None:
     bars = read_delimited(spark, a.input, BARS, ",", header=a.header)
     if a.style == "dataframe":
-        stock.run_stock_job(spark, bars, a.stage1, a.output, mode=a.mode)
-        return
-    if a.style == "tables":
-        work = a.stage1 or scratch_path(spark, "stock-tables")
-        result = stock.catalog_table_job(spark, a.input, work, uuid.uuid4().hex[:12])
+        stock.run_stock_job(spark, bars, a.stage1, a.output, a.mode)
     elif a.style == "key-value":
-        result = stock.key_value_stage_job(spark, bars, a.stage1)
+        stock.key_value_stage_job(spark, bars, a.stage1, a.output, a.mode)
+    elif a.style == "grouped":
+        stock.grouped_bag_job(spark, bars, a.stage1, a.output, a.mode)
     else:
-        result = stock.grouped_bag_report(bars)
-    write_csv(result, a.output, header=True, mode=a.mode)
+        _tables(spark, a, stock.catalog_table_job, a.stage1)
 
 
 def _vehicles(spark: SparkSession, a: argparse.Namespace) -> None:
     titles = read_delimited(spark, a.input, TITLES, "\t", header=a.header)
     if a.style == "dataframe":
-        vehicles.run_vehicle_job(spark, titles, a.filtered, a.output, mode=a.mode)
-        return
-    work = a.filtered or scratch_path(spark, "vehicle-tables")
-    result = vehicles.catalog_table_job(spark, a.input, work, uuid.uuid4().hex[:12])
-    write_csv(result, a.output, header=True, mode=a.mode)
+        vehicles.run_vehicle_job(spark, titles, a.filtered, a.output, a.mode)
+    elif a.style == "grouped":
+        vehicles.grouped_bag_job(spark, titles, a.filtered, a.output, a.mode)
+    else:
+        _tables(spark, a, vehicles.catalog_table_job, a.filtered)
+
+
+def _tables(spark: SparkSession, a: argparse.Namespace, job, folder: str | None) -> None:
+    """The catalog-table style; each run has a folder of its own, so it can be repeated."""
+    tag = uuid.uuid4().hex[:12]
+    if a.table and not folder:
+        raise SystemExit("--table keeps its files: name a folder for them (--stage1 or --filtered)")
+    work = f"{folder}/{tag}" if folder else scratch_path(spark, "tables")
+    write_csv(job(spark, a.input, work, tag, a.table), a.output, header=True, mode=a.mode)
 
 
 def _flatten(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -87,7 +95,8 @@ def main(argv: list[str] | None = None) -> None:
     s = sub.add_parser("stock", help="weekly averages per symbol, then per sector")
     s.add_argument("input")
     s.add_argument("output")
-    s.add_argument("--stage1", help="where to write the per-symbol stage (optional)")
+    s.add_argument("--stage1", help="where to write the per-symbol stage (style tables: the tables' folder)")
+    s.add_argument("--table", help="style tables: name of the result table, which then stays in the catalog")
     s.add_argument("--style", default="dataframe", choices=["dataframe", "tables", "key-value", "grouped"])
     s.add_argument("--header", action="store_true", help="skip the first line of each file")
     s.set_defaults(run=_stock)
@@ -95,8 +104,9 @@ def main(argv: list[str] | None = None) -> None:
     v = sub.add_parser("vehicles", help="vehicle age, purchase week and age band")
     v.add_argument("input")
     v.add_argument("output")
-    v.add_argument("--filtered", help="where to write the filtered titles (optional)")
-    v.add_argument("--style", default="dataframe", choices=["dataframe", "tables"])
+    v.add_argument("--filtered", help="where to write the filtered titles (style tables: the tables' folder)")
+    v.add_argument("--table", help="style tables: name of the result table, which then stays in the catalog")
+    v.add_argument("--style", default="dataframe", choices=["dataframe", "tables", "grouped"])
     v.add_argument("--header", action="store_true")
     v.set_defaults(run=_vehicles)
 

@@ -27,13 +27,86 @@ TEXT_COMMA, TEXT_COMMA_FILL = ",", "."
 DURATION_PREFIX, DURATION_SUFFIX = "P", "D"
 # The history range asked of the source.
 HISTORY_FROM, HISTORY_TO = "2017-01-01", "2023-01-01"
-# A flattened bar row: the 19 company columns, then the 13 bar columns, in this order.
+# The fields of a company document, in its order; the bars follow as ``stockData``.
+COMPANY_FIELDS = [
+    ("symbol", "string"),
+    ("name", "string"),
+    ("price", "double"),
+    ("exchange", "string"),
+    ("exchangeShortName", "string"),
+    ("type", "string"),
+    ("beta", "double"),
+    ("volAvg", "bigint"),
+    ("mktCap", "bigint"),
+    ("lastDiv", "double"),
+    ("range", "string"),
+    ("changes", "double"),
+    ("companyName", "string"),
+    ("currency", "string"),
+    ("cik", "string"),
+    ("isin", "string"),
+    ("cusip", "string"),
+    ("industry", "string"),
+    ("website", "string"),
+    ("description", "string"),
+    ("ceo", "string"),
+    ("sector", "string"),
+    ("country", "string"),
+    ("fullTimeEmployees", "string"),
+    ("phone", "string"),
+    ("address", "string"),
+    ("city", "string"),
+    ("state", "string"),
+    ("zip", "string"),
+    ("dcfDiff", "double"),
+    ("dcf", "double"),
+    ("image", "string"),
+    ("ipoDate", "string"),
+    ("defaultImage", "boolean"),
+    ("isEtf", "boolean"),
+    ("isActivelyTrading", "boolean"),
+    ("isAdr", "boolean"),
+    ("isFund", "boolean"),
+]
+# The fields of an instrument in the full list.
+INSTRUMENT_COLUMNS = ["symbol", "name", "price", "exchange", "exchangeShortName", "type"]
+# The fields of one daily bar.
+BAR_FIELDS = [
+    ("date", "string"),
+    ("open", "double"),
+    ("high", "double"),
+    ("low", "double"),
+    ("close", "double"),
+    ("adjClose", "double"),
+    ("volume", "bigint"),
+    ("unadjustedVolume", "bigint"),
+    ("change", "double"),
+    ("changePercent", "double"),
+    ("vwap", "double"),
+    ("label", "string"),
+    ("changeOverTime", "double"),
+]
+# The company columns of a flattened bar row, in this order; the bar fields follow.
 COMPANY_COLUMNS = [
     "symbol", "name", "sector", "industry", "exchange", "exchangeShortName", "volAvg", "mktCap",
     "companyName", "cik", "isin", "cusip", "website", "ceo", "fullTimeEmployees", "address",
     "city", "zip", "image",
 ]
-BAR_COLUMNS = [
-    "date", "open", "high", "low", "close", "adjClose", "volume", "unadjustedVolume", "change",
-    "changePercent", "vwap", "label", "changeOverTime",
+# A vehicle title record: positional columns of tab text.
+TITLE_FIELDS = [
+    ("vin", "string"),
+    ("vehicleCost", "double"),
+    ("odometerTypeCode", "int"),
+    ("odometerReading", "int"),
+    ("countyName", "string"),
+    ("ZIP5", "int"),
+    ("modelYear", "int"),
+    ("makeCode", "string"),
+    ("modelCode", "string"),
+    ("vehicleTypeDescription", "string"),
+    ("newUsedCode", "string"),
+    ("titleIssueDate", "string"),
+    ("purchaseDate", "string"),
 ]
+# The averages of both stock stages, in output order.
+AVERAGE_COLUMNS = ["avgLow", "avgHigh", "avgClose", "avgOpen", "avgVolume", "avgPrice"]

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickweek.fixed import AVERAGE_COLUMNS
 from tickweek.functions.calendar import parse_date, week_start
 from tickweek.functions.numeric import mid_price, to_double
 from tickweek.functions.text import normalise_sector
-from tickweek.schemas import AVERAGE_COLUMNS
 
 # Output name -> input column of the symbol-week rollup.
 SYMBOL_MEASURES = {

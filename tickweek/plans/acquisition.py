@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tickweek.fixed import COMPANY_COLUMNS
 from tickweek.functions.text import comma_to_dot
 from tickweek.operators.clean import within
 from tickweek.operators.enrich import (
@@ -22,7 +23,7 @@ from tickweek.operators.enrich import (
     nest_history,
     one_per_key,
 )
-from tickweek.schemas import BAR_COLUMNS, COMPANY_COLUMNS, PROFILE
+from tickweek.schemas import BAR_COLUMNS, PROFILE
 
 
 def profiles(profile_bodies: DataFrame) -> DataFrame:
@@ -82,6 +83,19 @@ def csv_rows(docs: DataFrame) -> DataFrame:
     return comma_to_dot(flat_rows(docs))
 
 
+def flat_csv(
+    instruments: DataFrame,
+    members: DataFrame,
+    profile_bodies: DataFrame,
+    history: DataFrame,
+    history_range: tuple[str | None, str | None] | None = None,
+) -> DataFrame:
+    """The rows of ``csv_rows`` straight from the tables: companies joined to bars, nothing nested."""
+    bars = _member_bars(history, members, history_range)
+    listed = companies(instruments, members, keep_members(profile_bodies, members)).select(*COMPANY_COLUMNS)
+    return comma_to_dot(listed.join(bars, "symbol").select(*COMPANY_COLUMNS, *BAR_COLUMNS))
+
+
 def rejects(docs: DataFrame) -> DataFrame:
     """Documents without bars, without the nesting columns."""
     return documents_without_bars(docs).drop("page_month", "page", "stockData")

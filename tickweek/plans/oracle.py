@@ -1,16 +1,18 @@
 """DuckDB SQL for every registered query, written independently of the Spark code.
 
 The adapter views repeat, in SQL, the derivation rules documented in
-``tickweek.sources.adapters``. Averages are compared after
-``round(x + TIE_SHIFT, 4)`` on both sides: the two engines sum in different
-orders, and the shift keeps exact halves off the rounding boundary.
+``tickweek.sources.adapters``. Averages are compared rounded to ``DIGITS``
+decimals on both sides. The two engines sum in different orders, so an exact
+half may come out a hair below it on one side; both read the average as a
+decimal of ``SNAP`` first, which puts such a value back on the half.
 """
 
 from __future__ import annotations
 
-# Fixed values shared with the Spark side of the comparison.
-TIE_SHIFT = 0.0000037
+from tickweek.fixed import AVERAGE_COLUMNS, BAR_FIELDS, COMPANY_COLUMNS, COMPANY_FIELDS
+
 DIGITS = 4
+SNAP = "DECIMAL(28,8)"
 
 BAR_ROWS = """
 SELECT
@@ -107,7 +109,25 @@ SELECT
   lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip,
   'img/c' || CAST(o_custkey AS VARCHAR) || '.png' AS image,
   o_custkey * 100 AS volAvg,
-  o_orderkey * 1000000 AS mktCap
+  o_orderkey * 1000000 AS mktCap,
+  CASE WHEN n_regionkey = 1 THEN NULL ELSE n_name || ' Exchange' END AS exchange,
+  CASE WHEN n_regionkey = 2 THEN NULL ELSE substr(n_name, 1, 4) END AS exchangeShortName,
+  CAST(c_nationkey AS DOUBLE) / 10 AS beta,
+  o_totalprice / 100 AS lastDiv,
+  '1.5-' || CAST(o_custkey AS VARCHAR) AS range,
+  c_acctbal / 4 AS changes,
+  substr(n_name, 1, 3) AS currency,
+  c_mktsegment || ' of "' || c_name || '", ' || n_name AS description,
+  'tel ' || CAST(o_custkey AS VARCHAR) AS phone,
+  substr(n_name, 1, 2) AS state,
+  o_totalprice - c_acctbal AS dcfDiff,
+  o_totalprice + c_acctbal AS dcf,
+  strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS ipoDate,
+  c_nationkey % 2 = 0 AS defaultImage,
+  c_nationkey % 3 = 0 AS isEtf,
+  c_acctbal > 100 AS isActivelyTrading,
+  n_regionkey = 1 AS isAdr,
+  c_nationkey % 5 = 0 AS isFund
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 WHERE c_acctbal > 0
 """
@@ -133,29 +153,17 @@ FROM lineitem
 
 # Constituent instruments merged with their profile; a field that the profile's
 # body has wins: even orders spell out null fields, the others leave them out.
-COMPANIES = """
-SELECT i.symbol,
-       CASE WHEN CAST(p.symbol AS BIGINT) % 2 = 0 THEN p.name ELSE COALESCE(p.name, i.name) END AS name,
-       CASE WHEN CAST(p.symbol AS BIGINT) % 2 = 0 THEN p.price ELSE COALESCE(p.price, i.price) END AS price,
-       i.exchange, i.exchangeShortName, i.type,
-       p.companyName, p.sector, p.industry, p.country, p.cik, p.isin, p.cusip, p.website, p.ceo,
-       p.fullTimeEmployees, p.address, p.city, p.zip, p.image, p.volAvg, p.mktCap
-FROM {source} i LEFT JOIN profile p ON i.symbol = p.symbol
-"""
-
-COMPANY_COLUMNS = (
-    "symbol, name, sector, industry, exchange, exchangeShortName, volAvg, mktCap, companyName, cik, isin, "
-    "cusip, website, ceo, fullTimeEmployees, address, city, zip, image"
+_MERGED = ", ".join(
+    f"CASE WHEN CAST(p.symbol AS BIGINT) % 2 = 0 THEN p.{c} ELSE COALESCE(p.{c}, i.{c}) END AS {c}"
+    for c in ("name", "price", "exchange", "exchangeShortName")
+)
+_PROFILE_ONLY = ", ".join(
+    f"p.{c}" for c, _ in COMPANY_FIELDS if c not in ("symbol", "name", "price", "exchange", "exchangeShortName", "type")
 )
-BAR_COLUMNS = "date, open, high, low, close, adjClose, volume, unadjustedVolume, change, changePercent, vwap, label, changeOverTime"
-STRING_COLUMNS = [
-    "symbol", "name", "sector", "industry", "exchange", "exchangeShortName", "companyName", "cik", "isin",
-    "cusip", "website", "ceo", "fullTimeEmployees", "address", "city", "zip", "image", "date", "label",
-]
-NUMBER_COLUMNS = [
-    "volAvg", "mktCap", "open", "high", "low", "close", "adjClose", "volume", "unadjustedVolume", "change",
-    "changePercent", "vwap", "changeOverTime",
-]
+COMPANIES = "SELECT i.symbol, i.type, " + _MERGED + ", " + _PROFILE_ONLY + " FROM {source} i LEFT JOIN profile p ON i.symbol = p.symbol"
+
+BAR_COLUMNS = [c for c, _ in BAR_FIELDS]
+STRING_COLUMNS = [c for c, kind in COMPANY_FIELDS + BAR_FIELDS if kind == "string"]
 
 
 def _with(*names: str) -> str:
@@ -174,7 +182,7 @@ def _with(*names: str) -> str:
 
 
 def r(expr: str, name: str) -> str:
-    return f"round({expr} + CAST({TIE_SHIFT} AS DOUBLE), {DIGITS}) AS {name}"
+    return f"CAST(round(CAST({expr} AS {SNAP}), {DIGITS}) AS DOUBLE) AS {name}"
 
 
 def _week(d: str, mode: str) -> str:
@@ -207,17 +215,14 @@ def _symbol_week(prepared: str, default: bool = False) -> str:
     """
 
 
-AVERAGES = ["avgLow", "avgHigh", "avgClose", "avgOpen", "avgVolume", "avgPrice"]
-
-
 def _sector_week(stage1: str, default: bool = False) -> str:
     agg = (lambda c: f"coalesce(avg({c}), 0.0)") if default else (lambda c: f"avg({c})")
-    cols = ", ".join(r(agg(c), c) for c in AVERAGES)
+    cols = ", ".join(r(agg(c), c) for c in AVERAGE_COLUMNS)
     return f"SELECT sector, periodStart, {cols} FROM ({stage1}) GROUP BY sector, periodStart"
 
 
 def _rounded_symbol_week(stage1: str) -> str:
-    cols = ", ".join(r(c, c) for c in AVERAGES)
+    cols = ", ".join(r(c, c) for c in AVERAGE_COLUMNS)
     return f"SELECT symbol, sector, periodStart, {cols} FROM ({stage1})"
 
 
@@ -245,8 +250,8 @@ def _vehicle(week_mode: str, null_band: bool) -> str:
 
 def _flat(source: str, comma_to_dot: bool = False) -> str:
     cols = []
-    for c in [x.strip() for x in (COMPANY_COLUMNS + ", " + BAR_COLUMNS).split(",")]:
-        table = "h" if c in BAR_COLUMNS.replace(" ", "").split(",") else "c"
+    for c in COMPANY_COLUMNS + BAR_COLUMNS:
+        table = "h" if c in BAR_COLUMNS else "c"
         if comma_to_dot and c in STRING_COLUMNS:
             cols.append(f"replace({table}.{c}, ',', '.') AS {c}")
         else:
@@ -259,24 +264,27 @@ def oracle_sql() -> dict[str, str]:
     flat = _with("instruments", "members", "profile", "history", "listed", "companies") + _flat("companies")
     clean = _with("bars") + "SELECT * FROM bars WHERE symbol != 'symbol' AND sector != ''"
     vehicles_filtered = _with("titles") + "SELECT * FROM titles WHERE vehicleCost > 0 AND modelYear > 1900"
-    dates = "SELECT DISTINCT TRY_CAST(date AS DATE) AS trade_date FROM bars"
+    dates = """SELECT DISTINCT CASE WHEN l_discount = 0 AND l_tax = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS trade_date
+               FROM lineitem"""
+    sectors = """SELECT CASE WHEN p_size = 1 THEN '' WHEN p_size = 2 THEN NULL
+                             WHEN p_size = 3 THEN p_type || '  ' || p_brand
+                             WHEN p_size = 4 THEN p_type || chr(9) || p_brand
+                             ELSE p_type || ' ' || p_brand END AS sector
+                 FROM part"""
     return {
         "sector_week_avg": sector_week,
         "symbol_week_avg": _with("bars") + _rounded_symbol_week(_symbol_week(_stock_prepared(LOWER, "pmod"))),
         "clean_bars": clean,
-        "sector_normalised": _with("bars") + f"SELECT DISTINCT sector AS sector_raw, {LOWER} AS sector FROM bars",
-        "sector_whitespace": _with("bars") + f"SELECT DISTINCT sector AS sector_raw, {WHITESPACE} AS sector FROM bars",
-        "week_start_weekday": _with("bars")
-        + f"""SELECT trade_date, CAST(isodow(trade_date) AS INTEGER) AS dayOfWeek,
+        "sector_normalised": f"SELECT DISTINCT sector AS sector_raw, {LOWER} AS sector FROM ({sectors})",
+        "sector_whitespace": f"SELECT DISTINCT sector AS sector_raw, {WHITESPACE} AS sector FROM ({sectors})",
+        "week_start_weekday": f"""SELECT trade_date, CAST(isodow(trade_date) AS INTEGER) AS dayOfWeek,
                  {_week('trade_date', 'weekday')} AS periodStart,
                  strftime({_week('trade_date', 'weekday')}, '%Y-%m-%d') AS periodStartText
               FROM ({dates})""",
-        "week_start_pmod": _with("bars")
-        + f"""SELECT trade_date, CAST(trade_date - DATE '1900-01-01' AS INTEGER) AS daysSinceOrigin,
+        "week_start_pmod": f"""SELECT trade_date, CAST(trade_date - DATE '1900-01-01' AS INTEGER) AS daysSinceOrigin,
                  {_week('trade_date', 'pmod')} AS periodStart
               FROM ({dates})""",
-        "week_start_trunc_pre1900": _with("bars")
-        + f"""SELECT d AS shifted_date, {_week('d', 'pmod')} AS periodStartPmod,
+        "week_start_trunc_pre1900": f"""SELECT d AS shifted_date, {_week('d', 'pmod')} AS periodStartPmod,
                  {_week('d', 'truncated')} AS periodStartTruncated
               FROM (SELECT CAST(trade_date - 36525 AS DATE) AS d FROM ({dates}))""",
         "week_start_interval": _vehicle("truncated", null_band=False),
@@ -296,7 +304,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
                    CAST(json_object('k', CAST(json_extract(props, '$.k') AS INTEGER)) AS VARCHAR) AS props_out
             FROM events""",
+        "json_rejects": """
+            SELECT '{"event": ' || event_id || ', "kind": ' || CASE WHEN event_id % 97 = 0 THEN '' ELSE '"word"}' END AS value
+            FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0""",
+        "json_accepted": "SELECT event_id AS event, user_id AS kind FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0",
         "json_companies_inline": _with("members") + "SELECT symbol, name FROM members",
+        "json_member_symbols": _with("members") + "SELECT symbol FROM members",
+        "json_instruments": _with("instruments") + "SELECT * FROM instruments WHERE price > 100000",
         "comma_to_dot": _with("instruments", "members", "profile", "history", "listed", "companies")
         + _flat("companies", comma_to_dot=True),
         "split_reparse_stage1": _with("bars")

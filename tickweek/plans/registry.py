@@ -14,19 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweek.functions.calendar import day_of_week, days_since_origin, iso_date_text, parse_date, week_start
-from tickweek.functions.json import json_text, parse_json
+from tickweek.functions.json import field_of_each, json_text, parse_json
 from tickweek.functions.numeric import mid_price, to_double
 from tickweek.functions.text import normalise_sector
 from tickweek.operators.clean import clean_bars, valid_titles, within
 from tickweek.operators.enrich import keep_members, merge_right_wins, paged_lists
 from tickweek.plans import acquisition, stock, vehicles
-from tickweek.plans.oracle import DIGITS, TIE_SHIFT
+from tickweek.fixed import AVERAGE_COLUMNS
+from tickweek.plans.oracle import DIGITS, SNAP
 from tickweek.plans.oracle import oracle_sql as _oracle_sql
-from tickweek.schemas import AVERAGE_COLUMNS, FLAT_ROW, INSTRUMENT
+from tickweek.schemas import FLAT_ROW, INSTRUMENT, MEMBER_LIST
 from tickweek.session import scratch_path
 from tickweek.sinks.files import land, write_bare_csv, write_csv, write_delimited, write_documents
 from tickweek.sources import adapters as A
-from tickweek.sources.files import parse_lines, read_bars, read_delimited, read_documents, read_lines, read_member_list, read_titles
+from tickweek.sources.files import (
+    parse_documents,
+    parse_lines,
+    read_bars,
+    read_delimited,
+    read_documents,
+    read_lines,
+    read_member_list,
+    read_titles,
+    register,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,10 +47,9 @@ HISTORY_FROM, HISTORY_TO = "1996-01-01", "1997-12-31"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Averages as ``round(x + TIE_SHIFT, DIGITS)``, the form the oracle compares."""
-    return df.select(
-        *[F.round(F.col(c) + F.lit(TIE_SHIFT), DIGITS).alias(c) if c in AVERAGE_COLUMNS else F.col(c) for c in df.columns]
-    )
+    """Averages rounded to ``DIGITS`` decimals, halves up (see ``plans.oracle`` on ``SNAP``)."""
+    rounded = [F.round(F.col(c).cast(SNAP), DIGITS).cast("double").alias(c) if c in AVERAGE_COLUMNS else F.col(c) for c in df.columns]
+    return df.select(*rounded)
 
 
 def sector_week_avg(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,8 +65,8 @@ def clean_bars_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sector_pairs(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    bars = A.bar_rows(spark, sf)
-    return bars.select(F.col("sector").alias("sector_raw"), normalise_sector("sector", mode).alias("sector")).distinct()
+    sector = A.sectors(spark, sf).distinct()
+    return sector.select(F.col("sector").alias("sector_raw"), normalise_sector("sector", mode).alias("sector"))
 
 
 def sector_normalised(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +78,7 @@ def sector_whitespace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trade_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return A.bar_rows(spark, sf).select(parse_date("date").alias("trade_date")).distinct()
+    return A.bar_dates(spark, sf).select(parse_date("date").alias("trade_date")).distinct()
 
 
 def week_start_weekday(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +148,7 @@ def missing_history_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history_range(spark: SparkSession, sf: str) -> DataFrame:
-    return within(A.history(spark, sf), "date", HISTORY_FROM, HISTORY_TO)
+    return within(A.history(spark, sf, HISTORY_FROM, HISTORY_TO), "date", HISTORY_FROM, HISTORY_TO)
 
 
 def json_props_field(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,8 +166,44 @@ def json_companies_inline(spark: SparkSession, sf: str) -> DataFrame:
     return read_member_list(spark, path)
 
 
+def json_member_symbols(spark: SparkSession, sf: str) -> DataFrame:
+    """The symbols of the wrapped constituent lists, one field of each record."""
+    path = scratch_path(spark, "member-lists")
+    lists = paged_lists(A.members(spark, sf), [], ["symbol", "name"], "companies")
+    write_documents(lists.select("companies"), path)
+    return read_documents(spark, path, MEMBER_LIST).select(F.explode(field_of_each("companies", "symbol")).alias("symbol"))
+
+
+def json_instruments(spark: SparkSession, sf: str) -> DataFrame:
+    """The instrument list written as JSON, read back and queried as a view."""
+    path = scratch_path(spark, "instrument-json")
+    write_documents(A.instruments(spark, sf), path)
+    view = f"tickweek_instruments_{path.rsplit('-', 1)[-1][:12]}"
+    register(read_documents(spark, path, INSTRUMENT, strict=True), view)
+    return spark.sql(f"SELECT * FROM {view} WHERE price > :least", args={"least": 100000})
+
+
+def _event_documents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    path = scratch_path(spark, "event-json")
+    A.event_lines(spark, sf).write.text(path)
+    return parse_documents(read_lines(spark, path), "event bigint, kind bigint")
+
+
+def json_accepted(spark: SparkSession, sf: str) -> DataFrame:
+    return _event_documents(spark, sf)[0]
+
+
+def json_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw lines of the documents that do not parse or have a cell of another type."""
+    return _event_documents(spark, sf)[1]
+
+
+def _flat_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return acquisition.flat_csv(A.instruments(spark, sf), A.members(spark, sf), A.profile_bodies(spark, sf), A.history(spark, sf))
+
+
 def comma_to_dot(spark: SparkSession, sf: str) -> DataFrame:
-    return acquisition.csv_rows(_documents(spark, sf))
+    return _flat_csv(spark, sf)
 
 
 def split_reparse_stage1(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,7 +288,7 @@ def flat_csv_export(spark: SparkSession, sf: str) -> DataFrame:
     """Flattened company-and-bar rows written as headed comma text (commas in
     text cells turned into dots first) and read back with the row schema."""
     path = scratch_path(spark, "flat-csv")
-    write_csv(acquisition.csv_rows(_documents(spark, sf)), path, header=True)
+    write_csv(_flat_csv(spark, sf), path, header=True)
     return read_delimited(spark, path, FLAT_ROW, ",", header=True)
 
 
@@ -266,6 +312,10 @@ _QUERIES: dict[str, Query] = {
     "history_range": history_range,
     "json_props_field": json_props_field,
     "json_companies_inline": json_companies_inline,
+    "json_member_symbols": json_member_symbols,
+    "json_instruments": json_instruments,
+    "json_accepted": json_accepted,
+    "json_rejects": json_rejects,
     "comma_to_dot": comma_to_dot,
     "split_reparse_stage1": split_reparse_stage1,
     "bag_average": bag_average,

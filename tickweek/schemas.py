@@ -1,4 +1,4 @@
-"""Declared schemas of the input shapes.
+"""Declared schemas of the input shapes, built from the lists in ``tickweek.fixed``.
 
 Inference is never used: it reads ``0000012`` as the number 12 and turns a
 numeric column with one bad cell into text. With these schemas in
@@ -7,101 +7,53 @@ PERMISSIVE mode a bad cell becomes NULL and the rest of the row is kept.
 
 from __future__ import annotations
 
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
-
-from tickweek.fixed import BAR_COLUMNS, COMPANY_COLUMNS
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from tickweek.fixed import AVERAGE_COLUMNS, BAR_FIELDS, COMPANY_COLUMNS, COMPANY_FIELDS, INSTRUMENT_COLUMNS, TITLE_FIELDS
 
 # How every delimited text is quoted: a cell may hold the separator, a quote in it is doubled.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
-def _fields(names: str, dtype) -> list[StructField]:
-    return [StructField(n, dtype, True) for n in names.split()]
-
+_TYPES = {"string": StringType(), "double": DoubleType(), "bigint": LongType(), "int": IntegerType(), "boolean": BooleanType()}
 
-# A flattened bar row is 32 cells; positions matter for headerless text.
-BAR_ROW_COLUMNS = COMPANY_COLUMNS + BAR_COLUMNS
 
-# Flattened bar row: 32 positional columns of comma text.
-BARS = StructType(
-    _fields("symbol name sector industry exchange exchangeShortName", StringType())
-    + _fields("volAvg mktCap", DoubleType())
-    + _fields("companyName cik isin cusip website ceo fullTimeEmployees address city zip image date", StringType())
-    + _fields("open high low close adjClose volume unadjustedVolume change changePercent vwap", DoubleType())
-    + _fields("label", StringType())
-    + _fields("changeOverTime", DoubleType())
-)
+def _struct(fields: list[tuple[str, str]]) -> StructType:
+    return StructType([StructField(name, _TYPES[kind], True) for name, kind in fields])
 
-# Vehicle title record: 13 positional columns of tab text.
-TITLES = StructType(
-    _fields("vin", StringType())
-    + _fields("vehicleCost", DoubleType())
-    + _fields("odometerTypeCode odometerReading", IntegerType())
-    + _fields("countyName", StringType())
-    + _fields("ZIP5 modelYear", IntegerType())
-    + _fields("makeCode modelCode vehicleTypeDescription newUsedCode titleIssueDate purchaseDate", StringType())
-)
 
 # One daily bar inside a company document.
-BAR = StructType(
-    _fields("date", StringType())
-    + _fields("open high low close adjClose", DoubleType())
-    + _fields("volume unadjustedVolume", LongType())
-    + _fields("change changePercent vwap", DoubleType())
-    + _fields("label", StringType())
-    + _fields("changeOverTime", DoubleType())
-)
-
-# Company document: instrument merged with its profile, plus the nested bars.
-COMPANY = StructType(
-    _fields(
-        "symbol name exchange exchangeShortName type range companyName currency cik isin cusip industry "
-        "website description ceo sector country fullTimeEmployees phone address city state zip image ipoDate",
-        StringType(),
-    )
-    + _fields("price beta lastDiv changes dcfDiff dcf", DoubleType())
-    + _fields("volAvg mktCap", LongType())
-    + _fields("defaultImage isEtf isActivelyTrading isAdr isFund", BooleanType())
-    + [StructField("stockData", ArrayType(BAR), True)]
-)
+BAR = _struct(BAR_FIELDS)
+BAR_COLUMNS = BAR.fieldNames()
 
-# Wrapped constituent list: {"companies": [{"symbol": ..., "name": ...}, ...]}.
-MEMBER = StructType(_fields("symbol name", StringType()))
-MEMBER_LIST = StructType([StructField("companies", ArrayType(MEMBER), True)])
+# One company profile record: any field of a company document, without the bars.
+PROFILE = _struct(COMPANY_FIELDS)
 
-# Output shapes of the two stock stages and of the vehicle job.
-SYMBOL_WEEK_COLUMNS = ["symbol", "sector", "periodStart", "avgLow", "avgHigh", "avgClose", "avgOpen", "avgVolume", "avgPrice"]
-SECTOR_WEEK_COLUMNS = ["sector", "periodStart", "avgLow", "avgHigh", "avgClose", "avgOpen", "avgVolume", "avgPrice"]
-AVERAGE_COLUMNS = ["avgLow", "avgHigh", "avgClose", "avgOpen", "avgVolume", "avgPrice"]
-VEHICLE_COLUMNS = ["purchaseDate", "modelYear", "vehicleAge", "periodStart", "WearAndTear"]
+# Company document: instrument merged with its profile, plus the nested bars.
+COMPANY = StructType([*PROFILE.fields, StructField("stockData", ArrayType(BAR), True)])
 
-# One instrument of the full list, and one company profile record.
-INSTRUMENT = StructType(
-    _fields("symbol name", StringType()) + _fields("price", DoubleType()) + _fields("exchange exchangeShortName type", StringType())
-)
-PROFILE = StructType(
-    _fields("symbol", StringType())
-    + _fields("price", DoubleType())
-    + _fields(
-        "companyName name sector industry country cik isin cusip website ceo fullTimeEmployees address city zip image",
-        StringType(),
-    )
-    + _fields("volAvg mktCap", LongType())
-)
+# One instrument of the full list.
+INSTRUMENT = StructType([COMPANY[c] for c in INSTRUMENT_COLUMNS])
 
 # One bar of a symbol's history as a flat record (history files).
-HISTORY_ROW = StructType([StructField("symbol", StringType(), True)] + list(BAR.fields))
+HISTORY_ROW = StructType([COMPANY["symbol"], *BAR.fields])
 
 # A flattened company-and-bar row as written by the converter: 19 company
 # columns (typed as in the document) and the 13 bar columns.
 FLAT_ROW = StructType([COMPANY[c] for c in COMPANY_COLUMNS] + list(BAR.fields))
+BAR_ROW_COLUMNS = FLAT_ROW.fieldNames()
+
+# The same 32 positional columns as the stock job reads them: every number is a double.
+BARS = StructType([f if isinstance(f.dataType, StringType) else StructField(f.name, DoubleType()) for f in FLAT_ROW.fields])
+
+# Vehicle title record: 13 positional columns of tab text.
+TITLES = _struct(TITLE_FIELDS)
+
+# Wrapped constituent list: {"companies": [{"symbol": ..., "name": ...}, ...]}.
+MEMBER = StructType([COMPANY["symbol"], COMPANY["name"]])
+MEMBER_LIST = StructType([StructField("companies", ArrayType(MEMBER), True)])
+
+# Output shapes of the two stock stages and of the vehicle job.
+SECTOR_WEEK_COLUMNS = ["sector", "periodStart", *AVERAGE_COLUMNS]
+SYMBOL_WEEK_COLUMNS = ["symbol", *SECTOR_WEEK_COLUMNS]
+VEHICLE_COLUMNS = ["purchaseDate", "modelYear", "vehicleAge", "periodStart", "WearAndTear"]

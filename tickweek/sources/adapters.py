@@ -21,8 +21,13 @@ derive the same rows on its own:
 ``instruments`` / ``members`` / ``profile_bodies`` / ``history``
     orders as instruments; urgent and high-priority orders as the
     constituent list; a one-record JSON array per order of a customer with a
-    positive balance (customer and nation joined) as the profile response;
-    line items as each order's bars (orders without lines have no history).
+    positive balance (customer and nation joined) as the profile response,
+    with every profile field but ``type`` (some NULL: spelled out for even
+    orders, left out for the others); line items as each order's bars (orders
+    without lines have no history).
+``event_lines``
+    the events as one-line JSON documents, some of them cut off, some with a
+    word where a number belongs.
 """
 
 from __future__ import annotations
@@ -45,26 +50,47 @@ def _label(ts: str) -> Column:
     return F.date_format(F.col(ts).cast("date"), "MMMM d, yy")
 
 
-def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened daily bars, the 32 columns of the comma text input.
+def bar_date() -> Column:
+    """The date text of a line item."""
+    return F.when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), F.lit("not a date")).otherwise(
+        iso_date_text(F.col("l_shipdate").cast("date"))
+    )
 
-    Columns that depend on the part alone are derived on the part side, once
-    per part, before the join; the line side adds dates and prices."""
-    part = table(spark, sf_dir, "part")
-    key = _text("p_partkey")
-    sector = (
+
+def part_sector() -> Column:
+    """The sector of a part."""
+    return (
         F.when(F.col("p_size") == 1, F.lit(""))
         .when(F.col("p_size") == 2, F.lit(None).cast("string"))
         .when(F.col("p_size") == 3, F.concat_ws("  ", "p_type", "p_brand"))
         .when(F.col("p_size") == 4, F.concat_ws("\t", "p_type", "p_brand"))
         .otherwise(F.concat_ws(" ", "p_type", "p_brand"))
     )
+
+
+def bar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date texts of all line items, without the companies."""
+    return table(spark, sf_dir, "lineitem").select(bar_date().alias("date"))
+
+
+def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sectors of all parts, without their bars."""
+    return table(spark, sf_dir, "part").select(part_sector().alias("sector"))
+
+
+def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened daily bars, the 32 columns of the comma text input.
+
+    Columns that depend on the part alone are derived on the part side, once
+    per part, before the join; the line side adds dates and prices."""
+    part = table(spark, sf_dir, "part")
+    key = _text("p_partkey")
     companies = part.select(
         F.col("p_partkey"),
         F.col("p_size"),
         F.when(F.col("p_partkey") == 0, F.lit("symbol")).otherwise(key).alias("symbol"),
         F.col("p_name").alias("name"),
-        sector.alias("sector"),
+        part_sector().alias("sector"),
         F.col("p_type").alias("industry"),
         F.col("p_brand").alias("exchange"),
         F.when(F.col("p_size") > 25, F.lit("NYSE")).otherwise(F.lit("NASDAQ")).alias("exchangeShortName"),
@@ -81,16 +107,10 @@ def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("img/"), key, F.lit(".png")).alias("image"),
     )
     li = table(spark, sf_dir, "lineitem")
-    # Parts grow with the data (billions of rows at 100 TB), where this is a
-    # sort-merge join; it is declared as one so every scale runs the same plan
-    # and the per-row work after the join spreads over the shuffle partitions.
-    j = li.join(companies.hint("merge"), li.l_partkey == companies.p_partkey)
+    j = li.join(companies, li.l_partkey == companies.p_partkey)
     price = F.col("l_extendedprice")
     high = price * (1 + F.col("l_tax"))
     low = price * (1 - F.col("l_discount"))
-    date = F.when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), F.lit("not a date")).otherwise(
-        iso_date_text(F.col("l_shipdate").cast("date"))
-    )
     return j.select(
         "symbol", "name", "sector", "industry", "exchange", "exchangeShortName", "volAvg", "mktCap",
         "companyName", "cik", "isin", "cusip", "website", "ceo", "fullTimeEmployees",
@@ -98,7 +118,7 @@ def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "city",
         F.lpad(_text("l_suppkey"), 5, "0").alias("zip"),
         "image",
-        date.alias("date"),
+        bar_date().alias("date"),
         (price * (1 - F.col("l_tax"))).alias("open"),
         high.alias("high"),
         low.alias("low"),
@@ -118,7 +138,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle title records, the 13 columns of the tab text input."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    j = o.join(c.hint("merge"), o.o_custkey == c.c_custkey)  # customers grow with the data too
+    j = o.join(c, o.o_custkey == c.c_custkey)
     order_date = iso_date_text(F.col("o_orderdate").cast("date"))
     low_priority = F.col("o_orderpriority") == "5-LOW"
     model_year = F.when(
@@ -192,6 +212,24 @@ def profile_record() -> Column:
         F.concat(F.lit("img/c"), _text("o_custkey"), F.lit(".png")).alias("image"),
         (F.col("o_custkey") * 100).alias("volAvg"),
         (F.col("o_orderkey") * 1000000).alias("mktCap"),
+        F.when(F.col("n_regionkey") == 1, F.lit(None).cast("string")).otherwise(F.concat(F.col("n_name"), F.lit(" Exchange"))).alias("exchange"),
+        F.when(F.col("n_regionkey") == 2, F.lit(None).cast("string")).otherwise(F.substring("n_name", 1, 4)).alias("exchangeShortName"),
+        (F.col("c_nationkey") / 10).alias("beta"),
+        (F.col("o_totalprice") / 100).alias("lastDiv"),
+        F.concat(F.lit("1.5-"), _text("o_custkey")).alias("range"),
+        (F.col("c_acctbal") / 4).alias("changes"),
+        F.substring("n_name", 1, 3).alias("currency"),
+        F.concat(F.col("c_mktsegment"), F.lit(' of "'), F.col("c_name"), F.lit('", '), F.col("n_name")).alias("description"),
+        F.concat(F.lit("tel "), _text("o_custkey")).alias("phone"),
+        F.substring("n_name", 1, 2).alias("state"),
+        (F.col("o_totalprice") - F.col("c_acctbal")).alias("dcfDiff"),
+        (F.col("o_totalprice") + F.col("c_acctbal")).alias("dcf"),
+        iso_date_text("o_orderdate").alias("ipoDate"),
+        (F.col("c_nationkey") % 2 == 0).alias("defaultImage"),
+        (F.col("c_nationkey") % 3 == 0).alias("isEtf"),
+        (F.col("c_acctbal") > 100).alias("isActivelyTrading"),
+        (F.col("n_regionkey") == 1).alias("isAdr"),
+        (F.col("c_nationkey") % 5 == 0).alias("isFund"),
     )
 
 
@@ -208,9 +246,15 @@ def profile_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(_text("o_orderkey").alias("symbol"), body.alias("body"))
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars per symbol: one per line item of the order."""
+def history(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Daily bars per symbol: one per line item of the order.
+
+    A range of dates is asked of the table's own column, so it reaches the scan."""
     li = table(spark, sf_dir, "lineitem")
+    if start is not None:
+        li = li.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        li = li.where(F.col("l_shipdate") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
     price = F.col("l_extendedprice")
     high = price * (1 + F.col("l_tax"))
     low = price * (1 - F.col("l_discount"))
@@ -234,3 +278,11 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as JSON lines: every 97th is cut off, every other 89th has a word as its ``kind``."""
+    e = table(spark, sf_dir, "events")
+    head = F.concat(F.lit('{"event": '), _text("event_id"), F.lit(', "kind": '))
+    tail = F.when(F.col("event_id") % 97 == 0, "").when(F.col("event_id") % 89 == 0, '"word"}').otherwise(F.concat(_text("user_id"), F.lit("}")))
+    return e.select(F.concat(head, tail).alias("value"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from tickweek.operators.clean import split_rejects
 from tickweek.schemas import BARS, COMPANY, CSV_OPTIONS, MEMBER_LIST, TITLES
 
 
@@ -66,6 +67,20 @@ def read_documents(spark: SparkSession, path: str, schema: StructType = COMPANY,
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode).json(path)
 
 
+def parse_documents(lines: DataFrame, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """JSON lines (``value``) as ``(documents, rejects)``.
+
+    A line that is no JSON object, or one with a cell of another type, is a
+    reject and keeps its raw text. NULL and empty lines are neither."""
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    # A field of this name would hide the corrupt text, so it is unlikely on purpose.
+    whole = StructType([*fields.fields, StructField("__malformed", StringType())])
+    doc = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__malformed"})
+    parsed = lines.where(F.trim("value") != "").select("value", doc.alias("_doc"))
+    good, rejects = split_rejects(parsed, F.col("_doc").isNotNull() & F.col("_doc.__malformed").isNull())
+    return good.select(*[F.col("_doc").getField(f.name).alias(f.name) for f in fields]), rejects.select("value")
+
+
 def read_member_list(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Wrapped constituent lists ``{"companies": [...]}`` unwrapped to
     ``(symbol, name)`` rows; lists may be split over many documents."""
