@@ -126,16 +126,17 @@ def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     lines = stored(_lines(rows), "line-templates")
     leaves = lines.groupBy("leaf").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
     open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", "low", "high", "first", F.explode("keys").alias("key"))
-    counts = [
-        open_.groupBy("key", sketch)
-        .agg(F.sum(F.col("first").cast("long")).alias("docs"))
-        .groupBy("key")
-        .agg(F.count("*").alias(sketch), F.sum("docs").alias("docs"))
-        for sketch in ("low", "high")
-    ]
+    # Both sketches in one pass: the last bit says which of the two it is.
+    low, high = F.col("low").bitwiseAND(F.lit(-2)), F.col("high").bitwiseOR(F.lit(1))
+    pairs = open_.select("key", "first", F.explode(F.array(low, high)).alias("sketch"))
+    pairs = pairs.groupBy("key", "sketch").agg(F.sum(F.col("first").cast("long")).alias("docs"))
+    largest = F.col("sketch").bitwiseAND(F.lit(1))
+    counts = pairs.groupBy("key").agg(
+        F.sum(1 - largest).alias("low"), F.sum(largest).alias("high"), F.sum(F.col("docs") * (1 - largest)).alias("docs")
+    )
     n = F.greatest("low", "high")
     # Templates that mostly copies of a few documents hold are not recurring.
-    recurring = counts[0].join(counts[1].drop("docs"), "key").where((n >= documents_) & (2 * n >= F.col("docs"))).select("key")
+    recurring = counts.where((n >= documents_) & (2 * n >= F.col("docs"))).select("key")
     return open_.join(recurring, "key").groupBy("rid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
