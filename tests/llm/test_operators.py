@@ -359,6 +359,29 @@ def test_line_dedup(spark, docs, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def unique_lines(rnd, n, words=9):
+    return [" ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(words)) for _ in range(n)]
+
+
+def dropped_lines(spark, rows):
+    """Of each row of ``rows`` (id, lines) the lines that line dedup leaves out."""
+    df = spark.createDataFrame([(i, "\n".join(x)) for i, x in rows], "doc_id bigint, text string").repartition(3)
+    kept = {r.doc_id: r.text.split("\n") for r in linededup.dedup_lines(df).select("row.doc_id", "row.text").collect()}
+    return {i: [x for x in lines if x not in kept[i]] for i, lines in rows}
+
+
+def test_line_dedup_decides_on_independent_holders_alone(spark):
+    rnd = random.Random(21)
+    footer = "all articles of the weekly paper are free to read"
+    rows = [(i, [*unique_lines(rnd, 6), footer]) for i in range(8)]
+    page = unique_lines(rnd, 12)
+    rows += [(100 + i, [*page, footer]) for i in range(30)]  # copies outnumber the independent holders
+    near = unique_lines(rnd, 20)
+    rows += [(200 + i, [*near, *unique_lines(rnd, 1)]) for i in range(10)]  # near copies, one own line each
+    gone = dropped_lines(spark, rows)
+    assert all(gone[i] == ([footer] if i < 200 else []) for i, _ in rows)
+
+
 def test_sketches_of_other_lines():
     owner, key = np.array([0, 0, 0, 0, 1, 3, 3]), np.array([5, 2, 2, 9, 7, -4, 1])
     low, high = linededup.others(owner, key)

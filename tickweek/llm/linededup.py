@@ -7,10 +7,9 @@ open, so lines that differ in one variable stretch meet in one template. A line
 goes if one of its templates recurs in enough independent documents.
 
 Documents that are copies of each other say nothing about a template: what
-counts is the number of different sketches among the documents that hold it. A
-sketch is the smallest hash of the document's other lines; as one line may be
-the smallest wherever two lines come together, the largest hash is a second
-sketch, and the sketch that tells more documents apart counts.
+counts is the number of near-duplicate classes (as ``neardup`` finds them) among
+the documents that hold it, however many copies a class has. Only documents that
+hold a template of enough documents are compared.
 """
 
 from __future__ import annotations
@@ -25,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweek.llm.common import documents, slices
-from tickweek.session import stored
+from tickweek.llm.neardup import near_duplicates
+from tickweek.session import drop_stored, stored
 
 LEAD = 3
 BLOCKS = 4
@@ -80,7 +80,10 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
 
 
 def others(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each line the smallest and the largest key of its text's other lines (0 where all lines are equal)."""
+    """For each line the smallest and the largest key of its text's other lines (0 where all lines are equal).
+
+    ``recurring_lines`` tells documents apart by near-duplicate classes and does not call this.
+    """
     frame = pd.DataFrame({"o": owner, "k": key}).drop_duplicates().sort_values(["o", "k"])
     place = {}
     for name, part in (("low", frame), ("high", frame.iloc[::-1])):
@@ -95,49 +98,45 @@ def others(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """``rid, line, leaf, low, high, keys`` of each template line; of equal lines in a text the first is ``first``."""
+    """``rid, line, leaf, keys`` of each template line; the first line of a leaf in a text is ``first``, of equal lines too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             owner, line, leaf, keys, open_ = templates(batch["text"].to_pylist())
             if not len(owner):
                 continue
-            low, high = others(owner, keys[:, 0])
             width = np.where(open_, 1 + BLOCKS, 1)
             chosen = np.arange(1 + BLOCKS) < width[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(keys[chosen]))
             first = ~pd.DataFrame({"o": owner, "k": keys[:, 0]}).duplicated().to_numpy()
             rid = batch["rid"].to_numpy()[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), pa.array(low), pa.array(high), lists, pa.array(first)],
-                ["rid", "line", "leaf", "low", "high", "keys", "first"],
+                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), lists, pa.array(first)],
+                ["rid", "line", "leaf", "keys", "first"],
             )
 
-    kind = "rid bigint, line int, leaf bigint, low bigint, high bigint, keys array<bigint>, first boolean"
+    kind = "rid bigint, line int, leaf bigint, keys array<bigint>, first boolean"
     return rows.select("rid", F.col("row.text").alias("text")).mapInArrow(run, kind)
 
 
 def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     """``rid`` and the sorted numbers ``drop`` of its lines whose template recurs.
 
-    Counts are summed before every shuffle and per (template, sketch) first, so
-    a line that a third of all documents hold is spread over many tasks.
+    Counts are summed before every shuffle and per (template, class) first, so a
+    line that a third of all documents hold is spread over many tasks.
     """
     lines = stored(_lines(rows), "line-templates")
     leaves = lines.groupBy("leaf").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
-    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", "low", "high", "first", F.explode("keys").alias("key"))
-    # Both sketches in one pass: the last bit says which of the two it is.
-    low, high = F.col("low").bitwiseAND(F.lit(-2)), F.col("high").bitwiseOR(F.lit(1))
-    pairs = open_.select("key", "first", F.explode(F.array(low, high)).alias("sketch"))
-    pairs = pairs.groupBy("key", "sketch").agg(F.sum(F.col("first").cast("long")).alias("docs"))
-    largest = F.col("sketch").bitwiseAND(F.lit(1))
-    counts = pairs.groupBy("key").agg(
-        F.sum(1 - largest).alias("low"), F.sum(largest).alias("high"), F.sum(F.col("docs") * (1 - largest)).alias("docs")
-    )
-    n = F.greatest("low", "high")
-    # Templates that mostly copies of a few documents hold are not recurring.
-    recurring = counts.where((n >= documents_) & (2 * n >= F.col("docs"))).select("key")
-    return open_.join(recurring, "key").groupBy("rid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
+    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", "first", F.explode("keys").alias("key"))
+    # No template has more classes than lines: most lines end here.
+    often = open_.groupBy("key").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
+    held = stored(open_.join(often.select("key"), "key").select("rid", "line", "key"), "line-held")
+    drop_stored(lines)
+    holders = rows.join(held.select("rid").distinct(), "rid").select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text"))
+    classes = near_duplicates(holders).select(F.col("row.doc_id").alias("rid"), F.col("component_id").alias("class"))
+    counts = held.join(classes, "rid").select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    recurring = counts.where(F.col("n") >= documents_).select("key")
+    return held.join(recurring, "key").groupBy("rid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
