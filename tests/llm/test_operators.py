@@ -382,6 +382,14 @@ def test_line_dedup_decides_on_independent_holders_alone(spark):
     assert all(gone[i] == ([footer] if i < 200 else []) for i, _ in rows)
 
 
+def test_line_dedup_drops_blocks_of_shared_lines(spark):
+    for shared, own in ((5, 2), (10, 4), (20, 10)):
+        rnd = random.Random(shared)
+        block = unique_lines(rnd, shared)
+        rows = [(i, [*block, *unique_lines(rnd, own)]) for i in range(60)]
+        assert all(x == block for x in dropped_lines(spark, rows).values())
+
+
 def test_sketches_of_other_lines():
     owner, key = np.array([0, 0, 0, 0, 1, 3, 3]), np.array([5, 2, 2, 9, 7, -4, 1])
     low, high = linededup.others(owner, key)
