@@ -390,6 +390,16 @@ def test_line_dedup_drops_blocks_of_shared_lines(spark):
         assert all(x == block for x in dropped_lines(spark, rows).values())
 
 
+def test_line_dedup_counts_a_document_once_for_a_template(spark):
+    rnd = random.Random(23)
+    log = [f"the server has sent its answer to user {x} again" for x in unique_lines(rnd, 6 * 8, 1)]
+    rows = [(i, [*unique_lines(rnd, 3), *log[6 * i : 6 * i + 6]]) for i in range(8)]
+    alone = [f"the engine has lost its contact to host {x} again" for x in unique_lines(rnd, 12, 1)]
+    rows.append((99, [*unique_lines(rnd, 3), *alone]))  # many variants, but one document
+    gone = dropped_lines(spark, rows)
+    assert all(gone[i] == log[6 * i : 6 * i + 6] for i in range(8)) and gone[99] == []
+
+
 def test_sketches_of_other_lines():
     owner, key = np.array([0, 0, 0, 0, 1, 3, 3]), np.array([5, 2, 2, 9, 7, -4, 1])
     low, high = linededup.others(owner, key)

@@ -98,7 +98,7 @@ def others(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """``rid, line, leaf, keys`` of each template line; the first line of a leaf in a text is ``first``, of equal lines too."""
+    """``rid, line, leaf, keys`` of each template line; ``first`` and ``news`` mark where a text meets the leaf and each key first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -108,28 +108,30 @@ def _lines(rows: DataFrame) -> DataFrame:
             width = np.where(open_, 1 + BLOCKS, 1)
             chosen = np.arange(1 + BLOCKS) < width[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(keys[chosen]))
-            first = ~pd.DataFrame({"o": owner, "k": keys[:, 0]}).duplicated().to_numpy()
+            first = ~pd.DataFrame({"o": owner, "k": leaf}).duplicated().to_numpy()
+            new = ~pd.DataFrame({"o": np.repeat(owner, width), "k": keys[chosen]}).duplicated().to_numpy()
+            news = pa.ListArray.from_arrays(lists.offsets, pa.array(new))
             rid = batch["rid"].to_numpy()[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), lists, pa.array(first)],
-                ["rid", "line", "leaf", "keys", "first"],
+                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), pa.array(first), lists, news],
+                ["rid", "line", "leaf", "first", "keys", "news"],
             )
 
-    kind = "rid bigint, line int, leaf bigint, keys array<bigint>, first boolean"
+    kind = "rid bigint, line int, leaf bigint, first boolean, keys array<bigint>, news array<boolean>"
     return rows.select("rid", F.col("row.text").alias("text")).mapInArrow(run, kind)
 
 
 def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     """``rid`` and the sorted numbers ``drop`` of its lines whose template recurs.
 
-    Counts are summed before every shuffle and per (template, class) first, so a
+    A text counts once for a leaf or template, however many of its lines meet there. Counts are summed before every shuffle and per (template, class) first, so a
     line that a third of all documents hold is spread over many tasks.
     """
     lines = stored(_lines(rows), "line-templates")
     leaves = lines.groupBy("leaf").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
-    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", "first", F.explode("keys").alias("key"))
-    # No template has more classes than lines: most lines end here.
-    often = open_.groupBy("key").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
+    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", F.inline(F.arrays_zip("keys", "news"))).withColumnRenamed("keys", "key")
+    # No template has more classes than documents: most lines end here.
+    often = open_.groupBy("key").agg(F.sum(F.col("news").cast("long")).alias("n")).where(F.col("n") >= documents_)
     held = stored(open_.join(often.select("key"), "key").select("rid", "line", "key"), "line-held")
     drop_stored(lines)
     holders = rows.join(held.select("rid").distinct(), "rid").select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text"))
