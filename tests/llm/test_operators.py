@@ -400,6 +400,18 @@ def test_line_dedup_counts_a_document_once_for_a_template(spark):
     assert all(gone[i] == log[6 * i : 6 * i + 6] for i in range(8)) and gone[99] == []
 
 
+def test_line_dedup_of_text_without_spaces(spark):
+    assert linededup.tokens_of("猫が ab3好き。") == ["猫", "が", "ab3", "好", "き", "。"] and linededup.tokens_of("é a\u3000b") == ["é", "a", "b"]
+    rnd = random.Random(24)
+    footers = ["本站所有文章均可免费阅读", "บทความทั้งหมดอ่านได้ฟรี"]
+    own = lambda n: ["".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(30)) for _ in range(n)]
+    rows = [(i, [*own(4), footers[i % 2]]) for i in range(12)]
+    near = own(12)
+    rows += [(100 + i, [*(x[:-1] + chr(0x4E00 + i) if k == i else x for k, x in enumerate(near))]) for i in range(10)]
+    gone = dropped_lines(spark, rows)
+    assert all(gone[i] == ([footers[i % 2]] if i < 100 else []) for i, _ in rows)
+
+
 def test_sketches_of_other_lines():
     owner, key = np.array([0, 0, 0, 0, 1, 3, 3]), np.array([5, 2, 2, 9, 7, -4, 1])
     low, high = linededup.others(owner, key)

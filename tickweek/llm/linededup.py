@@ -1,7 +1,8 @@
 """Line dedup by a log-template tree.
 
 The tree has a fixed depth: a line's number of tokens, then its first ``LEAD``
-tokens; tokens that hold a digit count as a field. A leaf's templates are its
+tokens; tokens that hold a digit count as a field. Tokens are runs without white
+space; in scripts that put none between words each character is one. A leaf's templates are its
 lines as they are and its lines with one of ``BLOCKS`` stretches of tokens left
 open, so lines that differ in one variable stretch meet in one template. A line
 goes if one of its templates recurs in enough independent documents.
@@ -14,6 +15,7 @@ hold a template of enough documents are compared.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,9 @@ OPEN_TOKENS = 8  # lines of fewer tokens have no template with an open stretch
 LEAST_TOKENS = 3  # shorter lines have no template at all
 DOCUMENTS = 5  # independent documents that make a template recurring
 FIELD = "<*>"
+# Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese, as Python and Java write them in a character class
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff61-\uff9f\U00020000-\U0003fffd"
+_TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,13 +48,17 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def tokens_of(line: str) -> list[str]:
+    return line.split() if line.isascii() else _TOKEN.findall(line)
+
+
 def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     """Of every line with a template: text number, line number, leaf, template keys [line, 1 + BLOCKS], whether it has open ones."""
     tokens: list[str] = []
     owner, number, counts = [], [], []
     for k, text in enumerate(texts):
         for i, line in enumerate(text.split("\n") if text else ()):
-            found = line.split()
+            found = tokens_of(line)
             if len(found) >= LEAST_TOKENS:
                 tokens += found
                 owner.append(k)
@@ -134,7 +143,8 @@ def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     often = open_.groupBy("key").agg(F.sum(F.col("news").cast("long")).alias("n")).where(F.col("n") >= documents_)
     held = stored(open_.join(often.select("key"), "key").select("rid", "line", "key"), "line-held")
     drop_stored(lines)
-    holders = rows.join(held.select("rid").distinct(), "rid").select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text"))
+    spaced = F.regexp_replace("row.text", f"([{UNSPACED}])", " $1 ")
+    holders = rows.join(held.select("rid").distinct(), "rid").select(F.col("rid").alias("doc_id"), spaced.alias("text"))
     classes = near_duplicates(holders).select(F.col("row.doc_id").alias("rid"), F.col("component_id").alias("class"))
     counts = held.join(classes, "rid").select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("n"))
     recurring = counts.where(F.col("n") >= documents_).select("key")
