@@ -444,6 +444,24 @@ def test_license_scan(docs, empty, spark):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(empty).count() == 0
 
 
+def test_license_of_each_family(spark):
+    filler = " ".join(f"f{k}" for k in range(40))
+    names = sorted(licenses.TEMPLATES)
+    texts = [(i, f"{filler} -- {licenses.TEMPLATES[n].replace('.', ' .')} {filler}") for i, n in enumerate(names)]
+    gpl = licenses.TEMPLATES["GPL-3.0-or-later"]
+    texts += [(900, gpl.replace("version 3", "version 4")), (901, "(This work is licensed under the GNU General Public License, version 2)")]
+    texts += [(902, "* Released under the MIT License!"), (903, f"{gpl} {licenses.TEMPLATES['MPL-2.0']}"), (904, "-- ...")]
+    got = {r.doc_id: [(m.license, m.word) for m in r.matches] for r in licenses.scan(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    for i, n in enumerate(names):
+        if "." not in licenses.TEMPLATES[n][:-1]:
+            assert got[i] == [(n, 41)]
+    plain = [(i, f"{filler} {licenses.TEMPLATES[n]} {filler}") for i, n in enumerate(names)]
+    got_plain = {r.doc_id: [(m.license, m.word) for m in r.matches] for r in licenses.scan(spark.createDataFrame(plain, "doc_id bigint, text string")).collect()}
+    assert got_plain == {i: [(n, 40)] for i, n in enumerate(names)}
+    assert got[900] == [] == got[904] and got[901] == [("GPL-2.0", 0)] and got[902] == [("MIT", 1)]
+    assert [n for n, _ in got[903]] == ["GPL-3.0-or-later", "MPL-2.0"]
+
+
 def test_license_windows_of_every_offset():
     templates = licenses.Templates(licenses.TEMPLATES)
     words = licenses.TEMPLATES["GPL-3.0-or-later"].split()
