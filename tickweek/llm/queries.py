@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
+from tickweek.llm import (
+    binary,
+    centroids,
+    decontaminate,
+    fingerprint,
+    langid,
+    licenses,
+    linededup,
+    neardup,
+    packing,
+    periodic,
+    quality,
+    sharding,
+    suffixtree,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_sharding": sharding.op9_sharding,
         "op10_near_duplicates": neardup.op10_near_duplicates,
+        "op11_centroids": centroids.op11_centroids,
+        "op12_runs": periodic.op12_runs,
+        "op13_scores": suffixtree.op13_scores,
     }
 
 
