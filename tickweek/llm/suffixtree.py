@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,14 +62,15 @@ class Settings:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Whole numbers, byte plane by byte plane and compressed."""
-    planes = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Whole numbers from -1 on, byte plane by byte plane of the width they need, compressed."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or int(values.max(initial=0)) < 1 << 8 * w - 1)
+    planes = np.ascontiguousarray(values + 1, f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").reshape(-1).astype(np.int64) - 1
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -97,24 +99,32 @@ _REPLY = "block bigint, depth int, bucket int, first binary, second binary, thir
 def text_blocks(docs: DataFrame, key: str, train: Column, most: int) -> DataFrame:
     """Blocks of about ``most`` bytes of text: keys, tokens per document, training marks, token codes, vocabulary.
 
-    Code 0 is the end of a document, the empty text in the vocabulary."""
+    Code 0 is the end of a document, the empty text in the vocabulary; the others
+    go by the words' crc32."""
     rows = docs.select(F.col(f"`{key}`").alias("key"), "text", F.coalesce(train, F.lit(False)).alias("train"))
     kind = rows.schema["key"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
         for batch in slices(batches, most=most):
-            texts = [t.lower().split() if t else [] for t in batch["text"].cast(pa.binary()).to_pylist()]
-            sizes = np.array([len(t) for t in texts], np.int64)
-            flat = np.empty(int(sizes.sum()), object)
-            flat[:] = [w for t in texts for w in t]
-            del texts
-            numbers, known = pd.factorize(flat)
-            del flat
-            codes = np.zeros(len(numbers) + len(sizes), np.int64)
-            codes[ranges(np.cumsum(sizes + 1) - sizes - 1, sizes)] = numbers + 1
+            # the words of all texts in one array, and each text's number of them
+            whole = batch["text"].take(pa.array(np.arange(batch.num_rows)))  # the split is wrong on slices of an array
+            split = pc.ascii_split_whitespace(pc.ascii_lower(whole.cast(pa.large_string()).fill_null("")))
+            words = split.flatten()
+            filled = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+            ends = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
+            sizes = np.diff(ends)
+            coded = words.filter(filled).dictionary_encode()
+            known = coded.dictionary.cast(pa.large_binary()).to_pylist()
+            # codes by the words' hash: the words of one bucket are neighbours
+            marks = np.fromiter(map(zlib.crc32, known), np.int64, len(known))
+            order = np.argsort(marks, kind="stable")
+            number = np.empty(len(known), np.int64)
+            number[order] = np.arange(1, len(known) + 1)
+            codes = np.zeros(len(coded) + len(sizes), np.int64)
+            codes[ranges(np.cumsum(sizes + 1) - sizes - 1, sizes)] = number[coded.indices.to_numpy()]
+            words = zstandard.ZstdCompressor(level=3).compress(b" ".join([b"", *(known[i] for i in order.tolist())]))
             marks = batch["train"].to_numpy(zero_copy_only=False).astype(np.int64)
-            words = zstandard.ZstdCompressor(level=3).compress(b" ".join([b"", *known]))
             keys = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch["key"])
             row = [packed(sizes + 1), packed(marks), packed(codes), words]
             yield pa.RecordBatch.from_arrays(
@@ -134,23 +144,21 @@ class Block:
         self.buckets, self.total, self.kinds = buckets, tokens, kinds
         self.sizes, self.codes = unpacked(row["sizes"]), unpacked(row["codes"])
         self.train = np.repeat(unpacked(row["train"]).astype(bool), self.sizes)
-        self.words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
-        self.home = np.array([zlib.crc32(w) % buckets for w in self.words], np.int64)
         self.start = np.zeros(len(self.codes), bool)
         self.start[np.cumsum(self.sizes) - self.sizes] = True
 
-    def word_requests(self) -> Iterator[tuple]:
-        counts = np.bincount(self.codes[self.train], minlength=len(self.words))
-        for bucket, rows in _groups(self.home):
-            blob = zstandard.ZstdCompressor(level=3).compress(b" ".join([self.words[i] for i in rows.tolist()]))
+    def word_requests(self, vocabulary: bytes) -> Iterator[tuple]:
+        words = zstandard.ZstdDecompressor().decompress(vocabulary).split(b" ")
+        counts = np.bincount(self.codes[self.train], minlength=len(words))
+        home = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) * self.buckets >> 32
+        for bucket, rows in _groups(home):
+            blob = zstandard.ZstdCompressor(level=3).compress(b" ".join(words[rows[0] : rows[-1] + 1]))
             yield bucket, blob, packed(counts[rows])
 
     def learn_words(self, replies: list[dict]) -> None:
-        """Ids and training counts of the words (id -1, count 0: not in training)."""
-        order = np.argsort(self.home, kind="stable")
-        self.ids, self.counts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        self.ids[order] = np.concatenate([unpacked(r["first"]) for r in replies])
-        self.counts[order] = np.concatenate([unpacked(r["second"]) for r in replies])
+        """Ids and training counts of the words (id -1, count 0: not in training); buckets follow the codes' order."""
+        self.ids = np.concatenate([unpacked(r["first"]) for r in replies])
+        self.counts = np.concatenate([unpacked(r["second"]) for r in replies])
         root = (self.counts + 1) / (self.total + self.kinds + 1)
         self.base = root[self.codes]
         self.chance = self.base.copy()
@@ -164,13 +172,16 @@ class Block:
         self.candidate[self.candidate] = self.seen[self.context[self.candidate]] >= self.tree.least
         wanted = self.candidate & (self.ids[self.codes] >= 0)
         at = np.flatnonzero(wanted)
-        pairs, inverse = np.unique(self.context[at] * len(self.words) + self.codes[at], return_inverse=True)
+        inverse, pairs = pd.factorize(self.context[at] * len(self.ids) + self.codes[at])
         counts = np.bincount(inverse[self.train[at]], minlength=len(pairs))
         chance = np.zeros(len(pairs), np.float32)
         chance[inverse] = self.chance[at]
-        context, word = np.divmod(pairs, len(self.words))
+        context, word = np.divmod(pairs, len(self.ids))
         # A context has one unit per share of its occurrences; next words are dealt to them by hash.
-        contexts = np.unique(self.context[self.candidate])
+        used = np.zeros(len(self.seen), bool)
+        used[self.context[self.candidate]] = True
+        contexts = np.flatnonzero(used)
+        self.number = np.cumsum(used) - 1
         shares = 1 + self.seen[contexts] // self.tree.hot
         first = np.cumsum(shares) - shares
         owner = np.repeat(np.arange(len(contexts)), shares)
@@ -179,7 +190,7 @@ class Block:
         for column in self.names[contexts[owner]].T:
             mark = mixed(mark + column)
         home = mark % self.buckets
-        local = np.searchsorted(contexts, context)
+        local = self.number[context]
         unit = first[local] + mixed(self.ids[word] + 7) % shares[local]
         # bucket order: units by bucket, pairs by their unit's place
         self.unit_order = np.argsort(home, kind="stable")
@@ -220,7 +231,7 @@ class Block:
         follows = np.zeros(len(self.codes), np.int64)
         follows[self.at] = total[self.inverse]
         rows = np.flatnonzero(self.candidate)
-        local = np.searchsorted(self.contexts, self.context[rows])
+        local = self.number[self.context[rows]]
         rows, local = rows[choice[local] > 0], local[choice[local] > 0]
         seen = self.seen[self.contexts]
         alpha = self.tree.alpha(seen)[np.arange(len(seen)), np.maximum(choice - 1, 0)]
@@ -279,11 +290,15 @@ def count_words(buckets: int):
 
 
 def _numbered(columns: list[np.ndarray]) -> np.ndarray:
-    """One number per distinct row of several whole-number columns."""
-    number = np.zeros(len(columns[0]), np.int64)
+    """One number per distinct row of several columns of whole numbers from -1 on."""
+    number, kinds = np.zeros(len(columns[0]), np.int64), 1
     for column in columns:
-        codes, kinds = pd.factorize(column)
-        number = pd.factorize(number * max(1, len(kinds)) + codes)[0]
+        values = int(column.max(initial=0)) + 2
+        if kinds * values > 1 << 62:
+            column, found = pd.factorize(column)
+            values = len(found) + 1
+        number, found = pd.factorize(number * values + column)
+        kinds = max(1, len(found))
     return number
 
 
@@ -296,7 +311,7 @@ def count_contexts(depth: int, tree: Settings):
         salt, seen, size = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("salt", "seen", "size"))
         word, counts = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("next", "counts"))
         base = np.concatenate([_floats(r["base"], "<f4") for r in rows]).astype(np.float64)
-        unit = _numbered([*names, salt])
+        unit = _numbered([*names, salt] if salt.any() else [*names])
         units = int(unit.max(initial=-1)) + 1
         occurrences = np.zeros(units, np.int64)
         occurrences[unit] = seen
@@ -371,7 +386,7 @@ def suffix_tree_scores(docs: DataFrame, train: Column, key: str = "doc_id", tree
     def first_requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _table(Block(row, buckets, tree).word_requests(), row["block"], _WORDS).to_batches()
+                yield from _table(Block(row, buckets, tree).word_requests(row["words"]), row["block"], _WORDS).to_batches()
 
     replies = [replies_to(blocks.drop("keys", "tokens").mapInArrow(first_requests, _WORDS), count_words(buckets))]
     sums = replies[0].where(F.col("block").isNull()).agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).first()
@@ -386,7 +401,7 @@ def suffix_tree_scores(docs: DataFrame, train: Column, key: str = "doc_id", tree
         return block
 
     def together() -> tuple:
-        left = blocks.repartition(by_block, "block").groupBy("block")
+        left = blocks.drop("words").repartition(by_block, "block").groupBy("block")
         said = replies[0].where(F.col("block").isNotNull())
         for r in replies[1:]:
             said = said.unionByName(r)
