@@ -77,8 +77,17 @@ def _squeezed(values: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
 
 
-def _floats(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+def _floats(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<f8")
+
+
+def rough(chances: np.ndarray) -> np.ndarray:
+    """Probabilities as whole numbers, 12 binary digits after the leading one; the divergence test needs no more."""
+    return (chances.astype("<f4").view("<u4").astype(np.int64) + (1 << 10)) >> 11
+
+
+def from_rough(numbers: np.ndarray) -> np.ndarray:
+    return (numbers << 11).astype("<u4").view("<f4").astype(np.float64)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -106,15 +115,15 @@ def text_blocks(docs: DataFrame, key: str, train: Column, most: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
-        for batch in slices(batches, most=most):
+        for batch in filled(slices(batches, most=most), most):
             # the words of all texts in one array, and each text's number of them
             whole = batch["text"].take(pa.array(np.arange(batch.num_rows)))  # the split is wrong on slices of an array
             split = pc.ascii_split_whitespace(pc.ascii_lower(whole.cast(pa.large_string()).fill_null("")))
             words = split.flatten()
-            filled = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
-            ends = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
+            real = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+            ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
             sizes = np.diff(ends)
-            coded = words.filter(filled).dictionary_encode()
+            coded = words.filter(real).dictionary_encode()
             known = coded.dictionary.cast(pa.large_binary()).to_pylist()
             # codes by the words' hash: the words of one bucket are neighbours
             marks = np.fromiter(map(zlib.crc32, known), np.int64, len(known))
@@ -136,6 +145,19 @@ def text_blocks(docs: DataFrame, key: str, train: Column, most: int) -> DataFram
     return rows.mapInArrow(run, _BLOCK.format(key=kind.simpleString()))
 
 
+def filled(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``most`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 class Block:
     """One block's tokens, and what the replies so far say of them."""
 
@@ -174,7 +196,7 @@ class Block:
         at = np.flatnonzero(wanted)
         inverse, pairs = pd.factorize(self.context[at] * len(self.ids) + self.codes[at])
         counts = np.bincount(inverse[self.train[at]], minlength=len(pairs))
-        chance = np.zeros(len(pairs), np.float32)
+        chance = np.zeros(len(pairs))
         chance[inverse] = self.chance[at]
         context, word = np.divmod(pairs, len(self.ids))
         # A context has one unit per share of its occurrences; next words are dealt to them by hash.
@@ -192,8 +214,8 @@ class Block:
         home = mark % self.buckets
         local = self.number[context]
         unit = first[local] + mixed(self.ids[word] + 7) % shares[local]
-        # bucket order: units by bucket, pairs by their unit's place
-        self.unit_order = np.argsort(home, kind="stable")
+        # bucket order: units by bucket and by the first word of their context, pairs by their unit's place
+        self.unit_order = np.argsort((home << 42) + self.names[contexts[owner], 0], kind="stable")
         place = np.empty(len(owner), np.int64)
         place[self.unit_order] = np.arange(len(owner))
         self.pair_order = np.argsort(place[unit], kind="stable")
@@ -208,9 +230,11 @@ class Block:
         for bucket, rows in _groups(self.home_of_unit):
             pair = self.pair_order[ends[rows[0]] : ends[rows[-1] + 1]]
             name = self.contexts[owner[rows]]
+            words = self.names[name].T.copy()
+            words[0, 1:] = np.diff(words[0])
             yield (
-                bucket, packed(self.names[name].T.reshape(-1)), packed(salt[rows]), packed(self.seen[name]), packed(self.unit_size[rows]),
-                packed(self.ids[word[pair]]), packed(self.pair_counts[pair]), _squeezed(self.pair_chance[pair]),
+                bucket, packed(words.reshape(-1)), packed(salt[rows]), packed(self.seen[name]), packed(self.unit_size[rows]),
+                packed(self.ids[word[pair]]), packed(self.pair_counts[pair]), packed(rough(self.pair_chance[pair])),
             )
 
     def learn(self, replies: list[dict]) -> None:
@@ -222,7 +246,7 @@ class Block:
             owner = self.owner[self.unit_order]
             hot = self.seen[self.contexts[owner]] >= self.tree.hot
             choice[owner[~hot]] = np.concatenate([unpacked(r["second"]) for r in replies])
-            gains = np.concatenate([_floats(r["third"], "<f8").reshape(-1, len(self.tree.strengths)) for r in replies])
+            gains = np.concatenate([_floats(r["third"]).reshape(-1, len(self.tree.strengths)) for r in replies])
             if len(gains):
                 sums = np.zeros((len(self.contexts), len(self.tree.strengths)))
                 np.add.at(sums, owner[hot], gains)
@@ -307,10 +331,11 @@ def count_contexts(depth: int, tree: Settings):
 
     def run(table: pa.Table) -> pa.Table:
         rows = _sorted_rows(table, "block")
-        names = np.concatenate([unpacked(r["context"]).reshape(depth, -1) for r in rows], 1)
+        names = [unpacked(r["context"]).reshape(depth, -1) for r in rows]
+        names = np.concatenate([np.concatenate([np.cumsum(x[:1], 1), x[1:]]) for x in names], 1)
         salt, seen, size = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("salt", "seen", "size"))
         word, counts = (np.concatenate([unpacked(r[c]) for r in rows]) for c in ("next", "counts"))
-        base = np.concatenate([_floats(r["base"], "<f4") for r in rows]).astype(np.float64)
+        base = from_rough(np.concatenate([unpacked(r["base"]) for r in rows]))
         unit = _numbered([*names, salt] if salt.any() else [*names])
         units = int(unit.max(initial=-1)) + 1
         occurrences = np.zeros(units, np.int64)
