@@ -10,8 +10,9 @@
 Nesting never gathers a whole key: a company's history is cut into pages
 (calendar month, split further by a hash when the month holds more than
 ``page_rows`` bars), and exact copies of one bar are first counted, then
-re-expanded in chunks (blocks of chunks are spread over tasks), so no page,
-task or group grows with the data.
+re-expanded in chunks (blocks of chunks are spread over tasks); the distinct
+bars of a hot month are dealt to several parts of the page join. So no page, task
+or group grows with the data.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql.types import ArrayType, StructType
 PAGE_ROWS = 4096
 # Chunks one task may expand from a single counted row.
 CHUNK_BLOCK = 4096
+# Pages of a group whose distinct items may meet in one part of the page join.
+SPREAD_PAGES = 1024
 
 
 def keep_members(items: DataFrame, members: DataFrame, key: str = "symbol") -> DataFrame:
@@ -34,12 +37,15 @@ def keep_members(items: DataFrame, members: DataFrame, key: str = "symbol") -> D
 PRESENT = "__present"
 
 
-def first_record(bodies: DataFrame, body: str, element: StructType, key: str = "symbol", present: bool = False) -> DataFrame:
+def first_record(
+    bodies: DataFrame, body: str, element: StructType, key: str = "symbol", present: bool = False, text: str | None = None
+) -> DataFrame:
     """Parse a JSON array text per key and keep its first record as columns.
 
     A body that is not JSON, an empty array, or a NULL body gives no row; a
     key with several bodies is an error. With ``present`` the column ``PRESENT``
-    lists the fields the record's text has, be they null or not.
+    lists the fields the record's text has, be they null or not; ``text`` names
+    a column that keeps the body itself.
     The first element is taken by exploding a one-element slice, so the
     parse runs once per row (a filter on a parsed alias would be inlined
     into the join below it and parse the text twice)."""
@@ -49,10 +55,11 @@ def first_record(bodies: DataFrame, body: str, element: StructType, key: str = "
     first = F.explode(F.slice(F.from_json("_body", ArrayType(element)), 1, 1))
     fields = [f.name for f in element.fields if f.name != key]
     names = [F.json_object_keys(F.get_json_object("_body", "$[0]")).alias(PRESENT)] if present else []
+    bodies_kept = [F.col("_body").alias(text)] if text else []
     return (
-        one.select(key, first.alias("_first"), *names)
+        one.select(key, first.alias("_first"), *names, *bodies_kept)
         .where(F.col("_first").isNotNull())
-        .select(key, *[F.col("_first").getField(f).alias(f) for f in fields], *([PRESENT] if present else []))
+        .select(key, *[F.col("_first").getField(f).alias(f) for f in fields], *([PRESENT] if present else []), *([text] if text else []))
     )
 
 
@@ -92,8 +99,9 @@ def merge_right_wins(left: DataFrame, right: DataFrame, key: str = "symbol") ->
 
 
 def paged_lists(
-    df: DataFrame, keys: list[str], items: list[str], name: str, page_rows: int = PAGE_ROWS, assume_unique: bool = False
-) -> DataFrame:
+    df: DataFrame, keys: list[str], items: list[str], name: str, page_rows: int = PAGE_ROWS, assume_unique: bool = False,
+    spread_pages: int = SPREAD_PAGES,
+) -> DataFrame:
     """Collect ``items`` per ``keys`` into arrays of about ``page_rows`` elements.
 
     Returns ``(*keys, page, name)``. Each input row lands in exactly one page;
@@ -108,6 +116,8 @@ def paged_lists(
       joined on (keys, block), replicated once per block a group can need,
       so the blocks of a huge run are spread over tasks by that join's
       shuffle and no task expands more than one block per counted row.
+    * The distinct items of a group of more than ``spread_pages`` pages are dealt
+      to several parts of that join by their hash (``_with_pages``).
     * The chunks of one item take consecutive pages from the item's hash;
       distinct items spread by hash.
 
@@ -116,46 +126,62 @@ def paged_lists(
     date). Every row still lands in exactly one page; only the page bound
     then relies on that promise.
     """
+    keyed = df.select(*keys, *items)
+    if not keys:  # all rows are one group, under a key that the planner cannot fold away
+        keys, keyed = ["_all"], keyed.withColumn("_all", F.pmod(F.xxhash64(*items), F.lit(1)))
+    placed = _with_pages(keyed, keys, items, page_rows, assume_unique, spread_pages)
     item = F.struct(*[F.col(f"`{c}`") for c in items])
-
-    def ids(lo: Column, hi: Column) -> Column:  # lo .. hi - 1
-        return F.explode(F.sequence(lo.cast("long"), (hi - 1).cast("long")))
-
-    def blocks_of(chunks: Column) -> Column:
-        return F.ceil(chunks / CHUNK_BLOCK)
-
-    if assume_unique:
-        counted = df.select(*keys, *items).withColumn("_copies", F.lit(1).cast("long"))
-    else:
-        counted = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("_copies"))
-    counted = (
-        counted.withColumn("_chunks", F.ceil(F.col("_copies") / page_rows))
-        .withColumn("_block", ids(F.lit(0), blocks_of(F.col("_chunks"))))
-    )
-    if keys:
-        groups = (
-            df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .withColumn("_pages", F.ceil(F.col("_rows") / page_rows))
-            .withColumn("_block", ids(F.lit(0), blocks_of(F.col("_pages"))))
-            .select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("_block").alias("_g_block"), "_pages")
-        )
-        on = [counted[k].eqNullSafe(groups[f"_g_{k}"]) for k in keys] + [counted["_block"] == groups["_g_block"]]
-        placed = counted.join(groups, on).drop(*[f"_g_{k}" for k in keys], "_g_block")
-    else:
-        n = max(1, -(-df.count() // page_rows))
-        placed = counted.repartition(F.xxhash64(item), F.col("_block")).withColumn("_pages", F.lit(n).cast("long"))
     chunks = placed.withColumn(
-        "_chunk", ids(F.col("_block") * CHUNK_BLOCK, F.least(F.col("_chunks"), (F.col("_block") + 1) * CHUNK_BLOCK))
+        "_chunk", _ids(F.col("_block") * CHUNK_BLOCK, F.least(F.col("_chunks"), (F.col("_block") + 1) * CHUNK_BLOCK))
     ).withColumn("_n", F.least(F.lit(page_rows).cast("long"), F.col("_copies") - F.col("_chunk") * page_rows))
-    start = F.pmod(F.xxhash64(item), F.col("_pages"))
+    start = F.pmod(F.col("_hash"), F.col("_pages"))
     pages = chunks.withColumn("page", F.pmod(start + F.col("_chunk"), F.col("_pages")).cast("int"))
     # Shuffle on the page itself, so the pages of one hot group spread over tasks.
-    return (
+    lists = (
         pages.repartition(*keys, "page")
         .groupBy(*keys, "page")
         .agg(F.flatten(F.collect_list(F.array_repeat(item, F.col("_n").cast("int")))).alias(name))
     )
+    return lists.drop("_all")
+
+
+def _ids(lo: Column, hi: Column) -> Column:  # lo .. hi - 1
+    return F.explode(F.sequence(lo.cast("long"), (hi - 1).cast("long")))
+
+
+def _with_pages(df: DataFrame, keys: list[str], items: list[str], page_rows: int, assume_unique: bool, spread_pages: int) -> DataFrame:
+    """Each distinct item with its copies, its blocks of chunks and the number of pages of its group.
+
+    A group of more than ``spread_pages`` pages is joined in as many parts as
+    that makes: its items are dealt to the parts by their hash, its total is
+    repeated for each. Such groups are found first. They are few: each has over
+    ``spread_pages * page_rows`` rows (4 million), so even a million million rows
+    have fewer than 250,000 of them, and the list can be broadcast."""
+    size = F.ceil(F.col("_rows") / page_rows)
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_pages", size)
+    groups = groups.withColumn("_parts", F.ceil(F.col("_pages") / spread_pages))
+    named = [F.col(k).alias(f"_g_{k}") for k in keys]
+    hot = groups.where(F.col("_parts") > 1).select(*named, F.col("_parts").alias("_hot_parts"))
+    totals = (
+        groups.withColumn("_g_block", _ids(F.lit(0), F.ceil(F.col("_pages") / CHUNK_BLOCK)))
+        .withColumn("_g_part", _ids(F.lit(0), F.col("_parts")))
+        .select(*named, "_g_block", "_g_part", "_pages")
+    )
+    if assume_unique:
+        counted = df.withColumn("_copies", F.lit(1).cast("long"))
+    else:
+        counted = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = (
+        counted.withColumn("_hash", F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in items])))
+        .withColumn("_chunks", F.ceil(F.col("_copies") / page_rows))
+        .withColumn("_block", _ids(F.lit(0), F.ceil(F.col("_chunks") / CHUNK_BLOCK)))
+    )
+    same = [counted[k].eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    counted = counted.join(F.broadcast(hot), same, "left").drop(*[f"_g_{k}" for k in keys])
+    # another hash than the one that picks the page, so parts and pages are dealt apart
+    counted = counted.withColumn("_part", F.pmod(F.xxhash64("_hash"), F.coalesce("_hot_parts", F.lit(1)))).drop("_hot_parts")
+    on = [counted[k].eqNullSafe(totals[f"_g_{k}"]) for k in keys] + [counted["_block"] == totals["_g_block"], counted["_part"] == totals["_g_part"]]
+    return counted.join(totals, on).drop(*[f"_g_{k}" for k in keys], "_g_block", "_g_part")
 
 
 def nest_history(

@@ -7,6 +7,7 @@ here both are tables and the per-symbol calls become joins.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickweek.fixed import COMPANY_COLUMNS
 from tickweek.functions.text import comma_to_dot
@@ -23,7 +24,9 @@ from tickweek.operators.enrich import (
     nest_history,
     one_per_key,
 )
-from tickweek.schemas import BAR_COLUMNS, PROFILE
+from tickweek.operators.open import merge_open, open_documents, open_first_records
+from tickweek.schemas import BAR_COLUMNS, CSV_OPTIONS, INSTRUMENT, PROFILE
+from tickweek.sinks.routed import STATUS, routed
 
 
 def profiles(profile_bodies: DataFrame) -> DataFrame:
@@ -96,6 +99,26 @@ def flat_csv(
     return comma_to_dot(listed.join(bars, "symbol").select(*COMPANY_COLUMNS, *BAR_COLUMNS))
 
 
+def open_companies(instrument_lines: DataFrame, members: DataFrame, profile_bodies: DataFrame) -> DataFrame:
+    """As ``companies``, from JSON lines of instruments; fields that no schema knows stay in ``extra``."""
+    listed = keep_members(open_documents(instrument_lines, INSTRUMENT), members)
+    return merge_open(listed, open_first_records(keep_members(profile_bodies, members), "body", PROFILE))
+
+
+def routed_documents(docs: DataFrame) -> DataFrame:
+    """Flattening in one pass: text rows ``value`` with their ``status``.
+
+    A document with bars gives one good row per bar, comma text as ``csv_rows``
+    has it; one without gives one rejected row, its JSON. An empty array of bars
+    counts as none."""
+    company = [f.name for f in PROFILE.fields]
+    rows = docs.select(F.to_json(F.struct(*company)).alias("_json"), *COMPANY_COLUMNS, F.explode_outer("stockData").alias("_bar"))
+    flat = comma_to_dot(rows.select("_json", "_bar", *COMPANY_COLUMNS, "_bar.*"), [*COMPANY_COLUMNS, *BAR_COLUMNS])
+    line = F.to_csv(F.struct(*COMPANY_COLUMNS, *BAR_COLUMNS), CSV_OPTIONS)
+    has_bar = F.col("_bar").isNotNull()
+    return routed(flat.withColumn("value", F.when(has_bar, line).otherwise(F.col("_json"))), has_bar).select("value", STATUS)
+
+
 def rejects(docs: DataFrame) -> DataFrame:
     """Documents without bars, without the nesting columns."""
     return documents_without_bars(docs).drop("page_month", "page", "stockData")

@@ -19,7 +19,7 @@ from tickweek.functions.numeric import mid_price, to_double
 from tickweek.functions.text import normalise_sector
 from tickweek.operators.clean import clean_bars, valid_titles, within
 from tickweek.operators.enrich import keep_members, merge_right_wins, paged_lists
-from tickweek.plans import acquisition, stock, vehicles
+from tickweek.plans import acquisition, oracle_files, registry_files, stock, vehicles
 from tickweek.fixed import AVERAGE_COLUMNS
 from tickweek.plans.oracle import DIGITS, SNAP
 from tickweek.plans.oracle import oracle_sql as _oracle_sql
@@ -334,10 +334,10 @@ _QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | registry_files.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query."""
-    sql = _oracle_sql()
-    return {name: sql[name] for name in _QUERIES if name in sql}
+    sql = _oracle_sql() | oracle_files.oracle_sql()
+    return {name: sql[name] for name in queries() if name in sql}

@@ -43,6 +43,17 @@ def create_table_as(spark: SparkSession, name: str, query: str, location: str, f
     spark.sql(f"CREATE TABLE {_ident(name)} USING {fmt} LOCATION {_literal(location)} AS {query}", args=args)
 
 
+def create_bucketed_table_as(
+    spark: SparkSession, name: str, query: str, location: str, clustered_by: list[str], buckets: int, fmt: str = "parquet"
+) -> None:
+    """``CREATE TABLE ... CLUSTERED BY (columns) INTO n BUCKETS AS query``: grouping by the columns needs no shuffle."""
+    columns = ", ".join(_ident(c) for c in clustered_by)
+    spark.sql(
+        f"CREATE TABLE {_ident(name)} USING {fmt} CLUSTERED BY ({columns}) INTO {int(buckets)} BUCKETS "
+        f"LOCATION {_literal(location)} AS {query}"
+    )
+
+
 def insert_into(spark: SparkSession, name: str, query: str, args: dict | None = None) -> None:
     """``INSERT INTO name query`` (adds rows, never replaces)."""
     spark.sql(f"INSERT INTO {_ident(name)} {query}", args=args)

@@ -23,11 +23,23 @@ derive the same rows on its own:
     constituent list; a one-record JSON array per order of a customer with a
     positive balance (customer and nation joined) as the profile response,
     with every profile field but ``type`` (some NULL: spelled out for even
-    orders, left out for the others); line items as each order's bars (orders
+    orders, left out for the others) and two fields that no schema declares,
+    ``rating`` (orders divisible by 3) and ``tags``; line items as each order's bars (orders
     without lines have no history).
+``instrument_lines``
+    the instruments as JSON lines with the undeclared fields ``listed`` and, for
+    orders divisible by 5, ``rating``.
 ``event_lines``
     the events as one-line JSON documents, some of them cut off, some with a
     word where a number belongs.
+``bar_text`` / ``title_text``
+    the bars and titles with every cell as text, some numbers spoilt: ``n/a, "x" \\``
+    as the volume of parts of size 6, ``12,5`` as the high of parts of size 7;
+    ``unknown`` as the cost of titles bought for cash-free status ``P``, ``19x0`` as
+    the model year of low-priority titles.
+``stage1_lines``
+    line items as ``symbol,sector,week<TAB>values`` lines; those of line number 7
+    lack the week.
 """
 
 from __future__ import annotations
@@ -230,6 +242,11 @@ def profile_record() -> Column:
         (F.col("c_acctbal") > 100).alias("isActivelyTrading"),
         (F.col("n_regionkey") == 1).alias("isAdr"),
         (F.col("c_nationkey") % 5 == 0).alias("isFund"),
+        F.when(
+            F.col("o_orderkey") % 3 == 0,
+            F.struct(F.concat(F.lit("G"), _text("n_regionkey")).alias("grade"), (F.col("o_orderkey") % 7).alias("score")),
+        ).alias("rating"),
+        F.array("c_mktsegment", "n_name").alias("tags"),
     )
 
 
@@ -280,6 +297,59 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def instrument_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instruments as JSON lines with fields that no schema declares."""
+    o = table(spark, sf_dir, "orders").withColumn("symbol", _text("o_orderkey"))
+    rating = F.when(F.col("o_orderkey") % 5 == 0, F.struct(F.lit("none").alias("grade")))
+    record = F.struct(
+        "symbol",
+        F.concat(F.lit("Order#"), "symbol").alias("name"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderpriority").alias("exchange"),
+        F.col("o_orderstatus").alias("exchangeShortName"),
+        F.lit("stock").alias("type"),
+        iso_date_text(F.col("o_orderdate").cast("date")).alias("listed"),
+        rating.alias("rating"),
+    )
+    return o.select(F.to_json(record).alias("value"))
+
+
+def _as_text(df: DataFrame, spoilt: dict[str, Column]) -> DataFrame:
+    return df.select(*[spoilt.get(c, F.col(c).cast("string")).alias(c) for c in df.columns])
+
+
+def bar_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars, every cell as text, some numbers spoilt."""
+    size = (F.col("fullTimeEmployees") / 100).cast("int")
+    return _as_text(
+        bar_rows(spark, sf_dir),
+        {
+            "volume": F.when(size == 6, F.lit('n/a, "x" \\')).otherwise(F.col("volume").cast("string")),
+            "high": F.when(size == 7, F.lit("12,5")).otherwise(F.col("high").cast("string")),
+        },
+    )
+
+
+def title_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The titles, every cell as text, some numbers spoilt."""
+    return _as_text(
+        titles(spark, sf_dir),
+        {
+            "vehicleCost": F.when(F.col("modelCode") == "P", F.lit("unknown")).otherwise(F.col("vehicleCost").cast("string")),
+            "modelYear": F.when(F.col("makeCode") == "LOW", F.lit("19x0")).otherwise(F.col("modelYear").cast("string")),
+        },
+    )
+
+
+def stage1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as stage-1 text lines, some of them malformed."""
+    li = table(spark, sf_dir, "lineitem")
+    week = F.when(F.col("l_linenumber") != 7, F.concat(F.lit(","), iso_date_text(F.col("l_shipdate").cast("date")))).otherwise("")
+    key = F.concat(_text("l_orderkey"), F.lit(","), F.col("l_returnflag"), week)
+    values = F.concat_ws(",", *[_text("l_linenumber")] * 5, _text("l_suppkey"))
+    return li.select(F.concat(key, F.lit("\t"), values).alias("value"))
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as JSON lines: every 97th is cut off, every other 89th has a word as its ``kind``."""
     e = table(spark, sf_dir, "events")

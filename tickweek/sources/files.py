@@ -43,19 +43,19 @@ def read_titles(spark: SparkSession, path: str, header: bool = False) -> DataFra
     return read_delimited(spark, path, TITLES, "\t", header)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw text lines as one ``value`` column."""
     return spark.read.text(path)
 
 
-def parse_lines(lines: DataFrame, schema: StructType = BARS, sep: str = ",") -> DataFrame:
-    """Parse each line with CSV rules (a quoted comma stays inside its field).
+def parse_lines(lines: DataFrame, schema: StructType = BARS, sep: str = ",", keep: list[str] | None = None) -> DataFrame:
+    """Parse each line with CSV rules (a quoted comma stays inside its field); ``keep`` names columns of ``lines`` to carry along.
 
     A naive split on the separator would cut ``"December 30, 22"`` in two and
     shift every later column."""
     schema_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv(F.col("value"), schema_ddl, {"sep": sep, "mode": "PERMISSIVE", **CSV_OPTIONS})
-    return lines.select(parsed.alias("_row")).select("_row.*")
+    return lines.select(parsed.alias("_row"), *(keep or [])).select("_row.*", *(keep or []))
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType = COMPANY, multi_line: bool = False, strict: bool = False) -> DataFrame:
