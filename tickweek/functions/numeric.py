@@ -15,10 +15,6 @@ def to_double(value: Column | str) -> Column:
     return _col(value).try_cast("double")
 
 
-def to_int(value: Column | str) -> Column:
-    return _col(value).try_cast("int")
-
-
 def mid_price(high: Column | str = "high", low: Column | str = "low") -> Column:
     """``(high + low) / 2`` in double arithmetic."""
     return (to_double(high) + to_double(low)) / 2

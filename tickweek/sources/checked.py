@@ -47,14 +47,13 @@ def read_checked(spark: SparkSession, path: str, schema: StructType, sep: str =
     return rows.withColumn(BAD_CELLS, _bad_cells(schema, sep, typed))
 
 
-def counted(checked: DataFrame, name: str = "cells") -> tuple[DataFrame, Observation]:
+def counted(checked: DataFrame, columns: list[str]) -> tuple[DataFrame, Observation]:
     """``checked``, and its counts once an action has run: ``lines``, ``bad_lines``, ``bad_cells`` and ``bad_<column>``."""
-    seen = Observation(name)
-    has_bad = F.coalesce(F.size(F.map_keys(BAD_CELLS)), F.lit(0)) > 0
-    typed = [f.name for f in checked.schema.fields if not isinstance(f.dataType, StringType) and f.name != BAD_CELLS]
-    per_column = [F.count(F.when(F.map_contains_key(BAD_CELLS, c), 1)).alias(f"bad_{c}") for c in typed]
-    total = F.sum(F.coalesce(F.size(F.map_keys(BAD_CELLS)), F.lit(0))).alias("bad_cells")
-    return checked.observe(seen, F.count(F.lit(1)).alias("lines"), F.count(F.when(has_bad, 1)).alias("bad_lines"), total, *per_column), seen
+    seen = Observation("cells")
+    cells = F.coalesce(F.size(F.map_keys(BAD_CELLS)), F.lit(0))
+    per_column = [F.count(F.when(F.map_contains_key(BAD_CELLS, c), 1)).alias(f"bad_{c}") for c in columns]
+    totals = [F.count(F.lit(1)).alias("lines"), F.count(F.when(cells > 0, 1)).alias("bad_lines"), F.sum(cells).alias("bad_cells")]
+    return checked.observe(seen, *totals, *per_column), seen
 
 
 def bad_cells(checked: DataFrame, *keep: str) -> DataFrame:
