@@ -14,5 +14,5 @@ from tickweek.sinks.tables import (  # noqa: F401
     create_table_as,
     drop_table,
     insert_into,
-    read_table,
+    create_bucketed_table_as,
 )
