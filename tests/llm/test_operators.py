@@ -346,14 +346,15 @@ def test_line_dedup(spark, docs, empty):
     rnd, rows = random.Random(10), []
     for i in range(12):
         body = "\n".join(" ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(9)) for _ in range(6))
-        rows.append((i, f"{body}\nServed by node {i} of the big cluster tonight\nshort line"))
+        rows.append((i, f"{body}\nServed by node {i} of the big cluster tonight\nshort line\n}}\n\n- -"))
     copies = rows[0][1]
     rows += [(100 + i, copies.replace("Served by node 0 of the big cluster tonight\n", "")) for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = {r.doc_id: r for r in linededup.dedup_lines(df).select("row.doc_id", "row.text", "n_lines", "n_dropped").collect()}
     for i in range(12):
-        assert out[i].n_dropped == 1 and "Served" not in out[i].text and out[i].text.endswith("\nshort line")
-    assert all(out[100 + i].n_dropped == 0 and out[100 + i].text == rows[12 + i][1] for i in range(20))
+        assert out[i].n_dropped == 2 and "Served" not in out[i].text and out[i].text.endswith("\n}\n\n- -") and "short" not in out[i].text
+    # copies are one document: they lose the short line, which others hold too, and nothing else
+    assert all(out[100 + i].n_dropped == 1 and out[100 + i].text == rows[12 + i][1].replace("short line\n", "") for i in range(20))
     kept = linededup.dedup_lines(docs).select("row.*")
     assert kept.columns == docs.columns and kept.count() == docs.count()
     assert linededup.dedup_lines(empty).count() == 0
@@ -412,12 +413,6 @@ def test_line_dedup_of_text_without_spaces(spark):
     assert all(gone[i] == ([footers[i % 2]] if i < 100 else []) for i, _ in rows)
 
 
-def test_sketches_of_other_lines():
-    owner, key = np.array([0, 0, 0, 0, 1, 3, 3]), np.array([5, 2, 2, 9, 7, -4, 1])
-    low, high = linededup.others(owner, key)
-    assert low.tolist() == [2, 5, 5, 2, 0, 1, -4] and high.tolist() == [9, 9, 9, 5, 0, 1, -4]
-
-
 def test_open_stretch_templates():
     lines = [f"the quick brown fox jumps over {x} dog today again" for x in ("lazy", "sleepy")] + ["the quick brown fox"]
     _, number, leaf, keys, open_ = linededup.templates(["\n".join(lines)])

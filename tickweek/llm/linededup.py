@@ -8,9 +8,9 @@ open, so lines that differ in one variable stretch meet in one template. A line
 goes if one of its templates recurs in enough independent documents.
 
 Documents that are copies of each other say nothing about a template: what
-counts is the number of near-duplicate classes (as ``neardup`` finds them) among
-the documents that hold it, however many copies a class has. Only documents that
-hold a template of enough documents are compared.
+counts is the number of near-duplicate classes among the documents that hold it
+(``neardup.signature_classes``), however many copies a class has. Only documents
+that hold a template of enough documents are compared.
 """
 
 from __future__ import annotations
@@ -26,19 +26,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweek.llm.common import documents, slices
-from tickweek.llm.neardup import near_duplicates
+from tickweek.llm.neardup import signature_classes
 from tickweek.session import drop_stored, stored
 
 LEAD = 3
 BLOCKS = 4
 OPEN_TOKENS = 8  # lines of fewer tokens have no template with an open stretch
-LEAST_TOKENS = 3  # shorter lines have no template at all
 DOCUMENTS = 5  # independent documents that make a template recurring
 FIELD = "<*>"
 # Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese, as Python and Java write them in a character class
 UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff61-\uff9f\U00020000-\U0003fffd"
 _TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 
+# A short line without a letter or digit (a bracket, a rule) is layout, not text, and stays.
+_WORD = re.compile(r"[^\W_]")
+
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,7 +61,7 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     for k, text in enumerate(texts):
         for i, line in enumerate(text.split("\n") if text else ()):
             found = tokens_of(line)
-            if len(found) >= LEAST_TOKENS:
+            if found and (len(found) > 2 or _WORD.search(line)):
                 tokens += found
                 owner.append(k)
                 number.append(i)
@@ -77,7 +79,7 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     value = _mix(pd.util.hash_array(masked, categorize=False)[codes] + _P * (place + 1).astype(np.uint64))
     size = _mix(n.astype(np.uint64))
     whole = np.add.reduceat(value, start) + size
-    leaf = size + sum(value[start + i] for i in range(LEAD))
+    leaf = size + sum(np.where(n > i, value[start + np.minimum(i, n - 1)], np.uint64(0)) for i in range(LEAD))
     keys = np.empty((len(n), 1 + BLOCKS), np.uint64)
     keys[:, 0] = _mix(whole)
     open_ = n >= OPEN_TOKENS
@@ -88,24 +90,6 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     return np.array(owner), np.array(number), _mix(leaf).view(np.int64), keys.view(np.int64), open_
 
 
-def others(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each line the smallest and the largest key of its text's other lines (0 where all lines are equal).
-
-    ``recurring_lines`` tells documents apart by near-duplicate classes and does not call this.
-    """
-    frame = pd.DataFrame({"o": owner, "k": key}).drop_duplicates().sort_values(["o", "k"])
-    place = {}
-    for name, part in (("low", frame), ("high", frame.iloc[::-1])):
-        group = part.groupby("o", sort=False)["k"]
-        one, two = group.nth(0), group.nth(1)
-        one.index, two.index = part.loc[one.index, "o"], part.loc[two.index, "o"]
-        n = int(owner.max()) + 1
-        best, next_ = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        best[one.index], next_[two.index] = one, two
-        place[name] = np.where(best[owner] == key, next_[owner], best[owner])
-    return place["low"], place["high"]
-
-
 def _lines(rows: DataFrame) -> DataFrame:
     """``rid, line, leaf, keys`` of each template line; ``first`` and ``news`` mark where a text meets the leaf and each key first."""
 
@@ -145,7 +129,7 @@ def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     drop_stored(lines)
     spaced = F.regexp_replace("row.text", f"([{UNSPACED}])", " $1 ")
     holders = rows.join(held.select("rid").distinct(), "rid").select(F.col("rid").alias("doc_id"), spaced.alias("text"))
-    classes = near_duplicates(holders).select(F.col("row.doc_id").alias("rid"), F.col("component_id").alias("class"))
+    classes = signature_classes(holders).select(F.col("doc_id").alias("rid"), "class")
     counts = held.join(classes, "rid").select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("n"))
     recurring = counts.where(F.col("n") >= documents_).select("key")
     return held.join(recurring, "key").groupBy("rid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
@@ -154,8 +138,8 @@ def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
 def dedup_lines(docs: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     """Rows of ``docs`` (struct ``row``) with the recurring lines left out of ``text``, and ``n_lines, n_dropped``.
 
-    Lines end at line feeds. Lines of fewer than ``LEAST_TOKENS`` tokens always
-    stay. Every row stays, with NULL or empty text as it is; a text of which
+    Lines end at line feeds. Empty lines, and lines of one or two tokens without a
+    letter or digit, always stay. Every row stays, with NULL or empty text as it is; a text of which
     every line goes becomes empty. ``n_chars``, where it exists, follows a changed
     text. Repeated rows are copies: they count as one document and change alike.
     """

@@ -36,7 +36,7 @@ BANDS, ROWS = 32, 4  # at 0.75 a pair meets in some band with probability 1 - 5e
 HASHES = BANDS * ROWS
 BATCH = 16  # signature values compared before each look at the posterior
 MISS = 1e-4  # chance of a true pair below which comparing stops
-CENTRES = 4  # rounds with one centre per bucket before the exact search
+CENTRES = 1  # rounds with one centre per bucket before the exact search; any number gives the same links
 COUNTERS = 1 << 20  # hashed counters of how common shingles are; any values keep the search exact
 BLOCKS = 16  # the counters travel in so many blocks
 
@@ -265,6 +265,7 @@ def prefix_pairs(texts: DataFrame, numerator: int, denominator: int) -> DataFram
 
     rows = texts.mapInArrow(run, "token bigint, c bigint, comp bigint, size bigint, place int, found boolean")
     rows = stored(rows, "neardup-prefixes")
+    shared.destroy()
     x, y = rows.alias("x"), rows.where("found").alias("y")
     behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     met = x.join(
@@ -278,6 +279,64 @@ def prefix_pairs(texts: DataFrame, numerator: int, denominator: int) -> DataFram
     return met.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
 
 
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """``bucket, c, n``: the classes of every bucket with more than one; stored."""
+    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
+    keyed = classes.select("c", "sig", band).select(
+        F.xxhash64("band", F.substring("sig", F.col("band") * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("bucket"), "c"
+    )
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    return stored(keyed.join(sizes, "bucket"), "neardup-members")
+
+
+def centre_pairs(of: DataFrame, step: int) -> DataFrame:
+    """Each member (bucket, c, comp) with its bucket's centre, if that is of another component; other centres at every ``step``."""
+    order = F.struct(F.xxhash64("c", F.lit(step)).alias("o"), "c", "comp")
+    centres = of.groupBy("bucket").agg(F.min(order).alias("x")).select("bucket", F.col("x.c").alias("a"), F.col("x.comp").alias("comp_a"))
+    near = of.join(centres, "bucket").where("comp != comp_a")
+    return near.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+
+
+def open_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``bucket, c, comp`` of the buckets that still hold several components; stored."""
+    of = members.where("n > 2").join(comps, "c", "left").select("bucket", "c", F.coalesce("comp", "c").alias("comp"))
+    split = of.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
+    return stored(of.join(split, "bucket"), "neardup-open")
+
+
+def signature_classes(docs: DataFrame, rounds: int = 2, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """``doc_id, class`` of the rows of ``docs`` that have words, by signatures alone.
+
+    Documents are one class when their signatures do not rule out that they are
+    near-duplicates and a bucket's centre joins them. No texts are compared, so
+    a class may hold documents a little less alike than near-duplicates; what
+    counts independent documents errs on the side of fewer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = shingle_sets(batch["text"].to_pylist())
+            keep = [i for i, x in enumerate(sets) if len(x)]
+            columns = [[set_key(sets[i]) for i in keep], [signature(sets[i]).astype("<u4").tobytes() for i in keep]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(keep, pa.int64())), *[pa.array(c, pa.binary()) for c in columns]], ["doc_id", "key", "sig"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, key binary, sig binary"), "signatures")
+    classes = stored(found.groupBy("key").agg(F.any_value("sig").alias("sig")).withColumn("c", F.monotonically_increasing_id()), "signature-classes")
+    members = bucket_members(classes)
+    links, of = None, members.select("bucket", "c", F.col("c").alias("comp"))
+    comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
+    for step in range(rounds):
+        if step:
+            of = open_buckets(members, comps)
+        new = stored(prune(centre_pairs(of, step), classes, numerator / denominator), "signature-links")
+        if new.isEmpty():
+            break
+        links = new if links is None else links.union(new)
+        comps = components(links)
+    drop_stored(members)
+    return found.select("doc_id", "key").join(classes.select("key", "c"), "key").join(comps, "c", "left").select("doc_id", F.coalesce("comp", "c").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
     """Rows of ``docs`` (struct ``row``) with ``rid, n_shingles, component_id, keeper``.
 
@@ -294,12 +353,7 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     classes = stored(grouped.withColumn("c", F.monotonically_increasing_id()), "neardup-classes")
     threshold = numerator / denominator
 
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    keyed = classes.select("c", "sig", band).select(
-        F.xxhash64("band", F.substring("sig", F.col("band") * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("bucket"), "c"
-    )
-    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(keyed.join(sizes, "bucket"), "neardup-members")
+    members = bucket_members(classes)
 
     wanted = classes.join(members.select("c").distinct(), "c").select("c", F.col("first.rid").alias("rid"))
     texts = stored(found.select("rid", F.col("row.text").alias("text")).join(wanted, "rid").select("c", "text"), "neardup-texts")
@@ -309,15 +363,9 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     of = members.select("bucket", "c", F.col("c").alias("comp"))
     for step in range(CENTRES + 1):
         if step:
-            of = members.where("n > 2").join(comps, "c", "left").select("bucket", "c", F.coalesce("comp", "c").alias("comp"))
-            split = of.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-            of = stored(of.join(split, "bucket"), "neardup-open")
+            of = open_buckets(members, comps)
         if step < CENTRES:
-            # by another order in every round, so that other members become centres
-            order = F.struct(F.xxhash64("c", F.lit(step)).alias("o"), "c", "comp")
-            centres = of.groupBy("bucket").agg(F.min(order).alias("x")).select("bucket", F.col("x.c").alias("a"), F.col("x.comp").alias("comp_a"))
-            near = of.join(centres, "bucket").where("comp != comp_a")
-            pairs = near.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+            pairs = centre_pairs(of, step)
         else:
             left = of.select("c", "comp").distinct()
             pairs = prefix_pairs(stored(texts.join(left, "c").select("c", "comp", "text"), "neardup-left"), numerator, denominator)
@@ -334,6 +382,8 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
         comps, old = components(comps.where("c != comp").toDF("a", "b").union(new)), comps
         drop_stored(old)
         drop_stored(new)
+    drop_stored(members)
+    drop_stored(texts)
     placed = classes.select("c", "key", "first").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     heads = placed.groupBy("comp").agg(F.min("first").alias("head"))
     placed = placed.join(heads, "comp").select("key", F.col("head.doc_id").alias("component_id"), F.col("head.rid").alias("head"))
