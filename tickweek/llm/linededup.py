@@ -41,6 +41,8 @@ _TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 # A short line without a letter or digit (a bracket, a rule) is layout, not text, and stays.
 _WORD = re.compile(r"[^\W_]")
 
+_DIGIT = re.compile("[0-9]")
+
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,6 +56,13 @@ def tokens_of(line: str) -> list[str]:
     return line.split() if line.isascii() else _TOKEN.findall(line)
 
 
+def has_digit(token: str) -> bool:
+    """Whether some character is a digit, as ``str.isdigit`` has it; most tokens are decided by one scan."""
+    if token.isalpha():
+        return False
+    return bool(_DIGIT.search(token)) or not token.isascii() and any(c.isdigit() for c in token)
+
+
 def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     """Of every line with a template: text number, line number, leaf, template keys [line, 1 + BLOCKS], whether it has open ones."""
     tokens: list[str] = []
@@ -73,7 +82,7 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     flat = np.empty(len(tokens), object)
     flat[:] = tokens
     codes, unique = pd.factorize(flat)
-    masked = np.array([FIELD if any(c.isdigit() for c in t) else t for t in unique], object)
+    masked = np.array([FIELD if has_digit(t) else t for t in unique], object)
     start = np.cumsum(n) - n
     place = np.arange(len(codes)) - np.repeat(start, n)
     value = _mix(pd.util.hash_array(masked, categorize=False)[codes] + _P * (place + 1).astype(np.uint64))

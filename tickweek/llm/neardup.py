@@ -67,15 +67,21 @@ def shingle_rows(texts: list[str | None], size: int = SHINGLE, exact: bool = Fal
     flat[:] = [w for x in split for w in x]
     codes, unique = pd.factorize(flat)
     hashes = _mix(pd.util.hash_array(unique, categorize=False))[codes] if len(codes) else np.zeros(0, np.uint64)
+
+    def runs(w: np.ndarray, k: int) -> np.ndarray:
+        h = np.full(max(len(w) - k + 1, 0) if k else 0, np.uint64(k), np.uint64)
+        for j in range(k if len(h) else 0):
+            h = _mix(h * _P + w[j : j + len(h)])
+        return h
+
+    whole = runs(hashes, size)  # of all texts in a row; those across two texts are left out below
     out, shorter, start = [], [], 0
     for x in split:
-        w = hashes[start : start + len(x)]
+        if len(x) >= size:
+            out.append(whole[start : start + len(x) - size + 1])
+        else:
+            out.append(runs(hashes[start : start + len(x)], size if exact else len(x)))
         start += len(x)
-        k = size if exact else min(size, len(x))
-        h = np.full(max(len(x) - k + 1, 0) if k else 0, np.uint64(k), np.uint64)
-        for j in range(k if len(h) else 0):
-            h = _mix(h * _P + w[j : j + len(h)])
-        out.append(h)
         shorter.append(len(x) if len(x) < size else 0)
     return out, shorter
 
@@ -304,11 +310,12 @@ def open_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
     return stored(of.join(split, "bucket"), "neardup-open")
 
 
-def signature_classes(docs: DataFrame, rounds: int = 2, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
     """``doc_id, class`` of the rows of ``docs`` that have words, by signatures alone.
 
     Documents are one class when their signatures do not rule out that they are
-    near-duplicates and a bucket's centre joins them. No texts are compared, so
+    near-duplicates and the centre of one of their ``BANDS`` buckets joins them
+    (``rounds`` centres of each). No texts are compared, so
     a class may hold documents a little less alike than near-duplicates; what
     counts independent documents errs on the side of fewer."""
 
