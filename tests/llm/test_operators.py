@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -402,7 +403,8 @@ def test_line_dedup_counts_a_document_once_for_a_template(spark):
 
 
 def test_line_dedup_of_text_without_spaces(spark):
-    assert linededup.tokens_of("猫が ab3好き。") == ["猫", "が", "ab3", "好", "き", "。"] and linededup.tokens_of("é a\u3000b") == ["é", "a", "b"]
+    tokens, counts = linededup.tokens_in(pa.array(["猫が ab3好き。", "", "é a\u3000b", " a\tb "], pa.large_string()))
+    assert tokens.to_pylist() == ["猫", "が", "ab3", "好", "き", "。", "é", "a", "b", "a", "b"] and counts.tolist() == [6, 0, 3, 2]
     rnd = random.Random(24)
     footers = ["本站所有文章均可免费阅读", "บทความทั้งหมดอ่านได้ฟรี"]
     own = lambda n: ["".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(30)) for _ in range(n)]

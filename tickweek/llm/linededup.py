@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +37,11 @@ DOCUMENTS = 5  # independent documents that make a template recurring
 FIELD = "<*>"
 # Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese, as Python and Java write them in a character class
 UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff61-\uff9f\U00020000-\U0003fffd"
-_TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
+# White space beyond ASCII
+_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # A short line without a letter or digit (a bracket, a rule) is layout, not text, and stays.
-_WORD = re.compile(r"[^\W_]")
+_WORD = r"[\p{L}\p{N}]"
 
 _DIGIT = re.compile("[0-9]")
 
@@ -52,8 +54,17 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def tokens_of(line: str) -> list[str]:
-    return line.split() if line.isascii() else _TOKEN.findall(line)
+def tokens_in(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all lines in a row, and each line's number of them."""
+    wide = pc.invert(pc.string_is_ascii(lines))
+    if pc.any(wide).as_py():
+        spaced = pc.replace_substring_regex(pc.replace_substring_regex(lines.filter(wide), _SPACE, " "), f"([{UNSPACED}])", r" \1 ")
+        lines = pc.replace_with_mask(lines, wide, spaced)
+    split = pc.ascii_split_whitespace(lines)
+    flat = split.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty token
+    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
+    return flat.filter(real), np.diff(ends)
 
 
 def has_digit(token: str) -> bool:
@@ -65,23 +76,19 @@ def has_digit(token: str) -> bool:
 
 def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     """Of every line with a template: text number, line number, leaf, template keys [line, 1 + BLOCKS], whether it has open ones."""
-    tokens: list[str] = []
-    owner, number, counts = [], [], []
-    for k, text in enumerate(texts):
-        for i, line in enumerate(text.split("\n") if text else ()):
-            found = tokens_of(line)
-            if found and (len(found) > 2 or _WORD.search(line)):
-                tokens += found
-                owner.append(k)
-                number.append(i)
-                counts.append(len(found))
-    n = np.array(counts, np.int64)
+    split = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), "\n")
+    lines, offsets = split.flatten(), np.asarray(split.offsets)
+    tokens, n = tokens_in(lines)
+    kept = (n > 2) | (n > 0) & pc.match_substring_regex(lines, _WORD).to_numpy(zero_copy_only=False)
+    tokens = tokens.filter(pa.array(np.repeat(kept, n)))
+    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    number = np.arange(len(lines)) - offsets[owner]
+    owner, number, n = owner[kept], number[kept], n[kept]
     if not len(n):
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros((0, 1 + BLOCKS), np.int64), np.zeros(0, bool)
-    flat = np.empty(len(tokens), object)
-    flat[:] = tokens
-    codes, unique = pd.factorize(flat)
+    coded = tokens.dictionary_encode()
+    codes, unique = coded.indices.to_numpy(), coded.dictionary.to_pylist()
     masked = np.array([FIELD if has_digit(t) else t for t in unique], object)
     start = np.cumsum(n) - n
     place = np.arange(len(codes)) - np.repeat(start, n)
@@ -96,7 +103,7 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         a, z = start + n * b // BLOCKS, start + n * (b + 1) // BLOCKS
         sums = np.concatenate([[np.uint64(0)], np.cumsum(value)])  # wraps around, differences stay right
         keys[:, 1 + b] = _mix(whole - (sums[z] - sums[a]) + np.uint64(b + 1))
-    return np.array(owner), np.array(number), _mix(leaf).view(np.int64), keys.view(np.int64), open_
+    return owner, number, _mix(leaf).view(np.int64), keys.view(np.int64), open_
 
 
 def _lines(rows: DataFrame) -> DataFrame:
