@@ -303,6 +303,31 @@ def test_language(spark, empty):
     assert none.languages == [] and {r.lang_pred for r in langid.identify(odd, none).collect()} == {"und"}
 
 
+def test_words_are_letters_and_their_marks():
+    assert langid.words("½ ② ² ٣ 12 _-") == [] and langid.words("Ⅷ") == []
+    assert langid.words("हिन्दी É1a c̈") == ["▁हिन्दी", "▁é", "▁a", "▁c̈"]
+
+
+def test_language_sample_goes_by_text(spark):
+    rnd = random.Random(8)
+    words = {"aa": ["the", "and", "house", "water"], "bb": ["der", "und", "haus", "wasser"]}
+    rows = [(" ".join(rnd.choice(words[k]) for _ in range(12)), k) for i in range(300) for k in (("aa", "bb")[i % 2],)]
+    rows += [(rows[0][0], "aa")] * 200  # a hot text
+    models = [langid.learn(spark.createDataFrame(r, "text string, lang string").repartition(n), sample=60) for r, n in ((rows, 1), (rows[::-1], 5))]
+    assert np.allclose(models[0].p, models[1].p) and models[0].languages == models[1].languages
+
+
+def test_op2_on_the_table(spark):
+    sf = "/root/testdata/sf0.001"
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    found = langid.op2_language(spark, sf)
+    assert found.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double")]
+    rows = found.collect()
+    assert len(rows) == len(lang) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    right = [r.lang_pred == lang[r.doc_id] for r in rows if r.held_out and lang[r.doc_id] is not None]
+    assert len(right) > 20 and sum(right) >= 0.9 * len(right)  # rows that were not learned from
+
+
 def test_forward_sums_all_cuts():
     pieces = {p: i for i, p in enumerate(["a", "b", "ab", "ba", "aba"])}
     p = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0], [1e-9]])

@@ -10,6 +10,7 @@ sums) over words of a sample of labelled texts.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tickweek.llm.common import documents, fold, slices
 
-SAMPLE_DOCS = 1500  # labelled texts per language that are learned from (expected number, drawn by row)
+SAMPLE_DOCS = 1500  # labelled texts per language that are learned from (expected number, drawn by a hash of the text)
 EM_STEPS = 2
 SMOOTHING = 0.1  # added to each piece's expected count
 WORD_CHARS = 24  # longer runs of letters are cut: keeps sums in a double's range
@@ -29,7 +30,25 @@ UNKNOWN = 1e-9  # probability of a character that is no piece, for every languag
 CACHE_WORDS = 200_000  # per Python worker; emptied when full
 UNDETERMINED = "und"
 
-_letters = re.compile(r"[^\W\d_]+")
+
+
+def _categories(*first: str) -> str:
+    """The characters of the Unicode categories with these first letters, as ranges of a character class."""
+    out, start = [], None
+    for i in range(LAST_LETTER + 2):
+        inside = i <= LAST_LETTER and unicodedata.category(chr(i))[0] in first
+        if inside and start is None:
+            start = i
+        elif not inside and start is not None:
+            out.append(f"{re.escape(chr(start))}-{re.escape(chr(i - 1))}")
+            start = None
+    return "".join(out)
+
+
+LAST_LETTER = 0x32FFF  # no letter stands beyond the CJK extensions of planes 2 and 3
+# Words begin with a letter (category L; signs for numbers are none) and go on over letters and combining marks.
+_letters = re.compile(f"[{_categories('L')}][{_categories('L', 'M')}]*")
+_piece = re.compile(f"[{_categories('L', 'M')}]+")
 
 
 def words(text: str) -> list[str]:
@@ -47,7 +66,7 @@ def vocabulary(path: str | None = None) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    kept = [p for p in pieces if _letters.fullmatch(p.removeprefix("▁")) or p == "▁"]
+    kept = [p for p in pieces if _piece.fullmatch(p.removeprefix("▁")) or p == "▁"]
     return {p: i for i, p in enumerate(dict.fromkeys(p.lower() for p in kept))}
 
 
@@ -119,9 +138,10 @@ class Model:
 def learn(texts: DataFrame, sample: int = SAMPLE_DOCS, steps: int = EM_STEPS) -> Model:
     """A model from columns ``lang`` and ``text``; NULL in either is left out.
 
-    From each language about ``sample`` rows are drawn by a hash of the row's
-    place in the scan, so the sample's size does not grow with the corpus. No
-    rows give a model without languages.
+    From each language about ``sample`` rows are drawn by a hash of the text,
+    so the sample does not grow with the corpus and is the same for every layout
+    of the rows. Equal texts count once. No rows give a model without
+    languages.
     """
     spark = texts.sparkSession
     pieces = vocabulary()
@@ -133,8 +153,9 @@ def learn(texts: DataFrame, sample: int = SAMPLE_DOCS, steps: int = EM_STEPS) ->
     if not languages:
         return Model([], pieces, p)
     share = F.create_map(*(x for k in languages for x in (F.lit(k), F.lit(sample / numbers[k]))))
-    draw = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
     drawn = known.withColumn("draw", draw).where(F.col("draw") < F.element_at(share, F.col("lang")))
+    drawn = drawn.select("lang", "text").distinct()  # a text with many copies is drawn, and learned from, once
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
