@@ -36,7 +36,7 @@ BANDS, ROWS = 32, 4  # at 0.75 a pair meets in some band with probability 1 - 5e
 HASHES = BANDS * ROWS
 BATCH = 16  # signature values compared before each look at the posterior
 MISS = 1e-4  # chance of a true pair below which comparing stops
-CENTRES = 4  # rounds with one centre per bucket before the exact search; any number gives the same links
+CENTRES = 2  # rounds with one centre per bucket before the exact search; any number gives the same links
 COUNTERS = 1 << 20  # hashed counters of how common shingles are; any values keep the search exact
 BLOCKS = 16  # the counters travel in so many blocks
 
