@@ -7,7 +7,9 @@ the posterior chance that they reach the threshold is below ``MISS``; survivors
 are verified on their full shingle sets. Verified links join components.
 
 A bucket's members are compared with one of them, its centre, so a bucket of n
-members makes n - 1 pairs; later rounds take other centres. Buckets that then
+members makes n - 1 pairs. The centre is the member with most company over all
+its buckets: of a group of near copies the one most like the rest, so that few
+of them stay apart. Further rounds take other centres. Buckets that then
 still hold several components may hide a link between two members that no
 centre shares. Their classes go through an exact search that forms no pairs by
 bucket: shingles are put in one order, rare ones first, and two sets that are
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +38,7 @@ BANDS, ROWS = 32, 4  # at 0.75 a pair meets in some band with probability 1 - 5e
 HASHES = BANDS * ROWS
 BATCH = 16  # signature values compared before each look at the posterior
 MISS = 1e-4  # chance of a true pair below which comparing stops
-CENTRES = 2  # rounds with one centre per bucket before the exact search; any number gives the same links
+CENTRES = 1  # rounds with one centre per bucket before the exact search; any number gives the same links
 COUNTERS = 1 << 20  # hashed counters of how common shingles are; any values keep the search exact
 BLOCKS = 16  # the counters travel in so many blocks
 
@@ -286,26 +288,30 @@ def prefix_pairs(texts: DataFrame, numerator: int, denominator: int) -> DataFram
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """``bucket, c, n``: the classes of every bucket with more than one; stored."""
+    """``bucket, c, n, company``: the classes of every bucket with more than one, its size, the sizes of all the class's buckets; stored."""
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     keyed = classes.select("c", "sig", band).select(
         F.xxhash64("band", F.substring("sig", F.col("band") * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("bucket"), "c"
     )
     sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    return stored(keyed.join(sizes, "bucket"), "neardup-members")
+    company = F.sum("n").over(Window.partitionBy("c"))  # at most BANDS rows
+    return stored(keyed.join(sizes, "bucket").select("bucket", "c", "n", company.alias("company")), "neardup-members")
 
 
 def centre_pairs(of: DataFrame, step: int) -> DataFrame:
-    """Each member (bucket, c, comp) with its bucket's centre, if that is of another component; other centres at every ``step``."""
-    order = F.struct(F.xxhash64("c", F.lit(step)).alias("o"), "c", "comp")
+    """Each member (bucket, c, company, comp) with its bucket's centre, if that is of another component.
+
+    First the centre is the member with most company, at every later ``step`` one by a hash that differs between buckets."""
+    rank = F.xxhash64("c", "bucket", F.lit(step)) if step else -F.col("company")
+    order = F.struct(rank.alias("o"), "c", "comp")
     centres = of.groupBy("bucket").agg(F.min(order).alias("x")).select("bucket", F.col("x.c").alias("a"), F.col("x.comp").alias("comp_a"))
     near = of.join(centres, "bucket").where("comp != comp_a")
     return near.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
 
 
 def open_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``bucket, c, comp`` of the buckets that still hold several components; stored."""
-    of = members.where("n > 2").join(comps, "c", "left").select("bucket", "c", F.coalesce("comp", "c").alias("comp"))
+    """``bucket, c, company, comp`` of the buckets that still hold several components; stored."""
+    of = members.where("n > 2").join(comps, "c", "left").select("bucket", "c", "company", F.coalesce("comp", "c").alias("comp"))
     split = of.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
     return stored(of.join(split, "bucket"), "neardup-open")
 
@@ -330,7 +336,7 @@ def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERAT
     found = stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, key binary, sig binary"), "signatures")
     classes = stored(found.groupBy("key").agg(F.any_value("sig").alias("sig")).withColumn("c", F.monotonically_increasing_id()), "signature-classes")
     members = bucket_members(classes)
-    links, of = None, members.select("bucket", "c", F.col("c").alias("comp"))
+    links, of = None, members.select("bucket", "c", "company", F.col("c").alias("comp"))
     comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
     for step in range(rounds):
         if step:
@@ -367,7 +373,7 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
 
     tested = None
     comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
-    of = members.select("bucket", "c", F.col("c").alias("comp"))
+    of = members.select("bucket", "c", "company", F.col("c").alias("comp"))
     for step in range(CENTRES + 1):
         if step:
             of = open_buckets(members, comps)
