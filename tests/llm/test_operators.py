@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -151,6 +153,23 @@ def test_automaton_against_windows():
             assert (n, sum(b - a for a, b in spans), found) == brute_hits(items, text, window)
 
 
+def test_automaton_of_equal_words_and_its_size():
+    """Long repeats are matched in linear time, and a state takes a few flat numbers."""
+    started = time.perf_counter()
+    automaton = decontaminate.ItemAutomaton([("a", ["la"] * 100_000), ("b", ["la"] * 3)])
+    (n, spans, found), = decontaminate.scan(automaton, [" ".join(["la"] * 100_000)])
+    assert (n, spans, found) == (100_000, [(0, 100_000)], {"a", "b"}) and time.perf_counter() - started < 20
+    rnd = random.Random(3)
+    words = [f"w{rnd.randint(0, 20_000)}" for _ in range(150_000)]
+    tracemalloc.start()
+    automaton = decontaminate.ItemAutomaton([(str(k), words[k : k + 100]) for k in range(0, len(words), 100)])
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert size < 40 * sum(len(w) + 1 for w in words)
+    (_, spans, found), = decontaminate.scan(automaton, [" ".join(["x", *words[5:40], "y"])])
+    assert (spans, found) == ([(1, 36)], {"0"})
+
+
 def test_decontamination_of_a_table(spark, docs, empty):
     texts = {r[0]: r[1] for r in make()}
     items = [(1, texts[2]), (2, texts[7]), (2, texts[7]), (None, texts[9]), (4, None), (5, "!!!"), (6, "again three")]

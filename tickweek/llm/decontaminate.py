@@ -12,8 +12,8 @@ every match lies inside such a run, so this changes no result.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweek.llm.common import documents, slices, table
+from tickweek.session import drop_stored, stored
 
 WINDOW = 10
-# Items are dealt to automata of at most about this many bytes of item text, so
-# neither the driver nor a broadcast holds more than one such piece at a time.
-AUTOMATON_BYTES = 16 << 20
+# Items are dealt to automata of at most about this many bytes of item text. An
+# automaton takes some 30 bytes of memory for each, in the driver that
+# builds it and in each worker; larger benchmarks take one pass after another.
+AUTOMATON_BYTES = 8 << 20
 # Fixed value: the word pattern, applied after A-Z became lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Limits for removal: a hit span of this many words goes (1: every hit span); a
@@ -48,96 +50,139 @@ def words(text: str | None) -> list[str]:
 
 
 class ItemAutomaton:
-    """Suffix automaton of several word sequences and what each state stands for."""
+    """Suffix automaton of several word sequences and what each state stands for.
+
+    States are rows of flat arrays. Most states have one move (word, target) and
+    one owning item; only those with more have a dict or set of their own.
+    """
 
     def __init__(self, items: list[tuple[str | None, list[str]]], window: int = WINDOW) -> None:
         self.window = window
         self.vocabulary: dict[str, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        pairs: set[tuple[int, int]] = set()
+        self.word, self.target = array("q", [-1]), array("q", [-1])
+        self.more: dict[int, dict[int, int]] = {}
+        self.link, self.length = array("q", [-1]), array("q", [0])
+        self.names: list[str | None] = []
         coded = []
         for item, tokens in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens]
+            ids = array("q", [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens])
             if ids:
-                coded.append((item, ids))
-                pairs.update(zip(ids, ids[1:]))
-        self.shortest = min([window, *(len(ids) for _, ids in coded)])
+                self.names.append(item)
+                coded.append(ids)
+        self.shortest = min([window, *map(len, coded)])
         self.base = max(1, len(self.vocabulary))
-        self.pairs = np.array(sorted(a * self.base + b for a, b in pairs), np.int64)
-        for _, ids in coded:
+        flat = [np.frombuffer(ids, np.int64) for ids in coded]
+        self.pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(x[:-1] * self.base + x[1:] for x in flat)]))
+        for ids in coded:
             state = 0
             for w in ids:
                 state = self._extend(state, w)
+        self._climb(coded)
+
+    def _climb(self, coded: list[array]) -> None:
+        """Per state: the one up its links that stands for its last ``window`` words, and the nearest that ends a short item."""
+        count = len(self.length)
+        order = np.argsort(np.frombuffer(self.length, np.int64), kind="stable").tolist()  # links come first
+        self.top = array("q", range(count))
+        for state in order[1:]:
+            up = self.link[state]
+            if self.length[up] >= self.window:
+                self.top[state] = self.top[up]
         # Items by the state of each of their windows; whole short items by their
         # end state, with their length (a state may stand for longer sequences).
-        self.owners: dict[int, set[str | None]] = {}
-        self.whole: dict[int, tuple[int, set[str | None]]] = {}
-        for item, ids in coded:
+        self.owner = array("q", [-1]) * count
+        self.owners: dict[int, set[int]] = {}
+        self.whole: dict[int, tuple[int, set[int]]] = {}
+        for item, ids in enumerate(coded):
             state = 0
             for i, w in enumerate(ids, 1):
-                state = self.next[state][w]
-                if i >= window:
-                    up = state
-                    while self.length[self.link[up]] >= window:
-                        up = self.link[up]
-                    self.owners.setdefault(up, set()).add(item)
-            if len(ids) < window:
+                state = self._move(state, w)
+                if i >= self.window:
+                    self._own(self.top[state], item)
+            if len(ids) < self.window:
                 self.whole.setdefault(state, (len(ids), set()))[1].add(item)
+        self.short = array("q", [-1]) * count
+        for state in order[1:]:
+            self.short[state] = state if state in self.whole else self.short[self.link[state]]
+
+    def _own(self, state: int, item: int) -> None:
+        if self.owner[state] < 0:
+            self.owner[state] = item
+        elif self.owner[state] != item:
+            self.owners.setdefault(state, {self.owner[state]}).add(item)
+
+    def _move(self, state: int, w: int) -> int:
+        """Where ``w`` leads from ``state``, or -1."""
+        if self.word[state] == w:
+            return self.target[state]
+        others = self.more.get(state)
+        return others.get(w, -1) if others else -1
+
+    def _set(self, state: int, w: int, target: int) -> None:
+        if self.word[state] in (-1, w):
+            self.word[state], self.target[state] = w, target
+        else:
+            self.more.setdefault(state, {})[w] = target
 
     def _extend(self, last: int, w: int) -> int:
         """Append ``w`` to the sequence that ``last`` ends; return the new end's state."""
-        there = self.next[last].get(w)
-        if there is not None:
+        there = self._move(last, w)
+        if there >= 0:
             return there if self.length[there] == self.length[last] + 1 else self._split(last, there, w)
-        new = self._state(self.length[last] + 1, {}, 0)
-        p = last
-        while p >= 0 and w not in self.next[p]:
-            self.next[p][w] = new
+        new = self._state(self.length[last] + 1, 0)
+        p, q = last, -1
+        while p >= 0 and (q := self._move(p, w)) < 0:
+            self._set(p, w, new)
             p = self.link[p]
         if p >= 0:
-            q = self.next[p][w]
             self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, q, w)
         return new
 
-    def _state(self, length: int, moves: dict[int, int], link: int) -> int:
-        self.next.append(moves)
-        self.length.append(length)
-        self.link.append(link)
+    def _state(self, length: int, link: int) -> int:
+        for column, value in ((self.word, -1), (self.target, -1), (self.length, length), (self.link, link)):
+            column.append(value)
         return len(self.length) - 1
 
     def _split(self, p: int, q: int, w: int) -> int:
         """Part ``q``'s shorter sequences, those reached from ``p``, off into their own state."""
-        clone = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q])
+        clone = self._state(self.length[p] + 1, self.link[q])
+        self.word[clone], self.target[clone] = self.word[q], self.target[q]
+        if q in self.more:
+            self.more[clone] = dict(self.more[q])
         self.link[q] = clone
-        while p >= 0 and self.next[p].get(w) == q:
-            self.next[p][w] = clone
+        while p >= 0 and self._move(p, w) == q:
+            self._set(p, w, clone)
             p = self.link[p]
         return clone
 
-    def match(self, ids: list[int]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Hit word ranges ``(start, end)`` of a run of known words, and the items hit."""
+    def match(self, ids: list[int]) -> tuple[list[tuple[int, int]], set[str | None]]:
+        """Hit word ranges ``(start, end)`` of a run of known words, and the items hit.
+
+        A word looks at one state for the windows and at fewer than ``window``
+        for short items, however long the match is."""
         state = size = 0
         found: list[tuple[int, int]] = []
-        items: set[str | None] = set()
+        windows: set[int] = set()
+        items: set[int] = set()
         for i, w in enumerate(ids, 1):
-            while state and w not in self.next[state]:
+            while (on := self._move(state, w)) < 0 and state:
                 state = self.link[state]
                 size = self.length[state]
-            if w in self.next[state]:
-                state, size = self.next[state][w], size + 1
-            up = state
+            if on >= 0:
+                state, size = on, size + 1
+            if size >= self.window:
+                windows.add(self.top[state])
+                found.append((i - size, i))
+            up = self.short[state]
             while up > 0:
-                shorter = self.length[self.link[up]]
-                if min(size, self.length[up]) >= self.window > shorter:
-                    items |= self.owners[up]
-                    found.append((i - size, i))
-                n, short = self.whole.get(up, (0, ()))
-                if shorter < n <= size:
-                    items.update(short)
+                n, short = self.whole[up]
+                if n <= size:
+                    items |= short
                     found.append((i - n, i))
-                up = self.link[up]
-        return merged(found), items
+                up = self.short[self.link[up]]
+        for up in windows:
+            items |= self.owners.get(up) or {self.owner[up]}
+        return merged(found), {self.names[k] for k in items}
 
 
 def scan(automaton: ItemAutomaton, texts: list[str | None]) -> Iterator[tuple[int, list[tuple[int, int]], set[str | None]]]:
@@ -206,11 +251,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     are hit, but no id is listed for them; repeated item ids count once; an
     empty benchmark gives no hits; repeated documents are each judged alike.
     """
-    spark = docs.sparkSession
-    out = docs.select(F.struct("*").alias("row"), F.lit(None).cast(_HITS).alias("hits"))
+    context = docs.sparkSession.sparkContext
+    marked, passed, held, own = docs.select(F.struct("*").alias("row"), F.lit(None).cast(_HITS).alias("hits")), None, None, False
     for automaton in automata(benchmark, window, most):
-        out = _pass(out, spark.sparkContext.broadcast(automaton))
-    return out
+        if held is not None:
+            # One automaton at a time: the pass before is written, then its automaton and its input go.
+            done = stored(passed, "contamination")
+            held.destroy()
+            if own:
+                drop_stored(marked)
+            marked, own = done, True
+        held = context.broadcast(automaton)
+        passed = _pass(marked, held)
+    return passed
 
 
 def _pass(marked: DataFrame, automaton) -> DataFrame:
