@@ -15,7 +15,6 @@ that hold a template of enough documents are compared.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +42,6 @@ _SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # A short line without a letter or digit (a bracket, a rule) is layout, not text, and stays.
 _WORD = r"[\p{L}\p{N}]"
 
-_DIGIT = re.compile("[0-9]")
-
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,11 +64,13 @@ def tokens_in(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(real), np.diff(ends)
 
 
-def has_digit(token: str) -> bool:
-    """Whether some character is a digit, as ``str.isdigit`` has it; most tokens are decided by one scan."""
-    if token.isalpha():
-        return False
-    return bool(_DIGIT.search(token)) or not token.isascii() and any(c.isdigit() for c in token)
+def have_digit(tokens: pa.Array) -> np.ndarray:
+    """Whether some character of each token is a digit, as ``str.isdigit`` has it."""
+    found = pc.match_substring_regex(tokens, "[0-9]").to_numpy(zero_copy_only=False).copy()
+    other = pc.and_(pc.invert(pc.string_is_ascii(tokens)), pc.match_substring_regex(tokens, r"\p{N}"))
+    for i in np.flatnonzero(other.to_numpy(zero_copy_only=False) & ~found):
+        found[i] = any(c.isdigit() for c in tokens[i].as_py())
+    return found
 
 
 def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
@@ -88,8 +87,9 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros((0, 1 + BLOCKS), np.int64), np.zeros(0, bool)
     coded = tokens.dictionary_encode()
-    codes, unique = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-    masked = np.array([FIELD if has_digit(t) else t for t in unique], object)
+    codes = coded.indices.to_numpy()
+    masked = pc.replace_with_mask(coded.dictionary, pa.array(have_digit(coded.dictionary)), pa.scalar(FIELD, coded.dictionary.type))
+    masked = masked.to_numpy(zero_copy_only=False)
     start = np.cumsum(n) - n
     place = np.arange(len(codes)) - np.repeat(start, n)
     value = _mix(pd.util.hash_array(masked, categorize=False)[codes] + _P * (place + 1).astype(np.uint64))
@@ -99,13 +99,19 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     keys = np.empty((len(n), 1 + BLOCKS), np.uint64)
     keys[:, 0] = _mix(whole)
     open_ = n >= OPEN_TOKENS
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(value)])  # wraps around, differences stay right
     for b in range(BLOCKS):
         a, z = start + n * b // BLOCKS, start + n * (b + 1) // BLOCKS
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(value)])  # wraps around, differences stay right
         keys[:, 1 + b] = _mix(whole - (sums[z] - sums[a]) + np.uint64(b + 1))
     return owner, number, _mix(leaf).view(np.int64), keys.view(np.int64), open_
 
 
+def firsts(owner: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit key is its owner's first such (owner and key are hashed together)."""
+    both = _mix(keys.view(np.uint64) + _mix(owner.astype(np.uint64) * _P + np.uint64(1)))
+    return ~pd.Series(both).duplicated().to_numpy()
+
+
 def _lines(rows: DataFrame) -> DataFrame:
     """``rid, line, leaf, keys`` of each template line; ``first`` and ``news`` mark where a text meets the leaf and each key first."""
 
@@ -116,9 +122,9 @@ def _lines(rows: DataFrame) -> DataFrame:
                 continue
             width = np.where(open_, 1 + BLOCKS, 1)
             chosen = np.arange(1 + BLOCKS) < width[:, None]
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(keys[chosen]))
-            first = ~pd.DataFrame({"o": owner, "k": leaf}).duplicated().to_numpy()
-            new = ~pd.DataFrame({"o": np.repeat(owner, width), "k": keys[chosen]}).duplicated().to_numpy()
+            flat = keys[chosen]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(flat))
+            first, new = firsts(owner, leaf), firsts(np.repeat(owner, width), flat)
             news = pa.ListArray.from_arrays(lists.offsets, pa.array(new))
             rid = batch["rid"].to_numpy()[owner]
             yield pa.RecordBatch.from_arrays(

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,10 +65,12 @@ def shingle_rows(texts: list[str | None], size: int = SHINGLE, exact: bool = Fal
     case. A text of fewer than ``size`` words is one shingle, or none if
     ``exact``; a text without words has none.
     """
-    split = [t.encode().lower().split() if t else [] for t in texts]
-    flat = np.empty(sum(map(len, split)), object)
-    flat[:] = [w for x in split for w in x]
-    codes, unique = pd.factorize(flat)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())))
+    flat = split.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty word
+    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
+    coded = flat.filter(real).dictionary_encode()
+    codes, unique = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
     hashes = _mix(pd.util.hash_array(unique, categorize=False))[codes] if len(codes) else np.zeros(0, np.uint64)
 
     def runs(w: np.ndarray, k: int) -> np.ndarray:
@@ -77,14 +80,11 @@ def shingle_rows(texts: list[str | None], size: int = SHINGLE, exact: bool = Fal
         return h
 
     whole = runs(hashes, size)  # of all texts in a row; those across two texts are left out below
-    out, shorter, start = [], [], 0
-    for x in split:
-        if len(x) >= size:
-            out.append(whole[start : start + len(x) - size + 1])
-        else:
-            out.append(runs(hashes[start : start + len(x)], size if exact else len(x)))
-        start += len(x)
-        shorter.append(len(x) if len(x) < size else 0)
+    out, shorter = [], []
+    for start, end in zip(ends.tolist(), ends[1:].tolist()):
+        n = end - start
+        out.append(whole[start : end - size + 1] if n >= size else runs(hashes[start:end], size if exact else n))
+        shorter.append(n if n < size else 0)
     return out, shorter
 
 
@@ -95,11 +95,12 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarra
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest of each of ``HASHES`` hash functions over the set."""
-    out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(shingles), 1024):
-        h = shingles[k : k + 1024, None] * HASH_A + HASH_B
-        np.minimum(out, (h >> np.uint64(32)).min(0).astype(np.uint32), out=out)
-    return out
+    out = np.full(HASHES, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for k in range(0, len(shingles), 256):  # a block stays in the cache
+        h = shingles[k : k + 256, None] * HASH_A
+        h += HASH_B
+        np.minimum(out, h.min(0), out=out)
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def set_key(shingles: np.ndarray) -> bytes:
