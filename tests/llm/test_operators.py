@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import types as T
 
 from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
@@ -307,6 +308,49 @@ def test_fingerprint_depends_on_order(spark):
     assert near[0] == 1.0 and near[1] > 0.8 and near[1] > near[2] > near[3] == 0.0
 
 
+def plain_fingerprint(text):
+    """Order MinHash in plain Python: a dictionary of bin numbers and tuple hashes."""
+
+    def h(*values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64(v if isinstance(v, bytes) else (v % 2**64).to_bytes(8, "little"), seed=seed).intdigest()
+        return seed
+
+    runs = re.findall(r"\S+", text, re.ASCII)
+    tokens = [t.encode() for r in runs for t in ([r] if len(r) <= 24 else [r[i : i + 4] for i in range(len(r) - 3)])]
+    seen, items = collections.Counter(), []
+    for place, token in enumerate(tokens):
+        kmer = h(token, *tokens[place + 1 : place + 2]) >> 30 << 30
+        number = seen[kmer].to_bytes(4, "little")
+        seen[kmer] += 1
+        value = h(kmer, number)
+        items.append((value % 64, value >> 37, place))
+    bins = collections.defaultdict(list)
+    for b, value, place in sorted(items):
+        bins[b].append((place, b << 27 | value))
+    return {b: h(*[v for _, v in sorted(x[:2])]) & 0xFFFFFFFF for b, x in bins.items()}
+
+
+def test_fingerprint_against_plain_python(spark):
+    rnd = random.Random(14)
+    texts = [r[1] for r in make() if r[1]] + ["".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(400)), "😀x" * 40, "a" * 25 + " b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = {r.k: r.fp for r in fingerprint.with_fingerprint(df, "text", "fp").collect()}
+    for k, text in enumerate(texts):
+        assert {x >> 32: x & 0xFFFFFFFF for x in got[k]} == plain_fingerprint(text), text[:60]
+
+
+def test_one_inserted_character_in_unspaced_text(spark):
+    rnd = random.Random(15)
+    text = "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(3000))
+    texts = [text, "前" + text, text[:1500] + "中" + text[1500:], text[:1500] + text[1501:], text[1500:] + text[:1500]]
+    df = fingerprint.with_fingerprint(spark.createDataFrame(list(enumerate(texts)), "k int, text string"), "text", "fp")
+    a = df.where("k = 0").selectExpr("fp as a").crossJoin(df.selectExpr("k", "fp as b"))
+    near = dict(a.select("k", fingerprint.likeness("a", "b")).collect())
+    assert min(near[1], near[2], near[3]) > 0.9 > 0.8 > near[4]
+
+
 def test_language(spark, empty):
     rnd = random.Random(6)
     words = {"aa": ["the", "and", "house", "water", "thing"], "bb": ["der", "und", "haus", "wasser", "nicht"]}

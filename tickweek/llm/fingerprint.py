@@ -1,8 +1,10 @@
 """Order MinHash fingerprints of whole texts, in built-in functions only (native).
 
-A text's tokens are runs without white space, cut every ``TOKEN_CHARS``
-characters. A k-mer is a token with its successor; the n-th occurrence of a
-k-mer in a text counts as an item of its own. One hash deals the items into
+A text's tokens are its runs without white space; a run of more than
+``WHOLE_RUN`` characters (unspaced scripts, encoded data) gives its overlapping
+``GRAM`` characters instead, so that an inserted character changes the tokens
+around it and no others. A k-mer is a token with its successor; the n-th occurrence
+of a k-mer in a text counts as an item of its own. One hash deals the items into
 ``BINS`` bins and orders them there; the ``PER_BIN`` smallest of a bin, put back
 into text order, are hashed as one tuple. Two texts agree in a bin when they
 share those items and their order, which edits and moves both destroy.
@@ -19,13 +21,26 @@ from pyspark.sql import functions as F
 from tickweek.llm.common import documents
 from tickweek.session import stored
 
-TOKEN_CHARS = 12
+WHOLE_RUN = 24
+GRAM = 4
 BINS = 64
 PER_BIN = 2
 _PLACE = 30  # bits of a place
 _HIGH = -(1 << _PLACE)  # mask of the bits above it
 
 
+def tokens(text: Column) -> Column:
+    """The tokens of ``text`` in order; both patterns pass over it once."""
+    runs = F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
+    grams = F.lit(r"(?s)(?=(.{%d}))." % GRAM)
+    cut = F.flatten(
+        F.transform(
+            runs, lambda x: F.when(F.char_length(x) > WHOLE_RUN, F.regexp_extract_all(x, grams, F.lit(1))).otherwise(F.array(x))
+        )
+    )
+    return F.when(text.rlike(r"\S{%d}" % (WHOLE_RUN + 1)), cut).otherwise(runs)
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with the array column ``name``: per filled bin its number (above 32 bits) and tuple hash.
 
@@ -71,7 +86,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         starts = (i == 0) | (bin_of(F.get(F.col("_v"), i - 1)) != bin_of(value))
         return F.when(starts, packed)
 
-    out = df.withColumn("_t", F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % TOKEN_CHARS), F.lit(0)))
+    out = df.withColumn("_t", tokens(F.col(text)))
     out = out.withColumn(
         "_s",
         F.sort_array(
