@@ -15,6 +15,7 @@ from tickweek.llm import (
     licenses,
     linededup,
     neardup,
+    oracle,
     packing,
     periodic,
     quality,
@@ -42,4 +43,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
