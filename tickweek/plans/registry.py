@@ -223,7 +223,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     line comes back as a row with NULL numbers and is removed with the
     sector-less rows."""
     path = scratch_path(spark, "bars-csv")
-    write_csv(A.bar_rows(spark, sf), path, header=True)
+    write_csv(A.bar_rows(spark, sf), path, header=True, packed=True)
     return clean_bars(read_bars(spark, path, header=False))
 
 

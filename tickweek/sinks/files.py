@@ -2,7 +2,8 @@
 
 The write mode is a parameter everywhere: ``overwrite`` replaces,
 ``errorifexists`` refuses a present target, ``append`` adds, and
-``ignore`` lands data only where nothing is yet.
+``ignore`` lands data only where nothing is yet. ``packed`` text takes a
+quarter of the space or less; every reader here opens it like plain text.
 """
 
 from __future__ import annotations
@@ -12,25 +13,29 @@ from pyspark.sql import functions as F
 
 from tickweek.schemas import CSV_OPTIONS
 
+# Options of packed text: gzip at its fastest level. One task reads a packed file, so a
+# file holds a bounded number of rows; every file of headed text has its own header.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
+
+def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite", packed: bool = False) -> None:
     (
         df.write.mode(mode)
         .option("sep", sep)
         .option("header", header)
-        .options(**CSV_OPTIONS)
+        .options(**CSV_OPTIONS, **(PACKED if packed else {}))
         .csv(path)
     )
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", packed: bool = False) -> None:
     """Headed comma text that replaces the target (the default)."""
-    write_delimited(df, path, ",", header, mode)
+    write_delimited(df, path, ",", header, mode, packed)
 
 
-def write_bare_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
+def write_bare_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", packed: bool = False) -> None:
     """Headerless delimited text that refuses to replace an existing target."""
-    write_delimited(df, path, sep, False, mode)
+    write_delimited(df, path, sep, False, mode, packed)
 
 
 def key_value_line(keys: list[str], values: list[str]) -> Column:
@@ -49,9 +54,9 @@ def write_key_value_lines(df: DataFrame, path: str, keys: list[str], values: lis
     out.select(key_value_line(keys, values).alias("value")).write.mode(mode).text(path)
 
 
-def write_documents(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_documents(df: DataFrame, path: str, mode: str = "overwrite", packed: bool = False) -> None:
     """Nested documents as JSON, one object per line; NULL fields are left out."""
-    df.write.mode(mode).option("ignoreNullFields", True).json(path)
+    df.write.mode(mode).option("ignoreNullFields", True).options(**(PACKED if packed else {})).json(path)
 
 
 def land(df: DataFrame, path: str, fmt: str = "csv", header: bool = True) -> None:

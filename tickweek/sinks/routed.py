@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickweek.sinks.files import PACKED
+
 STATUS = "status"
 GOOD, REJECTED = "good", "rejected"
 
@@ -19,9 +21,9 @@ def routed(df: DataFrame, ok: Column) -> DataFrame:
     return df.withColumn(STATUS, F.when(F.coalesce(ok, F.lit(False)), GOOD).otherwise(REJECTED))
 
 
-def write_routed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Rows with their ``status``, one folder per status, in one job."""
-    df.write.mode(mode).partitionBy(STATUS).format(fmt).save(path)
+def write_routed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", packed: bool = False) -> None:
+    """Rows with their ``status``, one folder per status, in one job; ``packed`` is for text (``sinks.files``)."""
+    df.write.mode(mode).partitionBy(STATUS).format(fmt).options(**(PACKED if packed else {})).save(path)
 
 
 def read_routed(spark: SparkSession, path: str, schema: StructType, status: str, fmt: str = "parquet") -> DataFrame:
