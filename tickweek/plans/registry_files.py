@@ -110,7 +110,7 @@ def tsv_bad_cells(spark: SparkSession, sf: str) -> DataFrame:
 def csv_spoilt_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The rows themselves: a bad cell is NULL, all others of its line are kept."""
     path = scratch_path(spark, "spoilt-rows")
-    write_csv(A.bar_text(spark, sf), path, header=True)
+    write_csv(A.bar_text(spark, sf), path, header=True, packed=True)
     rows = clean_bars(read_checked(spark, path, BARS))
     return rows.select("symbol", "sector", "date", "high", "low", "volume", F.col("bad_line").isNotNull().alias("spoilt"))
 
