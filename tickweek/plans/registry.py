@@ -236,7 +236,7 @@ def tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def text_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Bare comma text read back as raw lines and parsed with quote rules."""
     path = scratch_path(spark, "bars-lines")
-    write_bare_csv(A.bar_rows(spark, sf), path)
+    write_bare_csv(A.bar_rows(spark, sf), path, packed=True)
     rows = parse_lines(read_lines(spark, path))
     sector = normalise_sector("sector", "whitespace")
     return rows.where((F.col("symbol") != "symbol") & (sector != "")).select(
