@@ -199,7 +199,9 @@ def json_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _flat_csv(spark: SparkSession, sf: str) -> DataFrame:
-    return acquisition.flat_csv(A.instruments(spark, sf), A.members(spark, sf), A.profile_bodies(spark, sf), A.history(spark, sf))
+    return acquisition.flat_csv(
+        A.instruments(spark, sf), A.members(spark, sf), A.profile_bodies(spark, sf, by_symbol=True), A.history(spark, sf, by_symbol=True)
+    )
 
 
 def comma_to_dot(spark: SparkSession, sf: str) -> DataFrame:
