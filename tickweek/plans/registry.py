@@ -290,7 +290,7 @@ def flat_csv_export(spark: SparkSession, sf: str) -> DataFrame:
     """Flattened company-and-bar rows written as headed comma text (commas in
     text cells turned into dots first) and read back with the row schema."""
     path = scratch_path(spark, "flat-csv")
-    write_csv(_flat_csv(spark, sf), path, header=True)
+    write_csv(_flat_csv(spark, sf), path, header=True, packed=True)
     return read_delimited(spark, path, FLAT_ROW, ",", header=True)
 
 
