@@ -17,7 +17,7 @@ or group grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -107,6 +107,10 @@ def paged_lists(
     Returns ``(*keys, page, name)``. Each input row lands in exactly one page;
     NULL keys form their own group.
 
+    * Rows whose first key (the symbol of a history) has at most
+      ``spread_pages`` pages in all are paged where a grouping by the keys, or an
+      earlier one by some of them, put them: one exchange at most
+      (``_paged_in_place``). The others are spread:
     * Exact copies are first counted (a map-side combined aggregate), so a
       run of identical rows travels as one row with a count.
     * A group gets ``ceil(rows / page_rows)`` pages; its row count comes from
@@ -129,20 +133,43 @@ def paged_lists(
     keyed = df.select(*keys, *items)
     if not keys:  # all rows are one group, under a key that the planner cannot fold away
         keys, keyed = ["_all"], keyed.withColumn("_all", F.pmod(F.xxhash64(*items), F.lit(1)))
-    placed = _with_pages(keyed, keys, items, page_rows, assume_unique, spread_pages)
+    # Few first keys have that many rows (4 million), so their list can be broadcast.
+    sizes = keyed.groupBy(keys[0]).agg(F.count(F.lit(1)).alias("_rows"))
+    large = F.broadcast(sizes.where(F.col("_rows") > spread_pages * page_rows).select(F.col(keys[0]).alias("_large")))
+    in_large = keyed[keys[0]].eqNullSafe(F.col("_large"))
     item = F.struct(*[F.col(f"`{c}`") for c in items])
-    chunks = placed.withColumn(
+    few = _paged_in_place(keyed.join(large, in_large, "left_anti"), keys, items, page_rows, assume_unique)
+    lists = few.groupBy(*keys, "page").agg(_items_of_page(item).alias(name))
+    spread = _with_pages(keyed.join(large, in_large, "left_semi"), keys, items, page_rows, assume_unique, spread_pages)
+    chunks = spread.withColumn(
         "_chunk", _ids(F.col("_block") * CHUNK_BLOCK, F.least(F.col("_chunks"), (F.col("_block") + 1) * CHUNK_BLOCK))
     ).withColumn("_n", F.least(F.lit(page_rows).cast("long"), F.col("_copies") - F.col("_chunk") * page_rows))
     start = F.pmod(F.col("_hash"), F.col("_pages"))
     pages = chunks.withColumn("page", F.pmod(start + F.col("_chunk"), F.col("_pages")).cast("int"))
     # Shuffle on the page itself, so the pages of one hot group spread over tasks.
-    lists = (
-        pages.repartition(*keys, "page")
-        .groupBy(*keys, "page")
-        .agg(F.flatten(F.collect_list(F.array_repeat(item, F.col("_n").cast("int")))).alias(name))
+    spread_lists = pages.repartition(*keys, "page").groupBy(*keys, "page").agg(_items_of_page(item).alias(name))
+    return lists.unionByName(spread_lists).drop("_all")
+
+
+def _items_of_page(item: Column) -> Column:
+    return F.flatten(F.collect_list(F.array_repeat(item, F.col("_n").cast("int"))))
+
+
+def _paged_in_place(df: DataFrame, keys: list[str], items: list[str], page_rows: int, assume_unique: bool) -> DataFrame:
+    """Each distinct item's chunks with their ``page`` and size ``_n``, the groups counted by a window over the keys."""
+    counted = df.withColumn("_pages", F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*keys)) / page_rows))
+    if assume_unique:
+        counted = counted.withColumn("_copies", F.lit(1).cast("long"))
+    else:
+        counted = counted.groupBy(*keys, "_pages", *items).agg(F.count(F.lit(1)).alias("_copies"))
+    chunks = counted.withColumn("_chunk", _ids(F.lit(0), F.ceil(F.col("_copies") / page_rows)))
+    start = F.pmod(F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in items])), F.col("_pages"))
+    return chunks.withColumns(
+        {
+            "page": F.pmod(start + F.col("_chunk"), F.col("_pages")).cast("int"),
+            "_n": F.least(F.lit(page_rows).cast("long"), F.col("_copies") - F.col("_chunk") * page_rows),
+        }
     )
-    return lists.drop("_all")
 
 
 def _ids(lo: Column, hi: Column) -> Column:  # lo .. hi - 1
