@@ -248,7 +248,7 @@ def text_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "company-json")
-    write_documents(_documents(spark, sf), path)
+    write_documents(_documents(spark, sf), path, packed=True)
     return acquisition.flat_rows(read_documents(spark, path))
 
 
