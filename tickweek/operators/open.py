@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickweek.operators.enrich import first_record, merge_right_wins
+from tickweek.sinks.files import PACKED
 
 EXTRA = "extra"
 
@@ -59,6 +60,6 @@ def open_text(df: DataFrame, extra: str = EXTRA) -> Column:
     )
 
 
-def write_open_documents(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_open_documents(df: DataFrame, path: str, mode: str = "overwrite", packed: bool = False) -> None:
     """Open records as JSON lines; extra fields stand beside the typed ones."""
-    df.select(open_text(df).alias("value")).write.mode(mode).text(path)
+    df.select(open_text(df).alias("value")).write.mode(mode).options(**(PACKED if packed else {})).text(path)

@@ -86,9 +86,9 @@ def open_documents_written(spark: SparkSession, sf: str) -> DataFrame:
     """Open company documents with nested bars written as JSON, read back and flattened."""
     path = scratch_path(spark, "open-documents")
     members = A.members(spark, sf)
-    bars = keep_members(A.history(spark, sf), members)
-    listed = acquisition.open_companies(A.instrument_lines(spark, sf), members, A.profile_bodies(spark, sf))
-    write_open_documents(attach_history(listed, nest_history(bars), history=bars).drop("page_month", "page"), path)
+    bars = keep_members(A.history(spark, sf, by_symbol=True), members)
+    listed = acquisition.open_companies(A.instrument_lines(spark, sf), members, A.profile_bodies(spark, sf, by_symbol=True))
+    write_open_documents(attach_history(listed, nest_history(bars), history=bars).drop("page_month", "page"), path, packed=True)
     docs = open_documents(read_lines(spark, path), COMPANY)
     flat = docs.select("symbol", "companyName", EXTRA, F.explode("stockData").alias("_bar"))
     return flat.select("symbol", "companyName", F.col("_bar.date").alias("date"), F.col("_bar.close").alias("close"), *_open_fields(flat))
