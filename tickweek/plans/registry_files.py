@@ -117,8 +117,9 @@ def csv_spoilt_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _routed_documents(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "routed-documents")
-    docs = acquisition.company_documents(A.instruments(spark, sf), A.members(spark, sf), A.profile_bodies(spark, sf), A.history(spark, sf))
-    write_routed(acquisition.routed_documents(docs), path, "text")
+    bodies, history = A.profile_bodies(spark, sf, by_symbol=True), A.history(spark, sf, by_symbol=True)
+    docs = acquisition.company_documents(A.instruments(spark, sf), A.members(spark, sf), bodies, history)
+    write_routed(acquisition.routed_documents(docs), path, "text", packed=True)
     return path
 
 
