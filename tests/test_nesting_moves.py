@@ -54,3 +54,17 @@ def test_pages_in_place_are_those_of_the_spread_path(spark, monkeypatch):
     spread = paged_lists(df, ["k", "m"], ["v"], "items", page_rows=4, spread_pages=1)  # A and NULL are large
     assert _pages(in_place) == _pages(spread)
     assert _rows(in_place.select("k", "m", F.explode("items.v"))) == collections.Counter(rows)
+
+
+def test_inserts_read_the_bars_of_one_join(spark, monkeypatch):
+    from tickweek.plans import registry_files, weekly
+
+    insert, plans = weekly.insert_bars, []
+
+    def seen(bars, path, batch):
+        plans.append(plan_text(bars, "simple"))
+        insert(bars, path, batch)
+
+    monkeypatch.setattr(weekly, "insert_bars", seen)
+    assert registry_files.merged_inserts(spark, SF).count() > 0
+    assert len(plans) == 3 and not any("Join" in p for p in plans)

@@ -18,7 +18,7 @@ from tickweek.operators.rollups import sector_week_averages
 from tickweek.plans import acquisition, stock, weekly
 from tickweek.plans.oracle import DIGITS, SNAP
 from tickweek.schemas import BARS, COMPANY, FLAT_ROW, INSTRUMENT, MEMBER, PROFILE, TITLES
-from tickweek.session import scratch_path
+from tickweek.session import scratch_path, stored
 from tickweek.sinks.files import write_bare_csv, write_csv, write_delimited
 from tickweek.sinks.keyindex import lookup, read_index, write_indexed_lines
 from tickweek.sinks.landing import land_files, manifest, read_landed
@@ -149,9 +149,11 @@ def routed_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merged_inserts(spark: SparkSession, sf: str) -> DataFrame:
-    """Stage 1 as sums and counts: two halves inserted, one of them twice, added up and compacted."""
+    """Stage 1 as sums and counts: two halves inserted, one of them twice, added up and compacted.
+
+    The bars are joined once; each insert reads the columns it needs from that copy."""
     work = scratch_path(spark, "week-sums")
-    bars = A.bar_rows(spark, sf)
+    bars = stored(A.bar_rows(spark, sf).select("symbol", "sector", "date", "open", "high", "low", "close", "volume"), "week-bars")
     second = F.pmod(F.xxhash64("symbol", "date", "close"), F.lit(2)) == 1
     weekly.insert_bars(bars.where(~second), f"{work}/sums", "first")
     weekly.insert_bars(bars.where(second), f"{work}/sums", "second")
