@@ -130,7 +130,7 @@ def constituents_semi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    return merge_right_wins(A.instruments(spark, sf), acquisition.profiles(A.profile_bodies(spark, sf)))
+    return merge_right_wins(A.instruments(spark, sf), acquisition.profiles(A.profile_bodies(spark, sf, by_symbol=True)))
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:

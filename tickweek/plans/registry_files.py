@@ -44,7 +44,7 @@ def rounded(df: DataFrame) -> DataFrame:
 def json_array_parallel(spark: SparkSession, sf: str) -> DataFrame:
     """Companies as pretty-printed JSON arrays, each file read back in several splits."""
     path = scratch_path(spark, "company-arrays")
-    merged = merge_right_wins(A.instruments(spark, sf), acquisition.profiles(A.profile_bodies(spark, sf)))
+    merged = merge_right_wins(A.instruments(spark, sf), acquisition.profiles(A.profile_bodies(spark, sf, by_symbol=True)))
     write_json_arrays(merged, path, ARRAY_FILES)
     return read_json_array(spark, path, PROFILE)[0]
 
@@ -78,7 +78,7 @@ def _open_fields(df: DataFrame) -> list:
 
 def profile_open_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Constituents merged with their profiles; the fields that no schema declares come along."""
-    merged = acquisition.open_companies(A.instrument_lines(spark, sf), A.members(spark, sf), A.profile_bodies(spark, sf))
+    merged = acquisition.open_companies(A.instrument_lines(spark, sf), A.members(spark, sf), A.profile_bodies(spark, sf, by_symbol=True))
     return merged.select("symbol", "name", "price", *_open_fields(merged))
 
 
