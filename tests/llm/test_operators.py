@@ -15,7 +15,9 @@ import xxhash
 from pyspark.sql import types as T
 
 from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
+from tickweek.llm.common import spread
 from tickweek.llm.tokens import Encoder
+from tickweek.plans.explain import plan_text
 
 SCHEMA = T.StructType(
     [
@@ -593,3 +595,23 @@ def test_native_operators_plan_no_python(docs):
     for df in (sharding.shard_by_bytes(docs), fingerprint.fingerprints(docs)):
         plan = df._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan.split("== Physical Plan ==")[1])
+
+
+def test_line_dedup_joins_texts_without_sorting_them(spark):
+    docs = spark.createDataFrame([(i, f"same line of all texts\nown line {i} of text {i}") for i in range(8)], "doc_id bigint, text string")
+    found = linededup.dedup_lines(docs)
+    assert "ShuffledHashJoin" in plan_text(found, "simple")
+    assert {r.row.text for r in found.collect()} <= {f"own line {i} of text {i}" for i in range(8)} | {""}
+
+
+def test_helpers_take_slices_of_arrow_arrays():
+    texts = ["a b c d e f", None, "", "É  a　b 猫が ab3好き。\nx y z w v u", " a b\tc d e f g ", "w " * 9] * 3
+    part = pa.array(texts)[4:]
+    assert [x.tolist() for x in neardup.shingle_sets(part)] == [x.tolist() for x in neardup.shingle_sets(texts[4:])]
+    sets = neardup.shingle_sets(part)
+    assert [k is None for k in neardup.set_keys(sets)] == [not len(s) for s in sets]
+    assert len(set(neardup.set_keys(sets))) == 5  # none for NULL and empty texts
+    for x, y in zip(linededup.templates(part), linededup.templates(texts[4:])):
+        assert x.tolist() == y.tolist()
+    assert spread(part, linededup.UNSPACED).equals(spread(texts[4:], linededup.UNSPACED))
+    assert spread(["猫が ab", None], linededup.UNSPACED).to_pylist() == [" 猫  が  ab", ""]

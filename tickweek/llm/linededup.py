@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweek.llm.common import documents, slices
+from tickweek.llm.common import documents, no_nulls, replaced, slices, without_empty
 from tickweek.llm.neardup import signature_classes
 from tickweek.session import drop_stored, stored
 
@@ -33,6 +33,7 @@ LEAD = 3
 BLOCKS = 4
 OPEN_TOKENS = 8  # lines of fewer tokens have no template with an open stretch
 DOCUMENTS = 5  # independent documents that make a template recurring
+KEYS = [f"key{b}" for b in range(1 + BLOCKS)]
 FIELD = "<*>"
 # Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese, as Python and Java write them in a character class
 UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff61-\uff9f\U00020000-\U0003fffd"
@@ -46,40 +47,42 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    out = h >> np.uint64(32)
+    out ^= h
+    for _ in range(2):
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(32)
+    return out
 
 
 def tokens_in(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The tokens of all lines in a row, and each line's number of them."""
     wide = pc.invert(pc.string_is_ascii(lines))
     if pc.any(wide).as_py():
-        spaced = pc.replace_substring_regex(pc.replace_substring_regex(lines.filter(wide), _SPACE, " "), f"([{UNSPACED}])", r" \1 ")
+        spaced = replaced(replaced(lines.filter(wide), _SPACE, " "), f"([{UNSPACED}])", r" \1 ")
         lines = pc.replace_with_mask(lines, wide, spaced)
-    split = pc.ascii_split_whitespace(lines)
-    flat = split.flatten()
-    real = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty token
-    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
-    return flat.filter(real), np.diff(ends)
+    flat, ends = without_empty(pc.ascii_split_whitespace(lines))
+    return flat, np.diff(ends)
 
 
 def have_digit(tokens: pa.Array) -> np.ndarray:
     """Whether some character of each token is a digit, as ``str.isdigit`` has it."""
     found = pc.match_substring_regex(tokens, "[0-9]").to_numpy(zero_copy_only=False).copy()
-    other = pc.and_(pc.invert(pc.string_is_ascii(tokens)), pc.match_substring_regex(tokens, r"\p{N}"))
-    for i in np.flatnonzero(other.to_numpy(zero_copy_only=False) & ~found):
+    wide = np.flatnonzero(~found & ~pc.string_is_ascii(tokens).to_numpy(zero_copy_only=False))
+    numbers = pc.match_substring_regex(tokens.take(pa.array(wide)), r"\p{N}").to_numpy(zero_copy_only=False)
+    for i in wide[numbers]:
         found[i] = any(c.isdigit() for c in tokens[i].as_py())
     return found
 
 
-def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+def templates(texts: list[str | None] | pa.Array) -> tuple[np.ndarray, ...]:
     """Of every line with a template: text number, line number, leaf, template keys [line, 1 + BLOCKS], whether it has open ones."""
-    split = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), "\n")
+    split = pc.split_pattern(no_nulls(texts), "\n")
     lines, offsets = split.flatten(), np.asarray(split.offsets)
     tokens, n = tokens_in(lines)
     kept = (n > 2) | (n > 0) & pc.match_substring_regex(lines, _WORD).to_numpy(zero_copy_only=False)
-    tokens = tokens.filter(pa.array(np.repeat(kept, n)))
+    if not kept[n > 0].all():
+        tokens = tokens.filter(pa.array(np.repeat(kept, n)))
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
     number = np.arange(len(lines)) - offsets[owner]
     owner, number, n = owner[kept], number[kept], n[kept]
@@ -91,8 +94,11 @@ def templates(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     masked = pc.replace_with_mask(coded.dictionary, pa.array(have_digit(coded.dictionary)), pa.scalar(FIELD, coded.dictionary.type))
     masked = masked.to_numpy(zero_copy_only=False)
     start = np.cumsum(n) - n
-    place = np.arange(len(codes)) - np.repeat(start, n)
-    value = _mix(pd.util.hash_array(masked, categorize=False)[codes] + _P * (place + 1).astype(np.uint64))
+    place = np.arange(1, len(codes) + 1, dtype=np.uint64)  # in the line, from 1
+    place -= np.repeat(start.astype(np.uint64), n)
+    place *= _P
+    place += pd.util.hash_array(masked, categorize=False)[codes]
+    value = _mix(place)
     size = _mix(n.astype(np.uint64))
     whole = np.add.reduceat(value, start) + size
     leaf = size + sum(np.where(n > i, value[start + np.minimum(i, n - 1)], np.uint64(0)) for i in range(LEAD))
@@ -113,26 +119,26 @@ def firsts(owner: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """``rid, line, leaf, keys`` of each template line; ``first`` and ``news`` mark where a text meets the leaf and each key first."""
+    """``rid, line, leaf, key0 .. key4`` of each template line (NULL: it has no such key); ``first`` and the bits of ``news`` mark where a text meets the leaf and each key first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            owner, line, leaf, keys, open_ = templates(batch["text"].to_pylist())
+            owner, line, leaf, keys, open_ = templates(batch["text"])
             if not len(owner):
                 continue
             width = np.where(open_, 1 + BLOCKS, 1)
             chosen = np.arange(1 + BLOCKS) < width[:, None]
-            flat = keys[chosen]
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(flat))
-            first, new = firsts(owner, leaf), firsts(np.repeat(owner, width), flat)
-            news = pa.ListArray.from_arrays(lists.offsets, pa.array(new))
+            new = np.zeros(chosen.shape, bool)
+            new[chosen] = firsts(np.repeat(owner, width), keys[chosen])
+            news = new @ (1 << np.arange(1 + BLOCKS, dtype=np.int32))
             rid = batch["rid"].to_numpy()[owner]
+            flat = [pa.array(keys[:, 0]), *(pa.array(keys[:, b], mask=~open_) for b in range(1, 1 + BLOCKS))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), pa.array(first), lists, news],
-                ["rid", "line", "leaf", "first", "keys", "news"],
+                [pa.array(rid), pa.array(line.astype(np.int32)), pa.array(leaf), pa.array(firsts(owner, leaf)), pa.array(news.astype(np.int32)), *flat],
+                ["rid", "line", "leaf", "first", "news", *KEYS],
             )
 
-    kind = "rid bigint, line int, leaf bigint, first boolean, keys array<bigint>, news array<boolean>"
+    kind = f"rid bigint, line int, leaf bigint, first boolean, news int, {', '.join(f'{k} bigint' for k in KEYS)}"
     return rows.select("rid", F.col("row.text").alias("text")).mapInArrow(run, kind)
 
 
@@ -144,14 +150,15 @@ def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     """
     lines = stored(_lines(rows), "line-templates")
     leaves = lines.groupBy("leaf").agg(F.sum(F.col("first").cast("long")).alias("n")).where(F.col("n") >= documents_)
-    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", F.inline(F.arrays_zip("keys", "news"))).withColumnRenamed("keys", "key")
+    keys = [F.struct(F.col(k).alias("key"), (F.col("news").bitwiseAND(1 << b) != 0).alias("news")) for b, k in enumerate(KEYS)]
+    open_ = lines.join(leaves.select("leaf"), "leaf").select("rid", "line", F.inline(F.array(*keys))).where("key is not null")
     # No template has more classes than documents: most lines end here.
     often = open_.groupBy("key").agg(F.sum(F.col("news").cast("long")).alias("n")).where(F.col("n") >= documents_)
     held = stored(open_.join(often.select("key"), "key").select("rid", "line", "key"), "line-held")
     drop_stored(lines)
-    spaced = F.regexp_replace("row.text", f"([{UNSPACED}])", " $1 ")
-    holders = rows.join(held.select("rid").distinct(), "rid").select(F.col("rid").alias("doc_id"), spaced.alias("text"))
-    classes = signature_classes(holders).select(F.col("doc_id").alias("rid"), "class")
+    # the texts are not sorted for the join: the other side is their numbers alone
+    holders = rows.join(held.select("rid").distinct().hint("shuffle_hash"), "rid").select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text"))
+    classes = signature_classes(holders, apart=UNSPACED).select(F.col("doc_id").alias("rid"), "class")
     counts = held.join(classes, "rid").select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("n"))
     recurring = counts.where(F.col("n") >= documents_).select("key")
     return held.join(recurring, "key").groupBy("rid").agg(F.sort_array(F.collect_set("line")).alias("drop"))
@@ -166,27 +173,29 @@ def dedup_lines(docs: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
     text. Repeated rows are copies: they count as one document and change alike.
     """
     rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "line-rows")
-    met = rows.join(recurring_lines(rows, documents_), "rid", "left").select("row", "drop")
+    met = rows.join(recurring_lines(rows, documents_).hint("shuffle_hash"), "rid", "left").select("row", "drop")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, drop = batch["row"], batch["drop"].to_pylist()
             fields = {f.name: row.field(f.name) for f in row.type}
-            texts = fields["text"].to_pylist()
-            counts = [t.count("\n") + 1 if t else 0 for t in texts]
+            text = fields["text"]
+            counts = pc.add(pc.cast(pc.count_substring(text, "\n"), pa.int64()), pc.cast(pc.greater(pc.binary_length(text), 0), pa.int64()))
             changed = {}
             for i, gone in enumerate(drop):
                 if gone:
                     gone = set(gone)
-                    changed[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone)
+                    changed[i] = "\n".join(x for k, x in enumerate(text[i].as_py().split("\n")) if k not in gone)
             if changed:
-                fields["text"] = pa.array([changed.get(i, t) for i, t in enumerate(texts)], fields["text"].type)
+                rewritten = np.zeros(len(drop), bool)
+                rewritten[list(changed)] = True
+                fields["text"] = pc.replace_with_mask(text, pa.array(rewritten), pa.array(changed.values(), text.type))
                 if "n_chars" in fields:
                     n = fields["n_chars"].to_pylist()
                     fields["n_chars"] = pa.array([len(changed[i]) if i in changed else v for i, v in enumerate(n)], fields["n_chars"].type)
             out = pa.StructArray.from_arrays(list(fields.values()), fields=list(row.type))
             dropped = [len(x) if x else 0 for x in drop]
-            yield pa.RecordBatch.from_arrays([out, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], ["row", "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays([out, pc.fill_null(counts, 0), pa.array(dropped, pa.int64())], ["row", "n_lines", "n_dropped"])
 
     fields = [met.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     return met.mapInArrow(run, T.StructType(fields))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweek.llm.common import documents, slices
+from tickweek.llm.common import documents, no_nulls, slices, spread, without_empty
 from tickweek.session import drop_stored, stored
 
 SHINGLE = 5
@@ -48,9 +48,13 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 def _mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    out = h >> np.uint64(30)
+    out ^= h
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(27)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(31)
+    return out
 
 
 _random = np.random.default_rng(17)
@@ -58,27 +62,34 @@ HASH_A = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) +
 HASH_B = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def shingle_rows(texts: list[str | None], size: int = SHINGLE, exact: bool = False) -> tuple[list[np.ndarray], list[int]]:
+def runs(w: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every ``k`` values in a row."""
+    out = np.zeros(max(len(w) - k + 1, 0) if k else 0, np.uint64)
+    first = np.uint64(k * int(_P) & 0xFFFFFFFFFFFFFFFF)
+    for at in range(0, len(out), 1 << 14):  # a block stays in the cache
+        n = min(1 << 14, len(out) - at)
+        h = _mix(w[at : at + n] + first)
+        for j in range(1, k):
+            h *= _P
+            h += w[at + j : at + j + n]
+            h = _mix(h)
+        out[at : at + n] = h
+    return out
+
+
+def shingle_rows(texts: list[str | None] | pa.Array, size: int = SHINGLE, exact: bool = False) -> tuple[list[np.ndarray], list[int]]:
     """Each text's word shingles as 64-bit hashes in text order, and its number of words if that is below ``size``, else 0.
 
     Words are runs of characters other than ASCII white space, A-Z in lower
     case. A text of fewer than ``size`` words is one shingle, or none if
     ``exact``; a text without words has none.
     """
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())))
-    flat = split.flatten()
-    real = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty word
-    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.asarray(split.offsets)]
-    coded = flat.filter(real).dictionary_encode()
+    split = pc.ascii_split_whitespace(pc.ascii_lower(no_nulls(texts)))
+    flat, ends = without_empty(split)
+    coded = flat.dictionary_encode()
     codes, unique = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
     hashes = _mix(pd.util.hash_array(unique, categorize=False))[codes] if len(codes) else np.zeros(0, np.uint64)
 
-    def runs(w: np.ndarray, k: int) -> np.ndarray:
-        h = np.full(max(len(w) - k + 1, 0) if k else 0, np.uint64(k), np.uint64)
-        for j in range(k if len(h) else 0):
-            h = _mix(h * _P + w[j : j + len(h)])
-        return h
-
     whole = runs(hashes, size)  # of all texts in a row; those across two texts are left out below
     out, shorter = [], []
     for start, end in zip(ends.tolist(), ends[1:].tolist()):
@@ -88,9 +99,17 @@ def shingle_rows(texts: list[str | None], size: int = SHINGLE, exact: bool = Fal
     return out, shorter
 
 
-def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    x = np.sort(values)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
+def shingle_sets(texts: list[str | None] | pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     """Each text's distinct word shingles, sorted."""
-    return [np.unique(h) for h in shingle_rows(texts, size)[0]]
+    return [distinct(h) for h in shingle_rows(texts, size)[0]]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -103,10 +122,18 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def set_key(shingles: np.ndarray) -> bytes:
-    """128 bits that two sets share only if they are equal (but for chance)."""
-    a, b = _mix(shingles), _mix(shingles ^ _P)
-    return a.sum(dtype=np.uint64).tobytes() + b.sum(dtype=np.uint64).tobytes()
+def set_keys(sets: list[np.ndarray]) -> list[bytes | None]:
+    """Of each set 128 bits that two sets share only if they are equal (but for chance); None for an empty one."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    filled = np.flatnonzero(sizes)
+    out: list[bytes | None] = [None] * len(sets)
+    if len(filled):
+        flat = np.concatenate([sets[i] for i in filled])
+        start = np.cumsum(sizes[filled]) - sizes[filled]
+        both = np.stack([np.add.reduceat(_mix(flat), start), np.add.reduceat(_mix(flat ^ _P), start)], 1)
+        for i, key in zip(filled.tolist(), both):
+            out[i] = key.tobytes()
+    return out
 
 
 def needed_matches(threshold: float, miss: float = MISS) -> dict[int, int]:
@@ -134,13 +161,13 @@ def features(docs: DataFrame) -> DataFrame:
         for whole in batches:
             flat = pa.RecordBatch.from_arrays([whole["row"].field("text"), *whole.columns], ["text", "row", "rid"])
             for batch in slices([flat]):
-                sets = shingle_sets(batch["text"].to_pylist())
+                sets = shingle_sets(batch["text"])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["row"],
                         batch["rid"],
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array(set_keys(sets), pa.binary()),
                         pa.array([signature(s).astype("<u4").tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
                     ["row", "rid", "n_shingles", "key", "sig"],
@@ -317,9 +344,11 @@ def open_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
     return stored(of.join(split, "bucket"), "neardup-open")
 
 
-def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, apart: str = "") -> DataFrame:
     """``doc_id, class`` of the rows of ``docs`` that have words, by signatures alone.
 
+    Each character of the class ``apart`` (as a regular expression has it) is a word of its own.
+
     Documents are one class when their signatures do not rule out that they are
     near-duplicates and the centre of one of their ``BANDS`` buckets joins them
     (``rounds`` centres of each). No texts are compared, so
@@ -328,9 +357,10 @@ def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERAT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = shingle_sets(batch["text"].to_pylist())
+            texts = batch["text"]
+            sets = shingle_sets(spread(texts, apart) if apart else texts)
             keep = [i for i, x in enumerate(sets) if len(x)]
-            columns = [[set_key(sets[i]) for i in keep], [signature(sets[i]).astype("<u4").tobytes() for i in keep]]
+            columns = [set_keys([sets[i] for i in keep]), [signature(sets[i]).astype("<u4").tobytes() for i in keep]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(keep, pa.int64())), *[pa.array(c, pa.binary()) for c in columns]], ["doc_id", "key", "sig"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
