@@ -3,6 +3,7 @@ import sys
 import tempfile
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -24,3 +25,12 @@ def scratch(spark):
     from tickweek.session import scratch_path
 
     return lambda name="t": scratch_path(spark, name)
+
+
+@pytest.fixture(scope="module", autouse=True)
+def own_cache():
+    """What a module's tests cache goes with them: later plans would read it in place of the files."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
