@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickweek.llm import decontaminate, linededup, neardup, packing, quality
-from tickweek.llm.common import documents, table
+from tickweek.llm.common import bounded_batches, documents, table
 from tickweek.session import stored
 
 
@@ -17,10 +17,12 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return linededup.dedup_lines(docs).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return neardup.keep_one(docs)
 
 
@@ -29,6 +31,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.pack(docs)
 
 

@@ -2,12 +2,14 @@
 
 import collections
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import brute_components, brute_hits
 from tickweek.llm import decontaminate
-from tickweek.llm.common import documents
+from tickweek.llm.common import BATCH_BYTES, documents
 from tickweek.session import stored
 
 SF = "/root/testdata/sf0.001"
@@ -57,3 +59,17 @@ def test_decontamination_stage(spark, steps):
 def test_packing_stage_holds_every_document(spark, steps):
     assert {r.doc_id for r in steps[5]} == {r.doc_id for r in steps[4]}
     assert corpus_pipeline.run(spark, SF).count() == len(steps[5])
+
+
+def test_stages_hand_long_rows_to_python_in_small_batches(spark):
+    docs = documents(spark, SF).limit(1)
+    long_rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 4000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, SF)
+        assert max(r.n for r in long_rows.mapInArrow(sizes, "n long").collect()) < 1.2 * BATCH_BYTES
