@@ -1,12 +1,14 @@
 """Text that a query writes and reads back is packed, whatever the query; the rows stay the same."""
 
 import glob
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickweek.plans import registry
-from tickweek.session import checkpoint_root
+from tickweek.session import checkpoint_root, stored
 from tickweek.sinks.files import write_bare_csv
 from tickweek.sources.files import read_delimited
 
@@ -47,3 +49,20 @@ def test_round_trips_write_packed_text(spark, query, folder):
     assert registry.queries()[query](spark, SF).limit(1).count() <= 1
     written = files() - before
     assert written and all(f.endswith(".gz") for f in written)
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if os.path.basename(f).startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, conf = shuffled(), spark.conf.get(key)
+    kept = stored(spark.range(0, 10_000, 1, 4).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test-shuffles")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(key) == conf
+    assert {r.k: r["count"] for r in kept.collect()} == {k: len(range(k, 10_000, 7)) for k in range(7)}

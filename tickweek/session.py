@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,11 +98,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{run}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of an action in here go when it ends, unless the submitter says otherwise; by itself Spark waits for the driver's garbage collection."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if spark.sparkContext.getConf().contains(key):
+        yield
+        return
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a scratch folder and read back: lineage ends there."""
+    """``df`` written as Parquet to a scratch folder and read back: lineage ends there, and its shuffle files go."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    with shuffles_removed(spark):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
