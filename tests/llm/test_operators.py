@@ -412,6 +412,35 @@ def test_forward_sums_all_cuts():
         assert np.isclose(spelled, sum(len(words[i]) for i in members))
 
 
+def test_lattice_follows_only_prefixes_of_pieces():
+    class Pieces(dict):
+        asked = 0
+
+        def get(self, *key):
+            Pieces.asked += 1
+            return super().get(*key)
+
+    pieces = Pieces({p: i for i, p in enumerate(["a", "ab", "abc", "é", "éa\U00010400", "\U00010400"])})
+    lattice = langid.Lattice(pieces)
+    words = ["abcab", "xabéa", "éa\U00010400bc", "zzzzz", "a", "\U00010400", "ñ"]
+    found = {}
+    for members, table in lattice.groups(words):
+        found |= {words[i]: t for i, t in zip(members, table)}
+    assert Pieces.asked == 0  # once for every stretch of every word before
+    for w in words:
+        for end in range(1, len(w) + 1):
+            for size in range(1, min(end, lattice.longest) + 1):
+                want = dict.get(pieces, w[end - size : end], len(pieces) + (size == 1))
+                assert found[w][end, size] == want
+
+
+def test_words_by_kind_of_text():
+    assert langid.words("Ab c2d") == ["▁ab", "▁c", "▁d"] and langid.words("Ñu 中文 e\u0301a") == ["▁ñu", "▁中文", "▁e\u0301a"]
+    assert langid.words("a\U00020000b \U0001f600 \U00010400 ½é") == ["▁a\U00020000b", "▁\U00010428", "▁é"]
+    # most texts get a table without the ranges beyond U+FFFF, which every blank would be compared with
+    assert all(ord(c) <= 0xFFFF for c in langid._basic.pattern) and langid._letters.pattern != langid._basic.pattern
+
+
 def test_quality(spark, empty):
     rnd = random.Random(7)
     rows, labels = [], []

@@ -32,11 +32,11 @@ UNDETERMINED = "und"
 
 
 
-def _categories(*first: str) -> str:
-    """The characters of the Unicode categories with these first letters, as ranges of a character class."""
+def _categories(*first: str, last: int) -> str:
+    """The characters up to ``last`` of the Unicode categories with these first letters, as ranges of a character class."""
     out, start = [], None
-    for i in range(LAST_LETTER + 2):
-        inside = i <= LAST_LETTER and unicodedata.category(chr(i))[0] in first
+    for i in range(last + 2):
+        inside = i <= last and unicodedata.category(chr(i))[0] in first
         if inside and start is None:
             start = i
         elif not inside and start is not None:
@@ -46,14 +46,24 @@ def _categories(*first: str) -> str:
 
 
 LAST_LETTER = 0x32FFF  # no letter stands beyond the CJK extensions of planes 2 and 3
-# Words begin with a letter (category L; signs for numbers are none) and go on over letters and combining marks.
-_letters = re.compile(f"[{_categories('L')}][{_categories('L', 'M')}]*")
-_piece = re.compile(f"[{_categories('L', 'M')}]+")
+LAST_BASIC = 0xFFFF
+
+
+def _words_up_to(last: int) -> re.Pattern[str]:
+    """Words begin with a letter (category L; signs for numbers are none) and go on over letters and combining marks."""
+    return re.compile(f"[{_categories('L', last=last)}][{_categories('L', 'M', last=last)}]*")
+
+
+# A class is one table up to U+FFFF; every range beyond is tried in turn for each character outside, so few texts get it.
+_ascii, _basic, _letters = _words_up_to(0x7F), _words_up_to(LAST_BASIC), _words_up_to(LAST_LETTER)
+_beyond = re.compile("[\U00010000-\U0010ffff]")
+_piece = re.compile(f"[{_categories('L', 'M', last=LAST_LETTER)}]+")
 
 
 def words(text: str) -> list[str]:
     """Runs of letters in lower case behind a word mark, cut every ``WORD_CHARS`` characters."""
-    found = _letters.findall(text.lower())
+    low = text.lower()
+    found = (_ascii if low.isascii() else _letters if _beyond.search(low) else _basic).findall(low)
     if found and len(max(found, key=len)) > WORD_CHARS:
         found = [w[i : i + WORD_CHARS] for w in found for i in range(0, len(w), WORD_CHARS)]
     return ["▁" + w for w in found]
@@ -74,23 +84,48 @@ class Lattice:
     """All cuts of words into pieces; words of one length are worked on together."""
 
     def __init__(self, pieces: dict[str, int]) -> None:
-        self.pieces, self.size = pieces, len(pieces)
+        self.size = len(pieces)
         self.longest = min(max(map(len, pieces)), WORD_CHARS + 1)
+        # A tree of the pieces' characters: a node is a prefix, its children are found by node and character.
+        letters = sorted({ord(c) for p in pieces for c in p})
+        self.letter = np.zeros(letters[-1] + 2, np.int64)  # 0, and the last one: in no piece
+        self.letter[letters] = np.arange(1, len(letters) + 1)
+        self.letters = len(letters) + 1
+        children: dict[int, int] = {}
+        number = self.letter.tolist()
+        ends = np.zeros(len(pieces), np.int64)
+        for i, p in enumerate(pieces):
+            node = 0
+            for c in p:
+                node = children.setdefault(node * self.letters + number[ord(c)], len(children) + 1)
+            ends[i] = node
+        self.ways = np.sort(np.fromiter(children, np.int64, len(children)))
+        self.child = np.fromiter((children[w] for w in self.ways.tolist()), np.int64, len(children))
+        self.piece = np.full(len(children) + 1, self.size, np.int32)
+        self.piece[ends] = np.fromiter(pieces.values(), np.int32, len(pieces))
 
     def groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Word numbers, and piece numbers [word, end, length]; ``size`` stands for none, ``size + 1`` for unknown."""
         by_length: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by_length.setdefault(len(w), []).append(i)
-        get, none = self.pieces.get, self.size
+        none = self.size
         for n, all_members in by_length.items():
-            spans = [(a, b) for b in range(1, n + 1) for a in range(max(0, b - self.longest), b)]
             for k in range(0, len(all_members), 20_000):
                 members = all_members[k : k + 20_000]
-                flat = [get(words[i][a:b], none) for i in members for a, b in spans]
+                points = np.frombuffer("".join(words[i] for i in members).encode("utf-32-le"), "<u4").reshape(-1, n)
+                letters = self.letter[np.minimum(points, len(self.letter) - 1)]
                 table = np.full((len(members), n + 1, min(n, self.longest) + 1), none, np.int32)
-                ends, sizes = np.array([b for _, b in spans]), np.array([b - a for a, b in spans])
-                table[:, ends, sizes] = np.array(flat, np.int32).reshape(len(members), -1)
+                row, start = np.divmod(np.arange(len(members) * n), n)
+                node = np.zeros(len(row), np.int64)
+                for size in range(1, table.shape[2]):  # from every start one character on, while a piece begins so
+                    way = node * self.letters + letters[row, start + size - 1]
+                    at = np.minimum(np.searchsorted(self.ways, way), len(self.ways) - 1)
+                    met = np.flatnonzero(self.ways[at] == way)
+                    row, start, node = row[met], start[met], self.child[at[met]]
+                    table[row, start + size, size] = self.piece[node]
+                    more = np.flatnonzero(start + size < n)
+                    row, start, node = row[more], start[more], node[more]
                 single = table[:, 1:, 1]
                 single[single == none] = none + 1
                 yield np.array(members), table
