@@ -633,6 +633,18 @@ def test_line_dedup_joins_texts_without_sorting_them(spark):
     assert {r.row.text for r in found.collect()} <= {f"own line {i} of text {i}" for i in range(8)} | {""}
 
 
+def test_decontamination_goes_to_python_once(spark):
+    rows = [(1, "a b c d e f g h i j k l", 23), (2, " ".join(f"w{i}" for i in range(40)), 0), (3, None, None), (4, "x " * 30 + "a b c d e f g h i j y", 0), (None, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    benchmark = spark.createDataFrame([("i", "a b c d e f g h i j k l"), ("k", "a b c d e f g h i j")], "item_id string, text string")
+    for most in (decontaminate.AUTOMATON_BYTES, 20):
+        kept = decontaminate.decontaminate(docs, benchmark, most=most)
+        assert plan_text(kept, "simple").count("MapInArrow") == 1  # two, each with a worker of its own, before
+        got = {r.doc_id: (r.text, r.n_chars) for r in kept.collect()}
+        assert set(got) == {2, 3, 4, None} and got[2] == (rows[1][1], 0) and got[3] == (None, None) and got[None] == ("", 0)
+        assert got[4][0].split() == ["x"] * 30 + ["y"] and got[4][1] == len(got[4][0])
+
+
 def test_helpers_take_slices_of_arrow_arrays():
     texts = ["a b c d e f", None, "", "É  a　b 猫が ab3好き。\nx y z w v u", " a b\tc d e f g ", "w " * 9] * 3
     part = pa.array(texts)[4:]

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -241,7 +241,9 @@ def automata(benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_B
         yield ItemAutomaton([(r.item, words(r.text)) for r in rows.where(piece == k).collect()], window)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_BYTES) -> DataFrame:
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_BYTES, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None
+) -> DataFrame:
     """All columns of ``docs`` inside the struct ``row``, and ``hits`` (word count, spans, items).
 
     ``spans`` are word ranges, sorted and disjoint, that some item window
@@ -250,6 +252,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     text, or without words, hit nothing; the words of an item with a NULL id
     are hit, but no id is listed for them; repeated item ids count once; an
     empty benchmark gives no hits; repeated documents are each judged alike.
+    With ``then`` the result is what it makes of each batch of these: ``row`` alone.
     """
     context = docs.sparkSession.sparkContext
     marked, passed, held, own = docs.select(F.struct("*").alias("row"), F.lit(None).cast(_HITS).alias("hits")), None, None, False
@@ -263,11 +266,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             marked, own = done, True
         held = context.broadcast(automaton)
         passed = _pass(marked, held)
-    return passed
+    return _pass(marked, held, then) if then else passed
 
 
-def _pass(marked: DataFrame, automaton) -> DataFrame:
-    schema = T.StructType([f for f in marked.schema])
+def _pass(marked: DataFrame, automaton, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
+    schema = T.StructType([marked.schema["row"]] if then else [f for f in marked.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -283,7 +286,8 @@ def _pass(marked: DataFrame, automaton) -> DataFrame:
                         items = items | set(old["items"])
                     hits.append({"n_words": n, "spans": [{"start": a, "stop": b} for a, b in spans], "items": sorted(items - {None})})
                 column = pa.array(hits, whole.column("hits").type)
-                yield pa.RecordBatch.from_arrays([batch.column("row"), column], ["row", "hits"])
+                out = pa.RecordBatch.from_arrays([batch.column("row"), column], ["row", "hits"])
+                yield then(out) if then else out
 
     return marked.mapInArrow(run, schema)
 
@@ -310,37 +314,36 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_words: int = SPAN_WORDS, coverage: float = COVERAGE
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_words: int = SPAN_WORDS, coverage: float = COVERAGE, most: int = AUTOMATON_BYTES
 ) -> DataFrame:
     """``docs`` without hit spans of ``span_words`` words or more; documents hit to ``coverage`` go.
 
     Columns and other rows stay as they are; rows with NULL or empty text stay;
-    ``n_chars``, if there, follows the new text.
+    ``n_chars``, if there, follows the new text. The search and the cut share one
+    Python worker a task: a second one would hold its memory beside the first.
     """
-    marked = find_contamination(docs, benchmark, window)
-    n_hit = F.aggregate("hits.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    marked = marked.where(~((n_hit > 0) & (n_hit >= F.col("hits.n_words") * coverage)))
-    schema = T.StructType([marked.schema["row"]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("row")
-            names = [f.name for f in rows.type]
-            text, spans = rows.field("text").to_pylist(), batch.column("hits").field("spans").to_pylist()
-            short = [[(s["start"], s["stop"]) for s in x if s["stop"] - s["start"] >= span_words] for x in spans]
-            changed = {i for i, x in enumerate(short) if x}
-            fields = {n: rows.field(n) for n in names}
-            if changed:
-                new = [cut(t, x) if i in changed else t for i, (t, x) in enumerate(zip(text, short))]
-                fields["text"] = pa.array(new, fields["text"].type)
-                if "n_chars" in fields:
-                    n = fields["n_chars"].to_pylist()
-                    fields["n_chars"] = pa.array(
-                        [len(new[i]) if i in changed else v for i, v in enumerate(n)], fields["n_chars"].type
-                    )
-            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([fields[n] for n in names], fields=list(rows.type))], ["row"])
-
-    return marked.mapInArrow(run, schema).select("row.*")
+    def without(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep, short = [], []
+        for hits in batch.column("hits").to_pylist():
+            n_hit = sum(s["stop"] - s["start"] for s in hits["spans"])
+            keep.append(not (n_hit > 0 and n_hit >= hits["n_words"] * coverage))
+            if keep[-1]:
+                short.append([(s["start"], s["stop"]) for s in hits["spans"] if s["stop"] - s["start"] >= span_words])
+        rows = batch.column("row").filter(pa.array(keep, pa.bool_()))
+        names = [f.name for f in rows.type]
+        text = rows.field("text").to_pylist()
+        changed = {i for i, x in enumerate(short) if x}
+        fields = {n: rows.field(n) for n in names}
+        if changed:
+            new = [cut(t, x) if i in changed else t for i, (t, x) in enumerate(zip(text, short))]
+            fields["text"] = pa.array(new, fields["text"].type)
+            if "n_chars" in fields:
+                n = fields["n_chars"].to_pylist()
+                fields["n_chars"] = pa.array([len(new[i]) if i in changed else v for i, v in enumerate(n)], fields["n_chars"].type)
+        return pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([fields[n] for n in names], fields=list(rows.type))], ["row"])
+
+    return find_contamination(docs, benchmark, window, most, without).select("row.*")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

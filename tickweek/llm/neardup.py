@@ -225,6 +225,11 @@ def are_stars(edges: DataFrame) -> bool:
     return ends.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
+def no_components(spark: SparkSession) -> DataFrame:
+    """``c, comp`` without rows; rows that Python makes, even none, would start Python workers of another kind on each executor."""
+    return spark.range(0).select(F.col("id").alias("c"), F.col("id").alias("comp"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``c, comp`` of every class in a link: the smallest class it is connected with.
 
@@ -368,7 +373,7 @@ def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERAT
     classes = stored(found.groupBy("key").agg(F.any_value("sig").alias("sig")).withColumn("c", F.monotonically_increasing_id()), "signature-classes")
     members = bucket_members(classes)
     links, of = None, members.select("bucket", "c", "company", F.col("c").alias("comp"))
-    comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
+    comps = no_components(docs.sparkSession)
     for step in range(rounds):
         if step:
             of = open_buckets(members, comps)
@@ -403,7 +408,7 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     texts = stored(found.select("rid", F.col("row.text").alias("text")).join(wanted, "rid").select("c", "text"), "neardup-texts")
 
     tested = None
-    comps = docs.sparkSession.createDataFrame([], "c bigint, comp bigint")
+    comps = no_components(docs.sparkSession)
     of = members.select("bucket", "c", "company", F.col("c").alias("comp"))
     for step in range(CENTRES + 1):
         if step:
