@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import types as T
 
 from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
-from tickweek.llm.common import spread
+from tickweek.llm.common import lean, spread
 from tickweek.llm.tokens import Encoder
 from tickweek.plans.explain import plan_text
 
@@ -656,3 +656,44 @@ def test_helpers_take_slices_of_arrow_arrays():
         assert x.tolist() == y.tolist()
     assert spread(part, linededup.UNSPACED).equals(spread(texts[4:], linededup.UNSPACED))
     assert spread(["猫が ab", None], linededup.UNSPACED).to_pylist() == [" 猫  が  ab", ""]
+
+
+def test_tasks_give_unused_memory_back():
+    def private() -> float:
+        with open("/proc/self/smaps_rollup") as lines:
+            return sum(int(x.split()[1]) for x in lines if x.startswith("Pss_Anon:")) / 1024
+
+    pins = []
+
+    def run(batches):
+        for batch in batches:
+            blocks = []  # 64 MB
+            for i in range(1 << 11):
+                blocks.append(np.ones(1 << 12))
+                if i % 64 == 63:
+                    pins.append(bytes(20_000))  # stays between them: the C library can't shorten its heap by itself
+            yield pa.RecordBatch.from_arrays([pa.array([len(blocks)] * batch.num_rows)], ["n"])
+            del blocks
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["text"])]
+    before = private()
+    plain = [b["n"].to_pylist() for b in run(iter(batches))]
+    kept = private()
+    assert [b["n"].to_pylist() for b in lean(run)(iter(batches))] == plain == [[2048, 2048]]
+    assert kept > before + 32
+    assert private() < before + 16
+
+
+def test_corpus_tasks_are_lean(spark, monkeypatch):
+    seen = []
+    for module in (quality, linededup, neardup, decontaminate, packing):
+        monkeypatch.setattr(module, "lean", lambda run, name=module.__name__: seen.append(f"{name}.{run.__name__}") or run)
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(4)], "doc_id long, text string")
+    bench = spark.createDataFrame([("i", "one two three")], "item_id string, text string")
+    assert decontaminate.decontaminate(docs, bench).count() == 4
+    assert linededup.dedup_lines(docs).count() == 4
+    assert neardup.keep_one(docs).count() == 4
+    assert packing.pack(docs).count() == 4
+    quality.score(docs, None)
+    for name in ("decontaminate.run", "linededup.run", "neardup.run", "packing.run", "quality.run"):
+        assert f"tickweek.llm.{name}" in seen

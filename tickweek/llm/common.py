@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20  # where the work on a text takes many times its size
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -53,6 +57,32 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             start = end
 
 
+def give_back() -> None:
+    """Memory that this process no longer uses goes back to the system (where its C library can do that)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Task) -> Task:
+    """``run`` for ``mapInArrow``, giving back what Arrow holds unused after each batch and everything unused at the end.
+
+    Spark's Python workers live on between tasks; what they keep lies idle beside the executor's heap."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                pa.default_memory_pool().release_unused()
+
+        yield from run(fed())
+        give_back()
+
+    return task
+
+
 def no_nulls(texts: list[str | None] | pa.Array) -> pa.Array:
     """The texts as one Arrow array, NULL as empty."""
     if isinstance(texts, pa.Array):

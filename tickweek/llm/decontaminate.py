@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweek.llm.common import documents, slices, table
+from tickweek.llm.common import documents, lean, slices, table
 from tickweek.session import drop_stored, stored
 
 WINDOW = 10
@@ -289,7 +289,7 @@ def _pass(marked: DataFrame, automaton, then: Callable[[pa.RecordBatch], pa.Reco
                 out = pa.RecordBatch.from_arrays([batch.column("row"), column], ["row", "hits"])
                 yield then(out) if then else out
 
-    return marked.mapInArrow(run, schema)
+    return marked.mapInArrow(lean(run), schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweek.llm.common import documents, no_nulls, replaced, slices, without_empty
+from tickweek.llm.common import SLICE_BYTES, documents, lean, no_nulls, replaced, slices, without_empty
 from tickweek.llm.neardup import signature_classes
 from tickweek.session import drop_stored, stored
 
@@ -122,7 +122,7 @@ def _lines(rows: DataFrame) -> DataFrame:
     """``rid, line, leaf, key0 .. key4`` of each template line (NULL: it has no such key); ``first`` and the bits of ``news`` mark where a text meets the leaf and each key first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             owner, line, leaf, keys, open_ = templates(batch["text"])
             if not len(owner):
                 continue
@@ -139,7 +139,7 @@ def _lines(rows: DataFrame) -> DataFrame:
             )
 
     kind = f"rid bigint, line int, leaf bigint, first boolean, news int, {', '.join(f'{k} bigint' for k in KEYS)}"
-    return rows.select("rid", F.col("row.text").alias("text")).mapInArrow(run, kind)
+    return rows.select("rid", F.col("row.text").alias("text")).mapInArrow(lean(run), kind)
 
 
 def recurring_lines(rows: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
@@ -198,7 +198,7 @@ def dedup_lines(docs: DataFrame, documents_: int = DOCUMENTS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([out, pc.fill_null(counts, 0), pa.array(dropped, pa.int64())], ["row", "n_lines", "n_dropped"])
 
     fields = [met.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
-    return met.mapInArrow(run, T.StructType(fields))
+    return met.mapInArrow(lean(run), T.StructType(fields))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

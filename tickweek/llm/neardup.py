@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweek.llm.common import documents, no_nulls, slices, spread, without_empty
+from tickweek.llm.common import SLICE_BYTES, documents, lean, no_nulls, slices, spread, without_empty
 from tickweek.session import drop_stored, stored
 
 SHINGLE = 5
@@ -160,7 +160,7 @@ def features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             flat = pa.RecordBatch.from_arrays([whole["row"].field("text"), *whole.columns], ["text", "row", "rid"])
-            for batch in slices([flat]):
+            for batch in slices([flat], most=SLICE_BYTES):
                 sets = shingle_sets(batch["text"])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -175,7 +175,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     fields = [packed.schema["row"], T.StructField("rid", T.LongType()), T.StructField("n_shingles", T.LongType())]
     fields += [T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())]
-    return stored(packed.mapInArrow(run, T.StructType(fields)), "neardup-features")
+    return stored(packed.mapInArrow(lean(run), T.StructType(fields)), "neardup-features")
 
 
 def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -193,7 +193,7 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
                 alive = alive[matches[alive] >= least]
             yield batch.select(["a", "b"]).take(pa.array(alive))
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -215,7 +215,7 @@ def verify(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int)
                         keep.append(denominator * shared >= numerator * (len(x) + len(y) - shared))
                     yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def are_stars(edges: DataFrame) -> bool:
@@ -260,7 +260,7 @@ def common_counts(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             sets = shingle_sets(batch["text"].to_pylist())
             total += np.bincount(np.concatenate(sets) % np.uint64(COUNTERS), minlength=COUNTERS)
         yield rows(dict(enumerate(total.reshape(BLOCKS, -1))))
@@ -272,7 +272,7 @@ def common_counts(texts: DataFrame) -> np.ndarray:
                 total[block] = total.get(block, 0) + np.frombuffer(counts, "<i8")
         yield rows(total)
 
-    found = texts.select("text").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect()  # BLOCKS rows
+    found = texts.select("text").mapInArrow(lean(count), kind).repartition("block").mapInArrow(lean(add), kind).collect()  # BLOCKS rows
     out = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.int64)
     for r in found:
         out[r.block] = np.frombuffer(r.counts, "<i8")
@@ -290,7 +290,7 @@ def prefix_pairs(texts: DataFrame, numerator: int, denominator: int) -> DataFram
     shared = texts.sparkSession.sparkContext.broadcast(common_counts(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             out: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for c, comp, x in zip(batch["c"].to_pylist(), batch["comp"].to_pylist(), shingle_sets(batch["text"].to_pylist())):
                 n = len(x)
@@ -304,7 +304,7 @@ def prefix_pairs(texts: DataFrame, numerator: int, denominator: int) -> DataFram
             names = ["token", "c", "comp", "size", "place", "found"]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names)
 
-    rows = texts.mapInArrow(run, "token bigint, c bigint, comp bigint, size bigint, place int, found boolean")
+    rows = texts.mapInArrow(lean(run), "token bigint, c bigint, comp bigint, size bigint, place int, found boolean")
     rows = stored(rows, "neardup-prefixes")
     shared.destroy()
     x, y = rows.alias("x"), rows.where("found").alias("y")
@@ -361,7 +361,7 @@ def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERAT
     counts independent documents errs on the side of fewer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             texts = batch["text"]
             sets = shingle_sets(spread(texts, apart) if apart else texts)
             keep = [i for i, x in enumerate(sets) if len(x)]
@@ -369,7 +369,7 @@ def signature_classes(docs: DataFrame, rounds: int = 1, numerator: int = NUMERAT
             yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(keep, pa.int64())), *[pa.array(c, pa.binary()) for c in columns]], ["doc_id", "key", "sig"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, key binary, sig binary"), "signatures")
+    found = stored(docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, key binary, sig binary"), "signatures")
     classes = stored(found.groupBy("key").agg(F.any_value("sig").alias("sig")).withColumn("c", F.monotonically_increasing_id()), "signature-classes")
     members = bucket_members(classes)
     links, of = None, members.select("bucket", "c", "company", F.col("c").alias("comp"))

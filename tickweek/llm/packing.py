@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickweek.llm.common import documents, slices
+from tickweek.llm.common import documents, lean, slices
 from tickweek.llm.tokens import SEPARATOR, Encoder
 from tickweek.session import stored
 
@@ -183,7 +183,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), _PIECES)
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
@@ -216,7 +216,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Dat
                 )
 
     return ranked.mapInArrow(
-        run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+        lean(run), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweek.llm.common import documents, fold, slices, table
+from tickweek.llm.common import documents, fold, lean, slices, table
 
 BUCKETS = 1 << 14
 DIMENSIONS = 64
@@ -118,10 +118,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         )
 
     kind = "block int, part int, sums binary"
-    partial = docs.select("text").mapInArrow(gather, kind)
+    partial = docs.select("text").mapInArrow(lean(gather), kind)
     # Added up in two levels, each task streaming over its rows.
-    level = partial.withColumn("part", F.pmod("part", F.lit(16))).repartition("block", "part").mapInArrow(add, kind)
-    level = level.repartition("block").mapInArrow(add, kind)
+    level = partial.withColumn("part", F.pmod("part", F.lit(16))).repartition("block", "part").mapInArrow(lean(add), kind)
+    level = level.repartition("block").mapInArrow(lean(add), kind)
     vectors = np.zeros((BLOCKS, BUCKETS * DIMENSIONS // BLOCKS), np.float64)
     for r in level.collect():  # BLOCKS rows at most
         vectors[r.block] = np.frombuffer(r.sums, "<f4")
@@ -231,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], pa.array([x.tobytes() for x in pooled], pa.binary())], ["doc_id", "y", "x"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"doc_id {kind}, y double, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
+    got = rows.mapInArrow(lean(run), f"doc_id {kind}, y double, x binary").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
     sample = sorted(got.collect(), key=lambda r: r.doc_id)  # at most `most` rows
     x = np.array([np.frombuffer(r.x, "<f4") for r in sample], np.float64).reshape(-1, DIMENSIONS)
     return Model(vectors, fit(x, np.array([r.y for r in sample])))
@@ -254,7 +254,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 x = pool(shared.value.vectors, *terms.batch(batch["text"].to_pylist()))
                 yield pa.RecordBatch.from_arrays([batch["row"], pa.array(shared.value.network.score(x))], ["row", "score"])
 
-    return packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))
+    return packed.mapInArrow(lean(run), T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
