@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import types as T
 
 from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
-from tickweek.llm.common import lean, spread
+from tickweek.llm.common import give_back, lean, spread
 from tickweek.llm.tokens import Encoder
 from tickweek.plans.explain import plan_text
 
@@ -676,6 +676,7 @@ def test_tasks_give_unused_memory_back():
             del blocks
 
     batches = [pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["text"])]
+    give_back()  # what earlier tests left
     before = private()
     plain = [b["n"].to_pylist() for b in run(iter(batches))]
     kept = private()
