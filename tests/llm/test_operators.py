@@ -6,6 +6,7 @@ import random
 import re
 import time
 import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
@@ -14,8 +15,8 @@ import pytest
 import xxhash
 from pyspark.sql import types as T
 
-from tickweek.llm import binary, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
-from tickweek.llm.common import give_back, lean, spread
+from tickweek.llm import binary, common, decontaminate, fingerprint, langid, licenses, linededup, neardup, packing, quality, sharding
+from tickweek.llm.common import lean, spread
 from tickweek.llm.tokens import Encoder
 from tickweek.plans.explain import plan_text
 
@@ -658,31 +659,23 @@ def test_helpers_take_slices_of_arrow_arrays():
     assert spread(["猫が ab", None], linededup.UNSPACED).to_pylist() == [" 猫  が  ab", ""]
 
 
-def test_tasks_give_unused_memory_back():
-    def private() -> float:
-        with open("/proc/self/smaps_rollup") as lines:
-            return sum(int(x.split()[1]) for x in lines if x.startswith("Pss_Anon:")) / 1024
-
-    pins = []
+def test_tasks_give_unused_memory_back(monkeypatch):
+    made, given = [], []
 
     def run(batches):
         for batch in batches:
-            blocks = []  # 64 MB
-            for i in range(1 << 11):
-                blocks.append(np.ones(1 << 12))
-                if i % 64 == 63:
-                    pins.append(bytes(20_000))  # stays between them: the C library can't shorten its heap by itself
-            yield pa.RecordBatch.from_arrays([pa.array([len(blocks)] * batch.num_rows)], ["n"])
-            del blocks
-
-    batches = [pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["text"])]
-    give_back()  # what earlier tests left
-    before = private()
-    plain = [b["n"].to_pylist() for b in run(iter(batches))]
-    kept = private()
-    assert [b["n"].to_pylist() for b in lean(run)(iter(batches))] == plain == [[2048, 2048]]
-    assert kept > before + 32
-    assert private() < before + 16
+            block = np.ones(1 << 12)
+            made.append(weakref.ref(block))
+            yield pa.RecordBatch.from_arrays([pa.array([len(block) + i for i in range(batch.num_rows)])], ["n"])
+
+    # the task's own data are gone by then, or they could not be given back
+    monkeypatch.setattr(common, "give_back", lambda: given.append([ref() is None for ref in made]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["text"]), pa.RecordBatch.from_arrays([pa.array(["c"])], ["text"])]
+    assert [b["n"].to_pylist() for b in lean(run)(iter(batches))] == [[4096, 4097], [4096]]
+    assert given == [[True, True]]
+    assert list(lean(run)(iter([]))) == [] and len(given) == 2
+    monkeypatch.undo()
+    common.give_back()
 
 
 def test_corpus_tasks_are_lean(spark, monkeypatch):
