@@ -22,7 +22,7 @@ from tickweek.sinks.routed import GOOD, REJECTED, read_routed, routed, write_rou
 from tickweek.sources import adapters as A
 from tickweek.sources.arrays import read_array_elements, read_json_array, write_json_arrays
 from tickweek.sources.checked import bad_cells, counted, read_checked
-from tickweek.sources.files import read_lines
+from tickweek.sources.files import parse_documents, read_lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -309,3 +309,53 @@ def test_nesting_has_no_job_while_planning(spark):
         assert list(tracker.getJobIdsForGroup("planning")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _element_text(spark, path, wrapper=None):
+    return sorted(r.value for r in read_array_elements(spark, path, wrapper).collect())
+
+
+def test_array_elements_are_put_together_over_batches_and_splits(spark, scratch, small_splits):
+    """Escapes, braces in strings and text cut off inside a character, whatever a split or an Arrow batch holds."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    folder = local(scratch("batches"))
+    os.makedirs(folder)
+    docs = [{"i": i, "v": ["\\" * (i % 4) + '"}{', {"a}": [{}, {"b": "]" * (i % 7)}]}], "w": "}" * (40 * (i % 30 == 0))} for i in range(90)]
+    text = ",".join(json.dumps(d) for d in docs)
+    with open(f"{folder}/a.json", "wb") as f:
+        f.write(f"[{text}]".encode())
+    with open(f"{folder}/b.json", "wb") as f:
+        f.write(f'[{text}, {{"i": "é'.encode()[:-1])
+    want = sorted([json.dumps(d) for d in docs] * 2 + ['{"i": "�'])
+    try:
+        for rows in ("1", "7", "10000"):
+            spark.conf.set(key, rows)
+            assert _element_text(spark, folder) == want
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_arrays_are_written_and_read_without_moving_their_text(spark, scratch):
+    """Neither writing nor reading exchanges the rows' text; only the two ends of each split move."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = disk.getAllFiles().mkString("\n").split("\n")
+        return {f: os.path.getsize(f) for f in names if os.path.basename(f).startswith("shuffle_") and os.path.exists(f)}
+
+    before, path = shuffled(), scratch("arrays-unmoved")
+    rows = spark.range(0, 4000, 1, 8).select("id", F.concat(*[F.sha2(F.concat(F.lit(k), "id"), 512) for k in range(4)]).alias("t"))
+    write_json_arrays(rows, path, 3)
+    files = [os.path.join(d, f) for d, _, names in os.walk(local(path)) for f in names if f.startswith("part-")]
+    assert len(files) == 3 and sorted(x["id"] for f in files for x in json.load(open(f))) == list(range(4000))
+    docs, _ = read_json_array(spark, path, "id bigint, t string")
+    assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, rows.collect()))
+    moved = sum(size for f, size in shuffled().items() if f not in before)
+    assert moved * 10 < sum(map(os.path.getsize, files))
+
+
+def test_lines_are_parsed_once(spark):
+    docs, rejects = parse_documents(spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',)], "value string"), "a int")
+    assert [plan_text(df, "simple").count("from_json(") for df in (docs, rejects)] == [1, 1]
+    assert [r.a for r in docs.collect()] == [1] and [r.value for r in rejects.collect()] == ['{"a": "x"}']

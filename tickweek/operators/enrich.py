@@ -54,7 +54,9 @@ def first_record(
     one = one.select(key, F.when(F.col("_n") == 1, F.col("_body")).otherwise(repeated).alias("_body"))
     first = F.explode(F.slice(F.from_json("_body", ArrayType(element)), 1, 1))
     fields = [f.name for f in element.fields if f.name != key]
-    names = [F.json_object_keys(F.get_json_object("_body", "$[0]")).alias(PRESENT)] if present else []
+    # The keys of the first element are read up to its end, so the rest of the array may follow it.
+    array = F.ltrim("_body", F.lit(" \t\n\r"))
+    names = [F.when(array.startswith("["), F.json_object_keys(F.substring(array, F.lit(2), F.length(array)))).alias(PRESENT)] if present else []
     bodies_kept = [F.col("_body").alias(text)] if text else []
     return (
         one.select(key, first.alias("_first"), *names, *bodies_kept)

@@ -113,6 +113,18 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def one_writer(spark: SparkSession) -> Iterator[None]:
+    """A partitioned write in here, whose tasks have one partition value each, does not sort its rows by it first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a scratch folder and read back: lineage ends there, and its shuffle files go."""
     spark = df.sparkSession

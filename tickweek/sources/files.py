@@ -76,7 +76,8 @@ def parse_documents(lines: DataFrame, schema: StructType | str) -> tuple[DataFra
     # A field of this name would hide the corrupt text, so it is unlikely on purpose.
     whole = StructType([*fields.fields, StructField("__malformed", StringType())])
     doc = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__malformed"})
-    parsed = lines.where(F.trim("value") != "").select("value", doc.alias("_doc"))
+    # Exploded, so the parse runs once per line: filters on a projected parse are moved below it and parse again.
+    parsed = lines.where(F.trim("value") != "").select("value", F.explode(F.array(doc)).alias("_doc"))
     good, rejects = split_rejects(parsed, F.col("_doc").isNotNull() & F.col("_doc.__malformed").isNull())
     return good.select(*[F.col("_doc").getField(f.name).alias(f.name) for f in fields]), rejects.select("value")
 
