@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tickweek.__main__ import main
 from tickweek.fixed import AVERAGE_COLUMNS
-from tickweek.operators.enrich import nest_history, paged_lists, _with_pages
-from tickweek.operators.open import merge_open, open_documents, open_first_records, write_open_documents
+from tickweek.operators.enrich import attach_history, keep_members, nest_history, paged_lists, _with_pages
+from tickweek.operators.open import merge_open, open_documents, open_first_records, open_text, write_open_documents
 from tickweek.operators.rollups import sector_week_averages
 from tickweek.plans import acquisition, stock, weekly
 from tickweek.plans.explain import plan_text
@@ -359,3 +359,34 @@ def test_lines_are_parsed_once(spark):
     docs, rejects = parse_documents(spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',)], "value string"), "a int")
     assert [plan_text(df, "simple").count("from_json(") for df in (docs, rejects)] == [1, 1]
     assert [r.a for r in docs.collect()] == [1] and [r.value for r in rejects.collect()] == ['{"a": "x"}']
+
+
+def test_open_text_and_parses_are_made_once(spark, scratch):
+    lines = spark.createDataFrame([('{"symbol":"A","x":{"y":1}}',), ('{"symbol":"B"}',), ('{"x":2}',), ("{}",), ("[1]",)], "value string")
+    docs = open_documents(lines, INSTRUMENT)
+    plan = plan_text(docs.where(F.col("symbol") == "A").select(F.explode(F.array("name"))), "simple")
+    assert plan.count("from_json(") == 1 and plan.count("parseJson(") == 1
+    assert plan_text(docs.select(open_text(docs)), "simple").count("to_json(struct(") == 1
+    written = [r[0] for r in docs.select(open_text(docs)).collect()]
+    assert written == ['{"symbol":"A","x":{"y":1}}', '{"symbol":"B"}', '{"x":2}', "{}"]
+
+
+def test_companies_are_made_once_and_nested_whole(spark):
+    bars = [("A", f"2020-{m:02}-01", m) for m in (3, 1, 2)] + [("A", "2020-01-01", 1), ("C", "2020-05-05", 1), (None, "2020-01-01", 1), ("Z", "2020-01-01", 1)]
+    history = spark.createDataFrame(bars, "symbol string, date string, n int")
+    members = spark.createDataFrame([("A",), ("B",), ("B",), ("C",), (None,), ("D",)], "symbol string")
+    companies = keep_members(spark.createDataFrame([("A", "a"), ("A", "a2"), ("B", "b"), ("C", "c"), (None, "n"), ("X", "x")], "symbol string, name string"), members)
+    bars_of = keep_members(history, members)
+    pages = nest_history(bars_of, by_month=False)
+    once, twice = (attach_history(companies, pages, history=bars_of, keys=keys) for keys in (members, None))
+    rows = sorted((r.symbol, r.name, [tuple(b) for b in r.stockData or []]) for r in once.collect())
+    a = [("2020-03-01", 3), ("2020-02-01", 2), ("2020-01-01", 1), ("2020-01-01", 1)]
+    assert rows == [("A", "a", a), ("A", "a2", a), ("B", "b", []), ("C", "c", [("2020-05-05", 1)])]
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+    months = attach_history(companies, nest_history(bars_of), history=bars_of, keys=members)
+    flat = lambda docs: sorted(map(str, docs.select("symbol", "name", F.explode_outer("stockData")).collect()))
+    assert flat(months) == flat(once)
+    long = spark.range(400).select(F.lit("H").alias("symbol"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("date"), F.col("id").alias("n"))
+    paged = nest_history(long, page_rows=20, by_month=False).collect()
+    assert len(paged) > 10 and max(len(r.stockData) for r in paged) < 60 and sorted(b.n for r in paged for b in r.stockData) == list(range(400))
+    assert {r.page_month for r in paged} == {None} and all(r.stockData == sorted(r.stockData, reverse=True) for r in paged)

@@ -214,23 +214,28 @@ def _with_pages(df: DataFrame, keys: list[str], items: list[str], page_rows: int
 
 
 def nest_history(
-    history: DataFrame, key: str = "symbol", date: str = "date", page_rows: int = PAGE_ROWS, assume_unique: bool = False
+    history: DataFrame, key: str = "symbol", date: str = "date", page_rows: int = PAGE_ROWS, assume_unique: bool = False, by_month: bool = True
 ) -> DataFrame:
     """Nest bars into pages ``(key, page_month, page, stockData)``.
 
     ``stockData`` holds the bar structs (all columns but ``key``) of one
     calendar month of one key, newest first; a month with more than
-    ``page_rows`` bars is split over several pages.
+    ``page_rows`` bars is split over several pages. Without ``by_month`` a page
+    holds bars of all months of its key (and its ``page_month`` is NULL), so a key of
+    up to ``page_rows`` bars is one page.
     """
     bar_cols = [c for c in history.columns if c != key]
     month = F.substring(F.col(date).cast("string"), 1, 7)
-    pages = paged_lists(
-        history.withColumn("page_month", month), [key, "page_month"], bar_cols, "stockData", page_rows, assume_unique
-    )
+    keys = [key, "page_month"] if by_month else [key]
+    pages = paged_lists(history.withColumn("page_month", month), keys, bar_cols, "stockData", page_rows, assume_unique)
+    if not by_month:
+        pages = pages.select(key, F.lit(None).cast("string").alias("page_month"), "page", "stockData")
     return pages.withColumn("stockData", F.sort_array("stockData", asc=False))
 
 
-def attach_history(companies: DataFrame, pages: DataFrame, key: str = "symbol", history: DataFrame | None = None) -> DataFrame:
+def attach_history(
+    companies: DataFrame, pages: DataFrame, key: str = "symbol", history: DataFrame | None = None, keys: DataFrame | None = None
+) -> DataFrame:
     """Company documents: one per (company, page), and one with a NULL
     ``stockData`` for each company without history.
 
@@ -239,16 +244,23 @@ def attach_history(companies: DataFrame, pages: DataFrame, key: str = "symbol",
     keys (of ``history`` when given, which spares the nesting work), so a
     hot key never buffers its rows there. ``stockData`` of a page is never
     NULL, so a filter for documents without bars prunes the inner join.
+
+    ``keys`` may name rows that hold the key of every company, none of them NULL (the
+    list they were chosen by): then those without history join as an empty page, and
+    the companies, however much work they are, are made once.
     """
-    with_bars = companies.join(pages.select(key, "page_month", "page", "stockData"), key, "inner")
+    pages = pages.select(key, "page_month", "page", "stockData")
     present = (history if history is not None else pages).select(key).distinct()
+    listed = companies if keys is None else keys.select(key).distinct()
     without = (
-        companies.join(present, key, "left_anti")
+        listed.join(present, key, "left_anti")
         .withColumn("page_month", F.lit(None).cast("string"))
         .withColumn("page", F.lit(None).cast("int"))
         .withColumn("stockData", F.lit(None).cast(pages.schema["stockData"].dataType))
     )
-    return with_bars.unionByName(without)
+    if keys is not None:
+        return companies.join(pages.unionByName(without), key, "inner")
+    return companies.join(pages, key, "inner").unionByName(without)
 
 
 def documents_with_bars(docs: DataFrame) -> DataFrame:

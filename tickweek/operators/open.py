@@ -29,8 +29,10 @@ def open_documents(lines: DataFrame, schema: StructType) -> DataFrame:
 
     A line that is no JSON object gives no row; a cell of another type is NULL."""
     known = [f.name for f in schema.fields]
-    parsed = lines.select(F.from_json("value", schema).alias("_doc"), extra_fields("value", known).alias(EXTRA))
-    return parsed.where(F.col(EXTRA).isNotNull()).select(*[F.col("_doc").getField(n).alias(n) for n in known], EXTRA)
+    # Exploded, so each parse runs once per line: filters on projected parses are moved below them and parse again.
+    parsed = lines.select(F.explode(F.array(F.struct(F.from_json("value", schema).alias("doc"), extra_fields("value", known).alias(EXTRA)))).alias("_line"))
+    doc, extra = F.col("_line.doc"), F.col("_line").getField(EXTRA)
+    return parsed.where(extra.isNotNull()).select(*[doc.getField(n).alias(n) for n in known], extra.alias(EXTRA))
 
 
 def open_first_records(bodies: DataFrame, body: str, element: StructType, key: str = "symbol") -> DataFrame:
@@ -53,11 +55,16 @@ def merge_open(left: DataFrame, right: DataFrame, key: str = "symbol") -> DataFr
 def open_text(df: DataFrame, extra: str = EXTRA) -> Column:
     """One JSON object per row: the typed columns, NULL ones left out, then the extra fields."""
     typed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != extra]), {"ignoreNullFields": "true"})
-    rest = F.to_json(F.col(extra))
-    comma = F.when(typed == "{}", "").otherwise(",")
-    return F.when(F.coalesce(F.size(F.col(extra)), F.lit(0)) <= 0, typed).otherwise(
-        F.concat(F.substring(typed, F.lit(1), F.length(typed) - 1), comma, F.substring(rest, F.lit(2), F.length(rest)))
-    )
+    rest = F.when(F.size(F.col(extra)) > 0, F.to_json(F.col(extra)))
+
+    def together(both: Column) -> Column:
+        typed, rest = both["typed"], both["rest"]
+        comma = F.when(typed == "{}", "").otherwise(",")
+        text = F.concat(F.substring(typed, F.lit(1), F.length(typed) - 1), comma, F.substring(rest, F.lit(2), F.length(rest)))
+        return F.coalesce(text, typed)
+
+    # As the one element of an array, so that each text is made once however often it is named.
+    return F.get(F.transform(F.array(F.struct(typed.alias("typed"), rest.alias("rest"))), together), F.lit(0))
 
 
 def write_open_documents(df: DataFrame, path: str, mode: str = "overwrite", packed: bool = False) -> None:

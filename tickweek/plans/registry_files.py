@@ -88,10 +88,12 @@ def open_documents_written(spark: SparkSession, sf: str) -> DataFrame:
     members = A.members(spark, sf)
     bars = keep_members(A.history(spark, sf, by_symbol=True), members)
     listed = acquisition.open_companies(A.instrument_lines(spark, sf), members, A.profile_bodies(spark, sf, by_symbol=True))
-    write_open_documents(attach_history(listed, nest_history(bars), history=bars).drop("page_month", "page"), path, packed=True)
+    docs = attach_history(listed, nest_history(bars, by_month=False), history=bars, keys=members)
+    write_open_documents(docs.drop("page_month", "page"), path, packed=True)
     docs = open_documents(read_lines(spark, path), COMPANY)
-    flat = docs.select("symbol", "companyName", EXTRA, F.explode("stockData").alias("_bar"))
-    return flat.select("symbol", "companyName", F.col("_bar.date").alias("date"), F.col("_bar.close").alias("close"), *_open_fields(flat))
+    fields = _open_fields(docs)  # once per document, not per bar
+    flat = docs.select("symbol", "companyName", F.explode("stockData").alias("_bar"), *fields)
+    return flat.select("symbol", "companyName", F.col("_bar.date").alias("date"), F.col("_bar.close").alias("close"), *flat.columns[3:])
 
 
 def csv_bad_cells(spark: SparkSession, sf: str) -> DataFrame:
